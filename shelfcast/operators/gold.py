@@ -1,7 +1,7 @@
 """Gold: star schema and the weekly business view."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions.dates import sunday_week_start
@@ -55,18 +55,29 @@ def fact_sales_sql(silver: DataFrame) -> DataFrame:
 def weekly_category_sales(silver: DataFrame) -> DataFrame:
     """By (cat_id, store_id, wm_yr_wk): units, revenue, mean units per
     product-day row and distinct items.  Null group keys are dropped, as the
-    reference's groupby does."""
-    return (
+    reference's groupby does.
+
+    Two plain aggregations instead of ``countDistinct`` (which would add an
+    Expand doubling the rows): the first collapses the days of one item in a
+    week (combined map-side), the second counts the items.
+    """
+    keys = ["cat_id", "store_id", "wm_yr_wk"]
+    per_item = (
         silver.where(F.col("cat_id").isNotNull() & F.col("store_id").isNotNull()
                      & F.col("wm_yr_wk").isNotNull())
-        .groupBy("cat_id", "store_id", "wm_yr_wk")
+        .groupBy(*keys, "item_id")
         .agg(
-            F.sum("units").alias("total_units"),
-            F.sum(F.col("revenue").cast(MONEY)).cast("double").alias("total_revenue"),
-            round_half_up(F.avg("units"), 6).alias("avg_daily_units"),
-            F.countDistinct("item_id").alias("active_items"),
+            F.sum("units").alias("u"),
+            F.sum(F.col("revenue").cast(MONEY)).alias("r"),
+            F.count("units").alias("n"),
         )
     )
+    return per_item.groupBy(*keys).agg(
+        F.sum("u").alias("total_units"),
+        F.sum("r").cast("double").alias("total_revenue"),
+        round_half_up(F.sum("u") / F.sum("n"), 6).alias("avg_daily_units"),
+        F.count("item_id").alias("active_items"),
+    )
 
 
 def weekly_category_sales_sql(silver: DataFrame) -> DataFrame:
@@ -80,3 +91,85 @@ def weekly_category_sales_sql(silver: DataFrame) -> DataFrame:
             round_half_up(F.avg("units"), 6).alias("avg_daily_units"),
         )
     )
+
+
+# ------------------------------------------------------------------- ABC ---
+
+def item_revenue(silver: DataFrame) -> DataFrame:
+    """Revenue (exact decimal) and units per item."""
+    return silver.groupBy("item_id").agg(
+        F.sum(F.col("revenue").cast(MONEY)).alias("rev"),
+        F.sum("units").alias("total_units"),
+    )
+
+
+def abc_classification(silver: DataFrame, buckets: int | None = None) -> DataFrame:
+    """Pareto classes on cumulative revenue share.
+
+    Items sorted by revenue descending (ties by item_id), running share over
+    ROWS; A while the running revenue is <= 80 % of the total, B <= 95 %, else
+    C (compared in decimals, so 0.80 and 0.95 are inclusive and exact).  The
+    item that crosses 80 % is already B; a lone item is C; a zero total makes
+    every item C.  The global running sum is the bucketed prefix sum.
+    """
+    from shelfcast.operators.prefix import running_sums
+
+    rev = item_revenue(silver)
+    runs = running_sums(rev, [("rev", False), ("item_id", True)], {"cum": "rev"},
+                        buckets=buckets, with_total=True)
+    total = F.col("cum_total")
+    positive = total > 0
+    klass = (F.when(positive & (F.col("cum") * 100 <= total * 80), "A")
+             .when(positive & (F.col("cum") * 100 <= total * 95), "B")
+             .otherwise("C"))
+    return runs.select(
+        "item_id",
+        F.col("rev").cast("double").alias("total_revenue"),
+        "total_units",
+        F.try_divide(F.col("rev").cast("double"), total.cast("double")).alias("revenue_share"),
+        F.try_divide(F.col("cum").cast("double"), total.cast("double")).alias("cumulative_share"),
+        klass.alias("abc_class"),
+    )
+
+
+def abc_percent_rank(silver: DataFrame, buckets: int | None = None) -> DataFrame:
+    """SQL variant: PERCENT_RANK over revenue descending; A <= 0.2, B <= 0.5.
+
+    Equal revenues share a rank: rank = 1 + number of items with more
+    revenue.  Items are first collapsed to distinct revenue values (a hot value
+    costs one row), ranks come from a prefix count over those values, and the
+    rank is joined back by value.  A single item has rank 0 -> A.
+    """
+    from shelfcast.operators.prefix import running_sums
+
+    rev = silver.groupBy("item_id").agg(
+        F.sum((F.col("units") * F.coalesce(F.col("sell_price"), F.lit(0.0))).cast(MONEY)).alias("rev"))
+    values = rev.groupBy("rev").agg(F.count(F.lit(1)).alias("_c"))
+    ranked = running_sums(values, [("rev", False)], {"_run": "_c"}, buckets=buckets, with_total=True)
+    ranked = ranked.select("rev", (F.col("_run") - F.col("_c")).alias("_above"),
+                           (F.col("_run_total") - 1).alias("_den"))
+    above, den = F.col("_above"), F.col("_den")
+    # percent_rank = above / den; compare in integers: above <= 0.2 * den
+    klass = (F.when((den == 0) | (above * 5 <= den), "A")
+             .when(above * 2 <= den, "B").otherwise("C"))
+    return rev.join(ranked, "rev").select(
+        "item_id", F.col("rev").cast("double").alias("total_revenue"), klass.alias("abc_class"))
+
+
+def abc_summary(abc: DataFrame) -> DataFrame:
+    """Items and revenue per class, with shares in percent rounded to one
+    decimal half-to-even (pandas rounding).  At most three rows, so the
+    totals are a window over the class table itself."""
+    from shelfcast.functions.numeric import round_half_even
+
+    per_class = abc.groupBy("abc_class").agg(
+        F.count(F.lit(1)).alias("n_items"),
+        F.sum(F.col("total_revenue").cast(MONEY)).alias("_rev"),
+    )
+    every = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return per_class.select(
+        "abc_class", "n_items",
+        round_half_even(F.col("n_items") / F.sum("n_items").over(every) * 100, 1).alias("pct_items"),
+        round_half_even(F.try_divide(F.col("_rev").cast("double"),
+                                     F.sum("_rev").over(every).cast("double")) * 100, 1).alias("pct_revenue"),
+    )

@@ -1,17 +1,42 @@
-"""Name -> job registry: every callable takes (spark, sf_dir) and returns a
-DataFrame computed from the driver tables found in ``sf_dir``."""
+"""Name -> job registry.
+
+Every callable takes (spark, sf_dir) and returns a DataFrame computed from the
+driver tables in ``sf_dir``: the Bronze projection is derived from them on the
+fly, and the Silver layer - like the reference's persisted Silver file - is
+written once per session and application into the shared checkpoint folder
+and then read by every job that starts from Silver.
+"""
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from shelfcast.operators import diagnostics as dg
+from shelfcast.operators import features as feat
+from shelfcast.operators import forecast as fc
 from shelfcast.operators import gold
+from shelfcast.operators import joins
+from shelfcast.operators import kpis
+from shelfcast.operators import metrics as mt
+from shelfcast.operators import quality as dq
+from shelfcast.operators import reshape
+from shelfcast.operators import series as se
 from shelfcast.plans import silver as silver_plan
+from shelfcast.plans.gold import write_gold
+from shelfcast.plans.pipeline import run_pipeline
+from shelfcast.session import scratch_path
+from shelfcast.sources import bronze as bz
+from shelfcast.sources import files
+from shelfcast.sources import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+CUTOFF = "2000-03-25"        # first test day of the 28-day horizon in the fixture window
+
 
 def register(name: str):
     def deco(fn: Query) -> Query:
@@ -20,15 +45,541 @@ def register(name: str):
     return deco
 
 
-def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver_plan.silver_from_tables(spark, sf_dir)
+# ------------------------------------------------------------ shared inputs ---
+_MATERIALISED: dict[tuple, str] = {}
+
+
+def _materialised(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
+    path = _MATERIALISED.get(key)
+    if path is None:
+        path = scratch_path(spark, name)
+        build().write.mode("overwrite").parquet(path)
+        _MATERIALISED[key] = path
+    return spark.read.parquet(path)
+
+
+def bronze(spark: SparkSession, sf_dir: str) -> fixtures.Bronze:
+    return fixtures.bronze(spark, sf_dir)
+
+
+def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver written once (sorted by id, date) and read back."""
+    return _materialised(spark, sf_dir, "silver", lambda: silver_plan.silver_from_tables(spark, sf_dir)
+                         .repartition("id").sortWithinPartitions("id", "date"))
+
+
+def _long(spark, sf_dir) -> DataFrame:
+    return reshape.unpivot_sales(bronze(spark, sf_dir).sales)
+
+
+def _with_calendar(spark, sf_dir) -> DataFrame:
+    return joins.join_calendar(_long(spark, sf_dir), bronze(spark, sf_dir).calendar)
+
+
+def _with_prices(spark, sf_dir) -> DataFrame:
+    return joins.join_prices(_with_calendar(spark, sf_dir), bronze(spark, sf_dir).prices)
+
+
+def _raw_dir(spark, sf_dir, skip: tuple = ()) -> str:
+    """The Bronze projection written as the raw headed CSV files."""
+    raw = scratch_path(spark, "raw")
+    tables = {k: v for k, v in bronze(spark, sf_dir).as_dict().items() if k not in skip}
+    bz.write_raw(tables, raw)
+    return raw
+
+
+def _summary(spark: SparkSession, rows: dict[str, int]) -> DataFrame:
+    return spark.createDataFrame(sorted(rows.items()), "table string, n_rows bigint")
+
+
+# ------------------------------------------------------------- 2.1 sources ---
+@register("read_raw_csv")
+def q_read_raw_csv(spark, sf_dir):
+    raw = _raw_dir(spark, sf_dir)
+    return files.read_raw_csv(spark, bz.bronze_tables(raw)["bronze_sales"])
+
+
+@register("load_csv_autodetect")
+def q_load_csv_autodetect(spark, sf_dir):
+    raw = _raw_dir(spark, sf_dir)
+    df, _n = files.load_csv_autodetect(spark, bz.bronze_tables(raw)["bronze_sales"],
+                                       scratch_path(spark, "autodetect"))
+    return df
+
+
+@register("bronze_tables")
+def q_bronze_tables(spark, sf_dir):
+    res = bz.ingest_bronze(spark, _raw_dir(spark, sf_dir), scratch_path(spark, "bronze"))
+    return _summary(spark, res.rows)
+
+
+@register("missing_source_policy")
+def q_missing_source_policy(spark, sf_dir):
+    raw = _raw_dir(spark, sf_dir, skip=("bronze_sales",))
+    res = bz.ingest_bronze(spark, raw, scratch_path(spark, "bronze"), on_missing="skip")
+    rows = [(t, "loaded", n) for t, n in res.rows.items()] + [(t, "skipped", None) for t in res.skipped]
+    return spark.createDataFrame(sorted(rows), "table string, status string, n_rows bigint")
+
+
+@register("subset_filter")
+def q_subset_filter(spark, sf_dir):
+    raw = _raw_dir(spark, sf_dir)
+    frames, _ = bz.read_bronze_sources(spark, raw, cat="FOODS", store="CA_1")
+    return frames["bronze_sales"]
+
+
+@register("nonempty_guard")
+def q_nonempty_guard(spark, sf_dir):
+    # the reference's own subset (FOODS x CA_1), guarded before any write
+    res = bz.ingest_bronze(spark, _raw_dir(spark, sf_dir), scratch_path(spark, "bronze"),
+                           cat="FOODS", store="CA_1")
+    return _summary(spark, res.rows)
+
+
+@register("write_parquet")
+def q_write_parquet(spark, sf_dir):
+    path = files.write_parquet(silver_plan.silver_from_tables(spark, sf_dir), scratch_path(spark, "silver-out"),
+                               partition_by=["store_id"], sort_within=["id", "date"])
+    return files.read_parquet(spark, path)
+
+
+@register("read_parquet")
+def q_read_parquet(spark, sf_dir):
+    path = files.write_parquet(bronze(spark, sf_dir).prices, scratch_path(spark, "prices"))
+    return files.read_parquet(spark, path)
+
+
+@register("read_parquet_pruned")
+def q_read_parquet_pruned(spark, sf_dir):
+    silver(spark, sf_dir)  # make sure it is written
+    path = _MATERIALISED[(spark.sparkContext.applicationId, os.path.abspath(sf_dir), "silver")]
+    return files.read_parquet(spark, path, ["id", "date", "units"])
+
+
+@register("publish_table")
+def q_publish_table(spark, sf_dir):
+    name = "fact_sales_" + os.path.basename(scratch_path(spark, "t")).replace("-", "_")
+    return files.publish_table(gold.fact_sales_sql(silver(spark, sf_dir)), name,
+                               scratch_path(spark, "fact-table"))
+
+
+@register("publish_view")
+def q_publish_view(spark, sf_dir):
+    return files.publish_view(gold.weekly_category_sales_sql(silver(spark, sf_dir)), "weekly_category_sales_v")
+
+
+# ------------------------------------------------------------- 2.2 reshape ---
+@register("unpivot_sales")
+def q_unpivot_sales(spark, sf_dir):
+    return _long(spark, sf_dir)
+
+
+@register("unpivot_sales_sql")
+def q_unpivot_sales_sql(spark, sf_dir):
+    return reshape.unpivot_sales_sql(bronze(spark, sf_dir).sales)
+
+
+@register("series_matrix")
+def q_series_matrix(spark, sf_dir):
+    s = silver(spark, sf_dir)
+    win = fixtures.Window()
+    import datetime as dt
+    start = dt.date.fromisoformat(win.start)
+    dates = [start + dt.timedelta(days=i) for i in range(win.n_days)]
+    return reshape.series_matrix(s.select("id", "date", "units"), dates)
+
+
+# --------------------------------------------------------------- 2.3 joins ---
+@register("join_calendar")
+def q_join_calendar(spark, sf_dir):
+    return _with_calendar(spark, sf_dir)
+
+
+@register("calendar_match_guard")
+def q_calendar_match_guard(spark, sf_dir):
+    return joins.calendar_match_guard(_long(spark, sf_dir), bronze(spark, sf_dir).calendar)
+
+
+@register("join_prices")
+def q_join_prices(spark, sf_dir):
+    return _with_prices(spark, sf_dir)
+
+
+@register("weights_reindex")
+def q_weights_reindex(spark, sf_dir):
+    s = silver(spark, sf_dir)
+    sold = s.where(F.col("revenue") > 0).groupBy("id").agg(F.sum(F.col("revenue").cast("decimal(38,2)"))
+                                                          .cast("double").alias("revenue"))
+    return joins.weights_reindex(s.select("id").distinct(), sold)
+
+
+# ------------------------------------------------ 2.4 projections, features ---
+@register("snap_flag")
+def q_snap_flag(spark, sf_dir):
+    return feat.snap_flag(_with_calendar(spark, sf_dir)).select("id", "date", "state_id", "snap_flag")
+
+
+@register("snap_flag_sql")
+def q_snap_flag_sql(spark, sf_dir):
+    return feat.snap_flag_sql(_with_calendar(spark, sf_dir)).select("id", "date", "state_id", "snap_flag")
+
+
+@register("is_weekend")
+def q_is_weekend(spark, sf_dir):
+    return feat.is_weekend(_with_calendar(spark, sf_dir)).select("id", "date", "wday", "is_weekend")
+
+
+@register("is_active")
+def q_is_active(spark, sf_dir):
+    return feat.is_active(_with_prices(spark, sf_dir)).select("id", "date", "sell_price", "is_active")
+
+
+@register("revenue")
+def q_revenue(spark, sf_dir):
+    return feat.revenue(_with_prices(spark, sf_dir)).select("id", "date", "units", "sell_price", "revenue")
+
+
+@register("clean_types")
+def q_clean_types(spark, sf_dir):
+    return feat.clean_types(feat.add_features(_with_prices(spark, sf_dir)))
 
 
 @register("silver_sales_daily")
-def _q_silver(spark, sf_dir):
-    return _silver(spark, sf_dir)
+def q_silver(spark, sf_dir):
+    return silver_plan.silver_from_tables(spark, sf_dir)
+
+
+@register("silver_sales_daily_sql")
+def q_silver_sql(spark, sf_dir):
+    return silver_plan.silver_sql_from_tables(spark, sf_dir)
+
+
+@register("silver_profile")
+def q_silver_profile(spark, sf_dir):
+    return silver_plan.silver_profile(silver(spark, sf_dir))
+
+
+@register("fact_sales")
+def q_fact_sales(spark, sf_dir):
+    return gold.fact_sales(silver(spark, sf_dir))
+
+
+@register("fact_sales_sql")
+def q_fact_sales_sql(spark, sf_dir):
+    return gold.fact_sales_sql(silver(spark, sf_dir))
+
+
+# ------------------------------------------------------- 2.5 aggregation ---
+@register("dim_product")
+def q_dim_product(spark, sf_dir):
+    return gold.dim_product(silver(spark, sf_dir))
+
+
+@register("dim_product_sql")
+def q_dim_product_sql(spark, sf_dir):
+    return gold.dim_product_sql(silver(spark, sf_dir))
+
+
+@register("dim_store")
+def q_dim_store(spark, sf_dir):
+    return gold.dim_store(silver(spark, sf_dir))
+
+
+@register("dim_calendar")
+def q_dim_calendar(spark, sf_dir):
+    return gold.dim_calendar(silver(spark, sf_dir))
 
 
 @register("weekly_category_sales")
-def _q_weekly(spark, sf_dir):
-    return gold.weekly_category_sales(_silver(spark, sf_dir))
+def q_weekly(spark, sf_dir):
+    return gold.weekly_category_sales(silver(spark, sf_dir))
+
+
+@register("weekly_category_sales_sql")
+def q_weekly_sql(spark, sf_dir):
+    return gold.weekly_category_sales_sql(silver(spark, sf_dir))
+
+
+@register("abc_summary")
+def q_abc_summary(spark, sf_dir):
+    return gold.abc_summary(gold.abc_classification(silver(spark, sf_dir)))
+
+
+@register("revenue_weights")
+def q_revenue_weights(spark, sf_dir):
+    return fc.revenue_weights(silver(spark, sf_dir))
+
+
+# ------------------------------------------------ 2.6 windows, ranking ---
+@register("abc_classification")
+def q_abc(spark, sf_dir):
+    return gold.abc_classification(silver(spark, sf_dir))
+
+
+@register("abc_percent_rank")
+def q_abc_pr(spark, sf_dir):
+    return gold.abc_percent_rank(silver(spark, sf_dir))
+
+
+def _series(spark, sf_dir) -> DataFrame:
+    return silver(spark, sf_dir).select("id", "date", "units")
+
+
+@register("lag_features")
+def q_lag(spark, sf_dir):
+    return se.lag_features(_series(spark, sf_dir))
+
+
+@register("rolling_mean_features")
+def q_rolling(spark, sf_dir):
+    return se.rolling_mean_features(_series(spark, sf_dir))
+
+
+@register("diff_sq")
+def q_diff_sq(spark, sf_dir):
+    return se.diff_sq(_series(spark, sf_dir))
+
+
+@register("series_first_sale")
+def q_first_sale(spark, sf_dir):
+    return se.series_first_sale(_series(spark, sf_dir))
+
+
+@register("last_n_days")
+def q_last_n_days(spark, sf_dir):
+    return se.last_n_days(_series(spark, sf_dir), 90)
+
+
+@register("tail_mean")
+def q_tail_mean(spark, sf_dir):
+    return se.tail_mean(_series(spark, sf_dir), 28)
+
+
+@register("order_outputs")
+def q_order_outputs(spark, sf_dir):
+    return gold.weekly_category_sales(silver(spark, sf_dir)).orderBy("cat_id", "store_id", "wm_yr_wk")
+
+
+def _evaluated(spark, sf_dir) -> DataFrame:
+    s = silver(spark, sf_dir)
+    axis = se.date_axis(s)
+    frame = fc.baseline_frame(s, axis=axis)
+    return mt.evaluate_models(fc.baseline_forecasts(frame), fc.revenue_weights(s, axis=axis))
+
+
+@register("best_model")
+def q_best(spark, sf_dir):
+    return mt.best_model(mt.comparison_table(_evaluated(spark, sf_dir)))
+
+
+# ------------------------------------------- 2.7 splits, baselines, metrics ---
+@register("temporal_split")
+def q_temporal_split(spark, sf_dir):
+    return se.label_split(_series(spark, sf_dir), 28).drop("day_index")
+
+
+@register("cutoff_split")
+def q_cutoff_split(spark, sf_dir):
+    train, test = se.cutoff_split(_series(spark, sf_dir), "date", CUTOFF)
+    return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+
+
+def _forecasts(spark, sf_dir) -> DataFrame:
+    return fc.baseline_forecasts(fc.baseline_frame(silver(spark, sf_dir)))
+
+
+def _model_forecast(models):
+    def run(spark, sf_dir):
+        return _forecasts(spark, sf_dir).where(F.col("model").isin(*models)).select(
+            "model", "id", "step", "date", "yhat")
+    return run
+
+
+register("forecast_zero")(_model_forecast(["zero"]))
+register("forecast_naive")(_model_forecast(["naive"]))
+register("forecast_seasonal_naive")(_model_forecast(["seasonal_naive_7"]))
+register("forecast_moving_average")(_model_forecast(["moving_average_7", "moving_average_28"]))
+
+
+@register("train_demand_model")
+def q_train_demand_model(spark, sf_dir):
+    feats = fc.demand_features(silver(spark, sf_dir))
+    train, test = se.cutoff_split(feats, "date", CUTOFF)
+    # 20 boosting rounds for the registered run (the library default is 200)
+    model = fc.train_demand_model(train, max_iter=20)
+    return fc.predict_demand(model, test)
+
+
+def _metric(col: str):
+    def run(spark, sf_dir):
+        return _evaluated(spark, sf_dir).select("model", col)
+    return run
+
+
+for _name, _col in [("metric_mae", "MAE"), ("metric_rmse", "RMSE"), ("metric_mape", "MAPE"),
+                    ("metric_smape", "sMAPE"), ("metric_rmsse", "RMSSE"), ("metric_wrmsse", "WRMSSE")]:
+    register(_name)(_metric(_col))
+
+
+@register("evaluate_model")
+def q_evaluate(spark, sf_dir):
+    return _evaluated(spark, sf_dir)
+
+
+@register("comparison_table")
+def q_comparison(spark, sf_dir):
+    return mt.comparison_table(_evaluated(spark, sf_dir))
+
+
+# ------------------------------------------------------- 2.8 diagnostics ---
+def _stats(spark, sf_dir) -> DataFrame:
+    return dg.series_stats(silver(spark, sf_dir))
+
+
+@register("intermittency_profile")
+def q_intermittency(spark, sf_dir):
+    return dg.intermittency_profile(silver(spark, sf_dir))
+
+
+@register("series_lifecycle")
+def q_lifecycle(spark, sf_dir):
+    return dg.series_lifecycle(_stats(spark, sf_dir))
+
+
+@register("launch_delay")
+def q_launch_delay(spark, sf_dir):
+    return dg.launch_delay(_stats(spark, sf_dir))
+
+
+@register("pre_launch_zeros")
+def q_pre_launch(spark, sf_dir):
+    return dg.pre_launch_zeros(_stats(spark, sf_dir))
+
+
+@register("demand_stats")
+def q_demand_stats(spark, sf_dir):
+    return dg.demand_stats(_stats(spark, sf_dir))
+
+
+@register("classify_syntetos_boylan")
+def q_classify(spark, sf_dir):
+    d = dg.demand_stats(_stats(spark, sf_dir))
+    return d.select("id", "adi", "cv2", dg.classify_syntetos_boylan("adi", "cv2").alias("demand_class"))
+
+
+@register("demand_class_summary")
+def q_class_summary(spark, sf_dir):
+    return dg.demand_class_summary(dg.demand_stats(_stats(spark, sf_dir)))
+
+
+@register("weekday_seasonality")
+def q_weekday(spark, sf_dir):
+    return dg.weekday_seasonality(silver(spark, sf_dir))
+
+
+@register("weekday_spread")
+def q_spread(spark, sf_dir):
+    return dg.weekday_spread(silver(spark, sf_dir))
+
+
+@register("snap_lift")
+def q_snap_lift(spark, sf_dir):
+    return dg.snap_lift(silver(spark, sf_dir))
+
+
+@register("modelling_hints")
+def q_hints(spark, sf_dir):
+    s = silver(spark, sf_dir)
+    stats = dg.series_stats(s)
+    return dg.modelling_hints(s, stats, dg.demand_stats(stats))
+
+
+# ------------------------------------------------------- 2.9 data quality ---
+def _dq_silver(fn):
+    def run(spark, sf_dir):
+        return fn(silver(spark, sf_dir))
+    return run
+
+
+for _name, _fn in [("dq_no_fanout", dq.dq_no_fanout), ("dq_unique_grain", dq.dq_unique_grain),
+                   ("dq_keys_not_null", dq.dq_keys_not_null), ("dq_units_non_negative", dq.dq_units_non_negative),
+                   ("dq_price_positive", dq.dq_price_positive), ("dq_revenue_consistent", dq.dq_revenue_consistent),
+                   ("dq_complete_series", dq.dq_complete_series), ("dq_binary_flags", dq.dq_binary_flags),
+                   ("dq_schema_contract", dq.dq_schema_contract)]:
+    register(_name)(_dq_silver(_fn))
+
+
+@register("dq_row_count_positive")
+def q_dq_rows(spark, sf_dir):
+    return dq.dq_row_count_positive(silver(spark, sf_dir))
+
+
+@register("dq_fact_matches_silver")
+def q_dq_fact(spark, sf_dir):
+    s = silver(spark, sf_dir)
+    return dq.dq_fact_matches_silver(gold.fact_sales(s), s)
+
+
+@register("dq_dim_product_unique")
+def q_dq_dim(spark, sf_dir):
+    return dq.dq_dim_product_unique(gold.dim_product(silver(spark, sf_dir)))
+
+
+@register("dq_weekly_reconciles")
+def q_dq_weekly(spark, sf_dir):
+    s = silver(spark, sf_dir)
+    return dq.dq_weekly_reconciles(gold.weekly_category_sales(s), s)
+
+
+@register("dq_abc_covers_products")
+def q_dq_abc_cover(spark, sf_dir):
+    s = silver(spark, sf_dir)
+    return dq.dq_abc_covers_products(gold.abc_classification(s), gold.dim_product(s))
+
+
+@register("dq_abc_shares_sum_one")
+def q_dq_abc_sum(spark, sf_dir):
+    return dq.dq_abc_shares_sum_one(gold.abc_classification(silver(spark, sf_dir)))
+
+
+@register("dq_abc_sorted")
+def q_dq_abc_sorted(spark, sf_dir):
+    return dq.dq_abc_sorted(gold.abc_classification(silver(spark, sf_dir)))
+
+
+@register("dq_report")
+def q_dq_report(spark, sf_dir):
+    s = silver(spark, sf_dir)
+    abc = gold.abc_classification(s)
+    return dq.dq_report(s, gold.fact_sales(s), gold.dim_product(s), gold.weekly_category_sales(s), abc)
+
+
+# ------------------------------------------------------ 2.10 serving, jobs ---
+@register("forecast_lookup")
+def q_forecast_lookup(spark, sf_dir):
+    table = fc.forecasts_table(silver(spark, sf_dir))
+    return fc.forecast_lookup(table, item_id=None, store_id=None, horizon=28)
+
+
+@register("store_kpis")
+def q_store_kpis(spark, sf_dir):
+    s = silver(spark, sf_dir)
+    return kpis.store_kpis(gold.fact_sales(s), gold.abc_classification(s))
+
+
+@register("run_pipeline")
+def q_run_pipeline(spark, sf_dir):
+    res = run_pipeline(spark, _raw_dir(spark, sf_dir), scratch_path(spark, "work"))
+    return _summary(spark, res.rows)
+
+
+@register("gold_tables")
+def q_gold_tables(spark, sf_dir):
+    return _summary(spark, write_gold(spark, silver(spark, sf_dir), scratch_path(spark, "gold")))
+
+
+def all_names() -> list[str]:
+    return list(QUERIES)
+
+
