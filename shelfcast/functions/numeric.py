@@ -1,7 +1,10 @@
 """Column expressions for numbers whose value must not depend on evaluation order.
 
-* Sums of money are taken in ``decimal`` and only then turned into ``double``;
-  a double sum depends on the order of its terms, a decimal sum does not.
+* Sums of money are taken in exact integer cents (``long``) and only then
+  turned into ``double`` (cents / 100.0, which equals the correctly rounded
+  value of the decimal sum); a double sum depends on the order of its terms,
+  an integer sum does not, and long arithmetic is several times faster than
+  ``decimal(38,2)``.
 * Rounding is done on the scaled double (``x * 10^d``), which is what numpy's
   ``round`` does.  ``round_half_even`` therefore equals pandas ``.round(d)``,
   ``round_half_up`` equals the usual ``round(x, d)`` of SQL engines.
@@ -34,10 +37,25 @@ def safe_div(num, den) -> Column:
 
 
 def to_money(c) -> Column:
-    """Exact cents of a double that holds units * price (price has 2 decimals)."""
+    """Exact decimal of a double that holds units * price (price has 2 decimals)."""
     return _col(c).cast(MONEY)
 
 
 def dec_sum(c) -> Column:
     """Order-independent sum of a money column, returned as decimal."""
     return F.sum(to_money(c))
+
+
+def cents(c) -> Column:
+    """Exact integer cents of a money double (units * a 2-decimal price)."""
+    return F.round(_col(c) * F.lit(100.0)).cast("long")
+
+
+def cents_sum(c) -> Column:
+    """Order-independent sum of a money column, in cents (long)."""
+    return F.sum(cents(c))
+
+
+def money(cents_col) -> Column:
+    """Cents (long) back to a money double."""
+    return _col(cents_col) / F.lit(100.0)

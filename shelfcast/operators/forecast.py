@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcast.functions.numeric import MONEY
+from shelfcast.functions.numeric import cents, money
 from shelfcast.operators.series import DateAxis, date_axis
 
 HORIZON = 28
@@ -81,14 +81,14 @@ def revenue_weights(silver: DataFrame, horizon: int = HORIZON, last_days: int =
     start = end - dt.timedelta(days=last_days)
     in_window = (F.col("date") > F.lit(start)) & (F.col("date") <= F.lit(end))
     per_id = silver.groupBy("id").agg(
-        F.coalesce(F.sum(F.when(in_window, F.col("revenue").cast(MONEY))), F.lit(0).cast(MONEY)).alias("rev"))
+        F.coalesce(F.sum(F.when(in_window, cents("revenue"))), F.lit(0).cast("long")).alias("rev"))
     tot = per_id.agg(F.sum("rev").alias("t"), F.count(F.lit(1)).alias("n")).first()
     total, n = tot["t"], tot["n"]
     if total is not None and total > 0:
-        weight = F.col("rev").cast("double") / F.lit(float(total))
+        weight = money("rev") / (F.lit(total).cast("long") / F.lit(100.0))
     else:
         weight = F.lit(1.0) / F.lit(float(max(n, 1)))
-    return per_id.select("id", F.col("rev").cast("double").alias("revenue"), weight.alias("weight"))
+    return per_id.select("id", money("rev").alias("revenue"), weight.alias("weight"))
 
 
 # ------------------------------------------------------------- ML model ---

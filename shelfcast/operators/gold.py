@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions.dates import sunday_week_start
-from shelfcast.functions.numeric import MONEY, round_half_up
+from shelfcast.functions.numeric import cents_sum, money, round_half_up
 from shelfcast.schemas import FACT_COLS
 
 
@@ -68,13 +68,13 @@ def weekly_category_sales(silver: DataFrame) -> DataFrame:
         .groupBy(*keys, "item_id")
         .agg(
             F.sum("units").alias("u"),
-            F.sum(F.col("revenue").cast(MONEY)).alias("r"),
+            cents_sum("revenue").alias("r"),
             F.count("units").alias("n"),
         )
     )
     return per_item.groupBy(*keys).agg(
         F.sum("u").alias("total_units"),
-        F.sum("r").cast("double").alias("total_revenue"),
+        money(F.sum("r")).alias("total_revenue"),
         round_half_up(F.sum("u") / F.sum("n"), 6).alias("avg_daily_units"),
         F.count("item_id").alias("active_items"),
     )
@@ -87,7 +87,7 @@ def weekly_category_sales_sql(silver: DataFrame) -> DataFrame:
         silver.groupBy("cat_id", "store_id", sunday_week_start("date").alias("week"))
         .agg(
             F.sum("units").alias("total_units"),
-            F.sum(rev.cast(MONEY)).cast("double").alias("total_revenue"),
+            money(cents_sum(rev)).alias("total_revenue"),
             round_half_up(F.avg("units"), 6).alias("avg_daily_units"),
         )
     )
@@ -96,9 +96,9 @@ def weekly_category_sales_sql(silver: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------- ABC ---
 
 def item_revenue(silver: DataFrame) -> DataFrame:
-    """Revenue (exact decimal) and units per item."""
+    """Revenue (exact cents) and units per item."""
     return silver.groupBy("item_id").agg(
-        F.sum(F.col("revenue").cast(MONEY)).alias("rev"),
+        cents_sum("revenue").alias("rev"),
         F.sum("units").alias("total_units"),
     )
 
@@ -108,7 +108,7 @@ def abc_classification(silver: DataFrame, buckets: int | None = None) -> DataFra
 
     Items sorted by revenue descending (ties by item_id), running share over
     ROWS; A while the running revenue is <= 80 % of the total, B <= 95 %, else
-    C (compared in decimals, so 0.80 and 0.95 are inclusive and exact).  The
+    C (compared in integer cents, so 0.80 and 0.95 are inclusive and exact).  The
     item that crosses 80 % is already B; a lone item is C; a zero total makes
     every item C.  The global running sum is the bucketed prefix sum.
     """
@@ -124,10 +124,10 @@ def abc_classification(silver: DataFrame, buckets: int | None = None) -> DataFra
              .otherwise("C"))
     return runs.select(
         "item_id",
-        F.col("rev").cast("double").alias("total_revenue"),
+        money("rev").alias("total_revenue"),
         "total_units",
-        F.try_divide(F.col("rev").cast("double"), total.cast("double")).alias("revenue_share"),
-        F.try_divide(F.col("cum").cast("double"), total.cast("double")).alias("cumulative_share"),
+        F.try_divide(money("rev"), money(total)).alias("revenue_share"),
+        F.try_divide(money("cum"), money(total)).alias("cumulative_share"),
         klass.alias("abc_class"),
     )
 
@@ -143,7 +143,7 @@ def abc_percent_rank(silver: DataFrame, buckets: int | None = None) -> DataFrame
     from shelfcast.operators.prefix import running_sums
 
     rev = silver.groupBy("item_id").agg(
-        F.sum((F.col("units") * F.coalesce(F.col("sell_price"), F.lit(0.0))).cast(MONEY)).alias("rev"))
+        cents_sum(F.col("units") * F.coalesce(F.col("sell_price"), F.lit(0.0))).alias("rev"))
     values = rev.groupBy("rev").agg(F.count(F.lit(1)).alias("_c"))
     ranked = running_sums(values, [("rev", False)], {"_run": "_c"}, buckets=buckets, with_total=True)
     ranked = ranked.select("rev", (F.col("_run") - F.col("_c")).alias("_above"),
@@ -153,7 +153,7 @@ def abc_percent_rank(silver: DataFrame, buckets: int | None = None) -> DataFrame
     klass = (F.when((den == 0) | (above * 5 <= den), "A")
              .when(above * 2 <= den, "B").otherwise("C"))
     return rev.join(ranked, "rev").select(
-        "item_id", F.col("rev").cast("double").alias("total_revenue"), klass.alias("abc_class"))
+        "item_id", money("rev").alias("total_revenue"), klass.alias("abc_class"))
 
 
 def abc_summary(abc: DataFrame) -> DataFrame:
@@ -164,12 +164,11 @@ def abc_summary(abc: DataFrame) -> DataFrame:
 
     per_class = abc.groupBy("abc_class").agg(
         F.count(F.lit(1)).alias("n_items"),
-        F.sum(F.col("total_revenue").cast(MONEY)).alias("_rev"),
+        cents_sum("total_revenue").alias("_rev"),
     )
     every = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return per_class.select(
         "abc_class", "n_items",
         round_half_even(F.col("n_items") / F.sum("n_items").over(every) * 100, 1).alias("pct_items"),
-        round_half_even(F.try_divide(F.col("_rev").cast("double"),
-                                     F.sum("_rev").over(every).cast("double")) * 100, 1).alias("pct_revenue"),
+        round_half_even(F.try_divide(money("_rev"), money(F.sum("_rev").over(every))) * 100, 1).alias("pct_revenue"),
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.functions.numeric import MONEY, round_half_up
+from shelfcast.functions.numeric import cents_sum, money, round_half_up
 
 
 def store_kpis(fact: DataFrame, abc: DataFrame) -> DataFrame:
@@ -18,7 +18,7 @@ def store_kpis(fact: DataFrame, abc: DataFrame) -> DataFrame:
     at run time if the measured side is small.
     """
     totals = fact.groupBy("store_id").agg(
-        F.sum(F.col("revenue").cast(MONEY)).cast("double").alias("total_revenue"),
+        money(cents_sum("revenue")).alias("total_revenue"),
         round_half_up(F.avg("units"), 6).alias("avg_daily_units"),
     )
     sold = fact.where(F.col("units") > 0).select("store_id", "item_id").distinct()

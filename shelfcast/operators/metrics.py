@@ -16,36 +16,28 @@ from shelfcast.functions.numeric import round_half_even, round_half_up
 METRICS = ["MAE", "RMSE", "MAPE", "sMAPE", "RMSSE", "WRMSSE"]
 
 
-def _err():
-    return F.col("y") - F.col("yhat")
-
-
-def metric_mae():
-    return F.avg(F.abs(_err()))
-
-
-def metric_rmse():
-    return F.sqrt(F.avg(_err() * _err()))
-
-
-def metric_mape():
-    """Over points with y != 0; null when there are none."""
-    y = F.col("y")
-    return F.avg(F.when(y != 0, F.abs(_err() / y))) * 100
-
-
-def metric_smape():
-    """abs error / mean of abs values; points with a zero denominator are
-    skipped; 0 when none are left."""
-    den = (F.abs(F.col("y")) + F.abs(F.col("yhat"))) / 2
-    return F.coalesce(F.avg(F.when(den != 0, F.abs(_err()) / den)) * 100, F.lit(0.0))
+def _per_series(forecasts: DataFrame) -> DataFrame:
+    """One row per (model, id) with the sums every metric needs, so pooled and
+    per-series metrics come from a single pass over the forecasts."""
+    y, yhat = F.col("y"), F.col("yhat")
+    err = y - yhat
+    den = (F.abs(y) + F.abs(yhat)) / 2
+    return forecasts.groupBy("model", "id").agg(
+        F.count(err).alias("n"),
+        F.sum(F.abs(err)).alias("abs_err"),
+        F.sum(err * err).alias("sq_err"),
+        F.sum(F.when(y != 0, F.abs(err / y))).alias("ape"),
+        F.count(F.when(y != 0, 1)).alias("n_ape"),
+        F.sum(F.when(den != 0, F.abs(err) / den)).alias("sape"),
+        F.count(F.when(den != 0, 1)).alias("n_sape"),
+        F.first("scale", ignorenulls=True).alias("scale"),
+    )
 
 
 def series_rmsse(forecasts: DataFrame, weights: DataFrame | None = None) -> DataFrame:
     """Per (model, id): sqrt(mean squared error / scale); null for flat train."""
-    per = forecasts.groupBy("model", "id").agg(
-        F.avg(_err() * _err()).alias("_mse"), F.first("scale", ignorenulls=True).alias("_scale"))
-    per = per.select("model", "id", F.sqrt(F.try_divide(F.col("_mse"), F.col("_scale"))).alias("rmsse"))
+    per = _per_series(forecasts).select(
+        "model", "id", F.sqrt(F.try_divide(F.col("sq_err") / F.col("n"), F.col("scale"))).alias("rmsse"))
     if weights is not None:
         per = per.join(weights.select("id", "weight"), "id", "left")
     return per
@@ -53,19 +45,28 @@ def series_rmsse(forecasts: DataFrame, weights: DataFrame | None = None) -> Data
 
 def evaluate_models(forecasts: DataFrame, weights: DataFrame | None = None,
                     digits: int = 6) -> DataFrame:
-    """One row per model: MAE, RMSE, MAPE, sMAPE, mean RMSSE (nulls ignored)
-    and, with weights, WRMSSE = sum(w * rmsse) / sum(w) over scorable series."""
-    pooled = forecasts.groupBy("model").agg(
-        metric_mae().alias("MAE"), metric_rmse().alias("RMSE"),
-        metric_mape().alias("MAPE"), metric_smape().alias("sMAPE"))
-    per = series_rmsse(forecasts, weights)
-    aggs = [F.avg("rmsse").alias("RMSSE")]
+    """One row per model: MAE, RMSE, MAPE (points with y != 0, null if none),
+    sMAPE (points with a zero denominator skipped, 0 if none), mean RMSSE
+    (nulls ignored) and, with weights, WRMSSE = sum(w * rmsse) / sum(w) over
+    the scorable series.  One aggregate per (model, id) - on data already
+    partitioned by id - then one per model (five groups, combined map-side)."""
+    per = _per_series(forecasts)
+    rmsse = F.sqrt(F.try_divide(F.col("sq_err") / F.col("n"), F.col("scale")))
+    per = per.withColumn("rmsse", rmsse)
+    if weights is not None:
+        per = per.join(weights.select("id", "weight"), "id", "left")
+    aggs = [
+        (F.sum("abs_err") / F.sum("n")).alias("MAE"),
+        F.sqrt(F.sum("sq_err") / F.sum("n")).alias("RMSE"),
+        (F.try_divide(F.sum("ape"), F.sum("n_ape")) * 100).alias("MAPE"),
+        F.coalesce(F.try_divide(F.sum("sape"), F.sum("n_sape")) * 100, F.lit(0.0)).alias("sMAPE"),
+        F.avg("rmsse").alias("RMSSE"),
+    ]
     if weights is not None:
         ok = F.col("rmsse").isNotNull()
         aggs.append(F.try_divide(F.sum(F.when(ok, F.col("weight") * F.col("rmsse"))),
                                  F.sum(F.when(ok, F.col("weight")))).alias("WRMSSE"))
-    scored = per.groupBy("model").agg(*aggs)
-    out = pooled.join(scored, "model")
+    out = per.groupBy("model").agg(*aggs)
     names = [c for c in METRICS if c in out.columns]
     return out.select("model", *[round_half_up(c, digits).alias(c) for c in names])
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfcast.functions.numeric import MONEY
+from shelfcast.functions.numeric import cents, cents_sum
 from shelfcast.schemas import FLAG_COLS, SILVER_CONTRACT
 
 KEY_COLS = ["id", "item_id", "store_id", "date"]
@@ -96,10 +96,10 @@ def dq_dim_product_unique(dim: DataFrame) -> DataFrame:
 
 def dq_weekly_reconciles(weekly: DataFrame, silver: DataFrame) -> DataFrame:
     """Sum of the weekly table = sum of the daily rows: units within 1,
-    revenue within 0.01 (sums in decimals).  Two scalar aggregates."""
-    w = weekly.agg(F.sum("total_units").alias("u"), F.sum(F.col("total_revenue").cast(MONEY)).alias("r")).first()
-    d = silver.agg(F.sum("units").alias("u"), F.sum(F.col("revenue").cast(MONEY)).alias("r")).first()
-    bad = int(abs((w["u"] or 0) - (d["u"] or 0)) >= 1) + int(abs(float((w["r"] or 0) - (d["r"] or 0))) >= 0.01)
+    revenue within 0.01 (sums in exact cents).  Two scalar aggregates."""
+    w = weekly.agg(F.sum("total_units").alias("u"), cents_sum("total_revenue").alias("r")).first()
+    d = silver.agg(F.sum("units").alias("u"), cents_sum("revenue").alias("r")).first()
+    bad = int(abs((w["u"] or 0) - (d["u"] or 0)) >= 1) + int(abs((w["r"] or 0) - (d["r"] or 0)) >= 1)
     return weekly.sparkSession.createDataFrame(
         [("weekly_reconciles", bad, bad == 0)], "check string, n_violations bigint, passed boolean")
 

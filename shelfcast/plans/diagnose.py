@@ -5,11 +5,15 @@ from pyspark.sql import DataFrame
 
 from shelfcast.operators import diagnostics as dg
 from shelfcast.operators.series import date_axis
+from shelfcast.session import checkpoint_root
 
 
 def diagnose(silver: DataFrame) -> dict[str, DataFrame]:
     axis = date_axis(silver)
-    stats = dg.series_stats(silver, axis)
+    # the per-series table feeds five outputs: written once to the shared
+    # checkpoint folder (one row per series, a fraction of Silver)
+    checkpoint_root(silver.sparkSession)
+    stats = dg.series_stats(silver, axis).checkpoint(eager=True)
     demand = dg.demand_stats(stats)
     return {
         "intermittency_profile": dg.intermittency_profile(silver),

@@ -12,13 +12,29 @@ from shelfcast.schemas import CALENDAR_COLS, SILVER_COLS, SILVER_SQL_COLS
 from shelfcast.sources import fixtures
 
 
-def silver_sales_daily(sales: DataFrame, calendar: DataFrame, prices: DataFrame) -> DataFrame:
+def spread_series(sales: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Hash-partition the *wide* rows by ``id`` before they are exploded.
+
+    A wide file has few rows (one per series) and often lands in one or two
+    scan splits; exploding there would put all long rows in those tasks.
+    Shuffling the wide rows is cheap (one row per series), spreads the explode
+    over every task, and leaves the long rows clustered by series: the
+    broadcast joins that follow keep that partitioning, so Silver is written
+    with whole series per file and no shuffle of the long rows.
+    """
+    n = partitions or int(sales.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return sales.repartition(n, "id")
+
+
+def silver_sales_daily(sales: DataFrame, calendar: DataFrame, prices: DataFrame,
+                       partitions: int | None = None) -> DataFrame:
     """unpivot -> calendar join (guarded) -> price join -> features -> types.
 
-    Returns the 20 Silver columns in contract order.  Row order is not a
-    property of a Spark table; writers sort within partitions by (id, date).
+    Returns the 20 Silver columns in contract order, hash-partitioned by id.
+    Row order is not a property of a Spark table; writers sort within
+    partitions by (id, date).
     """
-    df = unpivot_sales(sales)
+    df = unpivot_sales(spread_series(sales, partitions))
     df = join_calendar(df, calendar, guard=True)
     df = join_prices(df, prices)
     df = feat.add_features(df)
@@ -29,7 +45,7 @@ def silver_sales_daily(sales: DataFrame, calendar: DataFrame, prices: DataFrame)
 def silver_sales_daily_sql(sales: DataFrame, calendar: DataFrame, prices: DataFrame) -> DataFrame:
     """The SQL variant: nulls dropped by UNPIVOT, unmatched days keep a null
     date, unknown state gives a NULL SNAP flag; 16 columns."""
-    df = unpivot_sales_sql(sales)
+    df = unpivot_sales_sql(spread_series(sales))
     df = df.join(F.broadcast(calendar.select(*CALENDAR_COLS)), "d", "left")
     df = join_prices(df, prices)
     df = feat.snap_flag_sql(df)

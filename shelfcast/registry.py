@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfcast.functions.numeric import cents_sum, money
 from shelfcast.operators import diagnostics as dg
 from shelfcast.operators import features as feat
 from shelfcast.operators import forecast as fc
@@ -66,7 +67,7 @@ def bronze(spark: SparkSession, sf_dir: str) -> fixtures.Bronze:
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver written once (sorted by id, date) and read back."""
     return _materialised(spark, sf_dir, "silver", lambda: silver_plan.silver_from_tables(spark, sf_dir)
-                         .repartition("id").sortWithinPartitions("id", "date"))
+                         .sortWithinPartitions("id", "date"))
 
 
 def _long(spark, sf_dir) -> DataFrame:
@@ -209,8 +210,7 @@ def q_join_prices(spark, sf_dir):
 @register("weights_reindex")
 def q_weights_reindex(spark, sf_dir):
     s = silver(spark, sf_dir)
-    sold = s.where(F.col("revenue") > 0).groupBy("id").agg(F.sum(F.col("revenue").cast("decimal(38,2)"))
-                                                          .cast("double").alias("revenue"))
+    sold = s.where(F.col("revenue") > 0).groupBy("id").agg(money(cents_sum("revenue")).alias("revenue"))
     return joins.weights_reindex(s.select("id").distinct(), sold)
 
 

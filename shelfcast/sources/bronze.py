@@ -93,12 +93,10 @@ def read_bronze_sources(spark: SparkSession, raw_dir: str, cat: str | None = Non
 
 def ingest_bronze(spark: SparkSession, raw_dir: str, bronze_dir: str, cat: str | None = None,
                   store: str | None = None, on_missing: str = "error") -> BronzeResult:
+    from shelfcast.plans.gold import write_tables
+
     frames, skipped = read_bronze_sources(spark, raw_dir, cat, store, on_missing)
     nonempty_guard(frames)
-    paths, rows = {}, {}
-    for name, df in frames.items():
-        path = f"{bronze_dir.rstrip('/')}/{name}.parquet"
-        df.write.mode("overwrite").parquet(path)
-        paths[name] = path
-        rows[name] = spark.read.parquet(path).count()
+    rows = write_tables(spark, frames, bronze_dir, parallel=len(frames))
+    paths = {name: f"{bronze_dir.rstrip('/')}/{name}.parquet" for name in frames}
     return BronzeResult(paths, rows, skipped)
