@@ -22,7 +22,7 @@ def main() -> None:
     from shelfcast.session import build_session, scratch_path
     from shelfcast.sources import bronze as bz
     from shelfcast.sources import fixtures
-    from shelfcast.plans.pipeline import run_pipeline
+    from shelfcast.plans.pipeline import load_silver, run_pipeline
     from shelfcast.plans.baselines import run_baselines
     from shelfcast.plans.diagnose import diagnose
     from shelfcast.operators import gold, quality
@@ -43,7 +43,11 @@ def main() -> None:
     if os.path.exists(small):
         raw_w = scratch_path(spark, "warm-raw")
         bz.write_raw(fixtures.bronze(spark, small).as_dict(), raw_w)
-        run_pipeline(spark, raw_w, scratch_path(spark, "warm"))
+        warm = scratch_path(spark, "warm")
+        run_pipeline(spark, raw_w, warm)
+        w_silver = load_silver(spark, warm)
+        run_baselines(w_silver)[1].collect()
+        [v.collect() for v in diagnose(w_silver).values()]
 
     # raw M5-shaped CSV files projected from the driver tables
     raw = scratch_path(spark, "raw")
@@ -53,7 +57,7 @@ def main() -> None:
     res = run_pipeline(spark, raw, work)
     for layer, sec in res.seconds.items():
         times[layer] = round(sec, 3)
-    silver = spark.read.parquet(res.paths["silver_sales_daily"])
+    silver = load_silver(spark, work)
 
     def baselines():
         _ev, table, best = run_baselines(silver)

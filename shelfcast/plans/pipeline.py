@@ -8,10 +8,10 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass, field
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from shelfcast.plans.gold import write_gold
-from shelfcast.plans.silver import silver_sales_daily
+from shelfcast.plans.silver import open_silver, publish_silver, silver_sales_daily
 from shelfcast.sources.bronze import ingest_bronze
 
 LAYERS = ["bronze", "silver", "gold"]
@@ -39,13 +39,28 @@ def silver_path(work_dir: str) -> str:
     return f"{work_dir.rstrip('/')}/silver/silver_sales_daily.parquet"
 
 
-def run_silver(spark: SparkSession, bronze_dir: str, out_path: str) -> int:
+def silver_buckets(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def silver_table(work_dir: str) -> str:
+    """Catalog name of a pipeline's Silver table (one per work folder)."""
+    import hashlib
+    return "silver_" + hashlib.sha1(work_dir.encode()).hexdigest()[:12]
+
+
+def run_silver(spark: SparkSession, bronze_dir: str, out_path: str, table: str) -> int:
     read = lambda n: spark.read.parquet(f"{bronze_dir.rstrip('/')}/{n}.parquet")
-    silver = silver_sales_daily(read("bronze_sales"), read("bronze_calendar"), read("bronze_prices"))
-    # Silver comes out hash-partitioned by id: files hold whole series, and the
-    # sort within each file gives tight min/max statistics on id and date.
-    silver.sortWithinPartitions("id", "date").write.mode("overwrite").parquet(out_path)
-    return spark.read.parquet(out_path).count()
+    n = silver_buckets(spark)
+    silver = silver_sales_daily(read("bronze_sales"), read("bronze_calendar"), read("bronze_prices"), partitions=n)
+    # hash-partitioned by id already: written as a bucketed table, whole series per file
+    return publish_silver(silver, out_path, table, n).count()
+
+
+def load_silver(spark: SparkSession, work_dir: str) -> DataFrame:
+    """The pipeline's Silver as a bucketed table (registered again if needed)."""
+    work = work_dir.rstrip("/")
+    return open_silver(spark, silver_path(work), silver_table(work), silver_buckets(spark))
 
 
 def run_pipeline(spark: SparkSession, raw_dir: str, work_dir: str, start_at: str = "bronze",
@@ -67,10 +82,10 @@ def run_pipeline(spark: SparkSession, raw_dir: str, work_dir: str, start_at: str
                 res.rows.update(b.rows)
                 res.paths.update(b.paths)
             elif layer == "silver":
-                res.rows["silver_sales_daily"] = run_silver(spark, bronze_dir, s_path)
+                res.rows["silver_sales_daily"] = run_silver(spark, bronze_dir, s_path, silver_table(work))
                 res.paths["silver_sales_daily"] = s_path
             else:
-                counts = write_gold(spark, spark.read.parquet(s_path), gold_dir)
+                counts = write_gold(spark, load_silver(spark, work), gold_dir)
                 res.rows.update(counts)
                 res.paths.update({n: f"{gold_dir}/{n}.parquet" for n in counts})
         except Exception as exc:  # stop on the first failing layer

@@ -47,17 +47,7 @@ def register(name: str):
 
 
 # ------------------------------------------------------------ shared inputs ---
-_MATERIALISED: dict[tuple, str] = {}
-
-
-def _materialised(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
-    path = _MATERIALISED.get(key)
-    if path is None:
-        path = scratch_path(spark, name)
-        build().write.mode("overwrite").parquet(path)
-        _MATERIALISED[key] = path
-    return spark.read.parquet(path)
+_MATERIALISED: dict[tuple, tuple[str, str]] = {}
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> fixtures.Bronze:
@@ -65,9 +55,19 @@ def bronze(spark: SparkSession, sf_dir: str) -> fixtures.Bronze:
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver written once (sorted by id, date) and read back."""
-    return _materialised(spark, sf_dir, "silver", lambda: silver_plan.silver_from_tables(spark, sf_dir)
-                         .sortWithinPartitions("id", "date"))
+    """Silver written once as a table bucketed by id (see ``publish_silver``)
+    and read back; per-series jobs then need no shuffle of it."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), "silver")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if key not in _MATERIALISED:
+        path = scratch_path(spark, "silver")
+        table = "silver_" + os.path.basename(path).replace("-", "_")
+        b = bronze(spark, sf_dir)
+        silver_plan.publish_silver(silver_plan.silver_sales_daily(b.sales, b.calendar, b.prices, partitions=n),
+                                   path, table, n)
+        _MATERIALISED[key] = (path, table)
+    path, table = _MATERIALISED[key]
+    return silver_plan.open_silver(spark, path, table, n)
 
 
 def _long(spark, sf_dir) -> DataFrame:
@@ -154,7 +154,7 @@ def q_read_parquet(spark, sf_dir):
 @register("read_parquet_pruned")
 def q_read_parquet_pruned(spark, sf_dir):
     silver(spark, sf_dir)  # make sure it is written
-    path = _MATERIALISED[(spark.sparkContext.applicationId, os.path.abspath(sf_dir), "silver")]
+    path, _table = _MATERIALISED[(spark.sparkContext.applicationId, os.path.abspath(sf_dir), "silver")]
     return files.read_parquet(spark, path, ["id", "date", "units"])
 
 
