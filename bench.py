@@ -38,9 +38,10 @@ def main() -> None:
         times[name] = round(time.perf_counter() - t0, 3)
         return out
 
-    # warm the JVM on the smallest data (not timed)
-    small = "/root/testdata/sf0.001"
-    if os.path.exists(small):
+    # warm the JVM (JIT of the hot loops) on smaller data; not timed
+    small = next((p for p in ("/root/testdata/sf0.01", "/root/testdata/sf0.001")
+                  if os.path.exists(p) and p != sf_dir), None)
+    if small:
         raw_w = scratch_path(spark, "warm-raw")
         bz.write_raw(fixtures.bronze(spark, small).as_dict(), raw_w)
         warm = scratch_path(spark, "warm")
