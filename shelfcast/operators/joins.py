@@ -6,15 +6,28 @@ from pyspark.sql import functions as F
 
 from shelfcast.schemas import CALENDAR_COLS
 
+# A calendar has one row per day: 200,000 rows are more than 500 years.
+MAX_BROADCAST_ROWS = 200_000
 
-def join_calendar(long_df: DataFrame, calendar: DataFrame, guard: bool = True) -> DataFrame:
+
+def bounded_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast a dimension only after checking its size; above ``max_rows``
+    return it unhinted (a shuffle join).  The count runs on the small table
+    only, never on the fact side."""
+    n = dim.count()
+    return F.broadcast(dim) if n <= max_rows else dim
+
+
+def join_calendar(long_df: DataFrame, calendar: DataFrame, guard: bool = True,
+                  max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Left join on the day name ``d``; brings date and calendar attributes.
 
-    The calendar has one row per day (a few thousand rows for decades of
-    data), so it is broadcast.  With ``guard`` an unmatched day raises inside
-    the same pass (no extra scan): the reference fails on a missing date too.
+    The calendar has one row per day, so it is broadcast once its row count
+    is checked.  With ``guard`` an unmatched day raises inside the same pass
+    (no extra scan): the reference fails on a missing date too.
     """
-    df = long_df.join(F.broadcast(calendar.select(*CALENDAR_COLS)), "d", "left")
+    cal = bounded_broadcast(calendar.select(*CALENDAR_COLS), max_broadcast_rows)
+    df = long_df.join(cal, "d", "left")
     if guard:
         df = df.withColumn(
             "date",
@@ -26,7 +39,7 @@ def join_calendar(long_df: DataFrame, calendar: DataFrame, guard: bool = True) -
 
 def calendar_misses(long_df: DataFrame, calendar: DataFrame) -> DataFrame:
     """Rows whose day has no calendar entry (a left anti join)."""
-    return long_df.join(F.broadcast(calendar.select("d")), "d", "left_anti")
+    return long_df.join(bounded_broadcast(calendar.select("d")), "d", "left_anti")
 
 
 def calendar_match_guard(long_df: DataFrame, calendar: DataFrame) -> DataFrame:

@@ -38,10 +38,9 @@ class DateAxis:
     def with_index(self, df: DataFrame, date_col: str = "date", out: str = "day_index") -> DataFrame:
         if self.dense:
             return df.withColumn(out, self.index(date_col))
-        if self.n_dates > MAX_BROADCAST_DATES:
-            raise ValueError("date axis too long to broadcast")
-        return df.join(F.broadcast(self.dates.withColumnRenamed("day_index", out)
-                                   .withColumnRenamed("date", date_col)), date_col)
+        dates = self.dates.withColumnRenamed("day_index", out).withColumnRenamed("date", date_col)
+        # n_dates was counted: broadcast only below the bound, else a shuffle join
+        return df.join(F.broadcast(dates) if self.n_dates <= MAX_BROADCAST_DATES else dates, date_col)
 
 
 def date_axis(df: DataFrame, date_col: str = "date") -> DateAxis:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.numeric import round_half_up
 from shelfcast.operators import features as feat
-from shelfcast.operators.joins import join_calendar, join_prices
+from shelfcast.operators.joins import bounded_broadcast, join_calendar, join_prices
 from shelfcast.operators.reshape import unpivot_sales, unpivot_sales_sql
 from shelfcast.schemas import CALENDAR_COLS, SILVER_COLS, SILVER_SQL_COLS
 from shelfcast.sources import fixtures
@@ -37,21 +37,19 @@ def silver_sales_daily(sales: DataFrame, calendar: DataFrame, prices: DataFrame,
     df = unpivot_sales(spread_series(sales, partitions))
     df = join_calendar(df, calendar, guard=True)
     df = join_prices(df, prices)
-    df = feat.add_features(df)
-    df = feat.clean_types(df)
-    return df.select(*SILVER_COLS)
+    cols = feat.silver_columns()
+    return df.select(*[cols[c].alias(c) for c in SILVER_COLS])
 
 
 def silver_sales_daily_sql(sales: DataFrame, calendar: DataFrame, prices: DataFrame) -> DataFrame:
     """The SQL variant: nulls dropped by UNPIVOT, unmatched days keep a null
     date, unknown state gives a NULL SNAP flag; 16 columns."""
     df = unpivot_sales_sql(spread_series(sales))
-    df = df.join(F.broadcast(calendar.select(*CALENDAR_COLS)), "d", "left")
+    df = df.join(bounded_broadcast(calendar.select(*CALENDAR_COLS)), "d", "left")
     df = join_prices(df, prices)
-    df = feat.snap_flag_sql(df)
-    df = df.withColumn("snap_flag", F.col("snap_flag").cast("int"))
-    df = feat.is_weekend(df).transform(feat.is_active)
-    return df.select(*SILVER_SQL_COLS)
+    exprs = {"snap_flag": feat.snap_flag_expr(True).cast("int"), "is_weekend": feat.is_weekend_expr(),
+             "is_active": feat.is_active_expr()}
+    return df.select(*[exprs[c].alias(c) if c in exprs else F.col(c) for c in SILVER_SQL_COLS])
 
 
 def publish_silver(silver: DataFrame, path: str, table: str, buckets: int) -> DataFrame:

@@ -50,8 +50,16 @@ def register(name: str):
 _MATERIALISED: dict[tuple, tuple[str, str]] = {}
 
 
+_BRONZE: dict[tuple, fixtures.Bronze] = {}
+
+
 def bronze(spark: SparkSession, sf_dir: str) -> fixtures.Bronze:
-    return fixtures.bronze(spark, sf_dir)
+    """The Bronze projection's (lazy) plans, built once per session and folder:
+    analysing the wide pivot is the costly part, not the data."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if key not in _BRONZE:
+        _BRONZE[key] = fixtures.bronze(spark, sf_dir)
+    return _BRONZE[key]
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -97,14 +97,17 @@ def daily_sales(spark: SparkSession, sf_dir: str, win: Window = Window()) -> Dat
     """Sparse (p_partkey, region, date, qty) for the days inside the window.
 
     The ship-date predicate is a literal range, so it reaches the Parquet scan.
-    ``nation`` is broadcast: it has 25 rows by definition of the schema.
+    ``nation`` (25 rows by definition of the schema) is broadcast after its
+    size is checked; ``supplier`` and ``lineitem`` grow with the data and get
+    no hint (AQE may broadcast from measured sizes or split a hot supplier).
     """
+    from shelfcast.operators.joins import bounded_broadcast
     li = table(spark, sf_dir, "lineitem").where(
         (F.col("l_shipdate") >= F.lit(f"{win.start} 00:00:00").cast("timestamp_ntz"))
         & (F.col("l_shipdate") < F.lit(f"{win.end_exclusive} 00:00:00").cast("timestamp_ntz"))
     ).select("l_partkey", "l_suppkey", F.col("l_shipdate").cast("date").alias("date"), "l_quantity")
     supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey").join(
-        F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")),
+        bounded_broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"), 10_000),
         F.col("s_nationkey") == F.col("n_nationkey"),
     ).select("s_suppkey", F.col("n_regionkey").alias("region"))
     return (
@@ -127,27 +130,39 @@ def series_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def sales_wide(spark: SparkSession, sf_dir: str, win: Window = Window()) -> DataFrame:
-    """Raw wide sales: id columns + ``d_1 .. d_N`` integer units (0 when none)."""
-    days = win.day_names
-    day_no = F.datediff("date", F.lit(win.start).cast("date")) + 1
-    sparse = (
-        daily_sales(spark, sf_dir, win)
-        .select("p_partkey", "region", F.concat(F.lit("d_"), day_no.cast("string")).alias("d"), "qty")
-        .groupBy("p_partkey", "region").pivot("d", days).agg(F.sum("qty"))
-    )
-    grid = series_grid(spark, sf_dir)
-    return grid.join(sparse, ["p_partkey", "region"], "left").select(
-        *ID_COLS, *[F.coalesce(F.col(d), F.lit(0.0)).cast("int").alias(d) for d in days]
-    )
+def sales_wide(spark: SparkSession, sf_dir: str, win: Window = Window(),
+               daily: DataFrame | None = None) -> DataFrame:
+    """Raw wide sales: id columns + ``d_1 .. d_N`` integer units (0 when none).
 
-
-def prices(spark: SparkSession, sf_dir: str, win: Window = Window()) -> DataFrame:
+    The series grid (every product in every store) and the sparse daily
+    sales are unioned and folded by one aggregation per series: a conditional
+    sum per day column.  One shuffle on the series key, combined map-side,
+    and no join; the grid rows contribute the id columns, the sales rows the
+    quantities.
+    """
+    day = F.datediff("date", F.lit(win.start).cast("date"))
+    daily = daily if daily is not None else daily_sales(spark, sf_dir, win)
+    sales = daily.select(
+        "p_partkey", "region", *[F.lit(None).cast("string").alias(c) for c in ID_COLS],
+        day.alias("day"), "qty")
+    grid = series_grid(spark, sf_dir).select(
+        "p_partkey", "region", *ID_COLS, F.lit(None).cast("int").alias("day"),
+        F.lit(None).cast("double").alias("qty"))
+    units = [F.coalesce(F.sum(F.when(F.col("day") == i, F.col("qty"))), F.lit(0.0)).cast("int").alias(d)
+             for i, d in enumerate(win.day_names)]
+    return (grid.unionByName(sales).groupBy("p_partkey", "region")
+            .agg(*[F.max(c).alias(c) for c in ID_COLS], *units)
+            .select(*ID_COLS, *win.day_names))
+
+
+def prices(spark: SparkSession, sf_dir: str, win: Window = Window(),
+           daily: DataFrame | None = None) -> DataFrame:
     """Weekly price per (store, item): present only for weeks with a sale there."""
     week = (F.lit(FIRST_WEEK) + F.floor(F.datediff("date", F.lit(win.start).cast("date")) / 7)).cast("int")
     store_id, _ = _store_of_region("region")
+    daily = daily if daily is not None else daily_sales(spark, sf_dir, win)
     return (
-        daily_sales(spark, sf_dir, win)
+        daily
         .join(products(spark, sf_dir), "p_partkey")
         .groupBy(store_id, "item_id", week.alias("wm_yr_wk"))
         .agg(F.max("price").cast("double").alias("sell_price"))
@@ -166,4 +181,5 @@ class Bronze:
 
 
 def bronze(spark: SparkSession, sf_dir: str, win: Window = Window()) -> Bronze:
-    return Bronze(sales_wide(spark, sf_dir, win), calendar(spark, win), prices(spark, sf_dir, win))
+    daily = daily_sales(spark, sf_dir, win)
+    return Bronze(sales_wide(spark, sf_dir, win, daily), calendar(spark, win), prices(spark, sf_dir, win, daily))
