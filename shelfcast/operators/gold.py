@@ -172,3 +172,24 @@ def abc_summary(abc: DataFrame) -> DataFrame:
         round_half_even(F.col("n_items") / F.sum("n_items").over(every) * 100, 1).alias("pct_items"),
         round_half_even(F.try_divide(money("_rev"), money(F.sum("_rev").over(every))) * 100, 1).alias("pct_revenue"),
     )
+
+
+# ------------------------------------------------------------ output order ---
+
+# The order in which the reference writes each output.
+OUTPUT_ORDER = {
+    "dim_product": [("item_id", True)],
+    "dim_store": [("store_id", True)],
+    "dim_calendar": [("date", True)],
+    "weekly_category_sales": [("cat_id", True), ("store_id", True), ("wm_yr_wk", True)],
+    "silver_sales_daily": [("id", True), ("date", True)],
+    "abc_classification": [("total_revenue", False), ("item_id", True)],
+    "comparison_table": [("RMSSE", True), ("model", True)],
+}
+
+
+def order_outputs(df: DataFrame, table: str) -> DataFrame:
+    """Sort at the output edge only (row order is not a property of a Spark
+    table): a range-partitioned distributed sort, nulls last like pandas."""
+    keys = OUTPUT_ORDER[table]
+    return df.orderBy(*[F.col(c).asc_nulls_last() if asc else F.col(c).desc_nulls_last() for c, asc in keys])

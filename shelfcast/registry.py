@@ -366,7 +366,7 @@ def q_tail_mean(spark, sf_dir):
 
 @register("order_outputs")
 def q_order_outputs(spark, sf_dir):
-    return gold.weekly_category_sales(silver(spark, sf_dir)).orderBy("cat_id", "store_id", "wm_yr_wk")
+    return gold.order_outputs(gold.weekly_category_sales(silver(spark, sf_dir)), "weekly_category_sales")
 
 
 def _evaluated(spark, sf_dir) -> DataFrame:

@@ -113,3 +113,9 @@ def test_abc_summary_rounding(spark):
     s = rev_silver(spark, {"a": 80.0, "b": 15.0, "c": 5.0})
     rows = {r.abc_class: r for r in gold.abc_summary(gold.abc_classification(s, buckets=1)).collect()}
     assert rows["A"].pct_revenue == 80.0 and rows["B"].pct_items == 33.3
+
+
+def test_order_outputs(spark):
+    s = rev_silver(spark, {"a": 10.0, "b": 30.0, "c": 20.0})
+    out = gold.order_outputs(gold.abc_classification(s, buckets=1), "abc_classification").collect()
+    assert [r.item_id for r in out] == ["b", "c", "a"]
