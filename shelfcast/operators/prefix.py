@@ -17,7 +17,9 @@ rank, exact medians) we instead:
    bucket lands in its own task.
 
 The split points are values, not partition ids, so re-evaluating the plan
-gives the same buckets.  Only the split points reach the driver.
+gives the same buckets.  What reaches the driver is the bounded sample of
+order keys (about ``buckets * sample_per_bucket`` rows, at most a few hundred
+thousand keys) from which the split points are taken - never row data.
 """
 from __future__ import annotations
 
