@@ -10,9 +10,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from shelfcast.functions.numeric import cents, cents_sum
+from shelfcast.functions.numeric import cents_sum
 from shelfcast.schemas import FLAG_COLS, SILVER_CONTRACT
 
 KEY_COLS = ["id", "item_id", "store_id", "date"]
