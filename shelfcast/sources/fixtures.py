@@ -134,25 +134,20 @@ def sales_wide(spark: SparkSession, sf_dir: str, win: Window = Window(),
                daily: DataFrame | None = None) -> DataFrame:
     """Raw wide sales: id columns + ``d_1 .. d_N`` integer units (0 when none).
 
-    The series grid (every product in every store) and the sparse daily
-    sales are unioned and folded by one aggregation per series: a conditional
-    sum per day column.  One shuffle on the series key, combined map-side,
-    and no join; the grid rows contribute the id columns, the sales rows the
-    quantities.
+    The sparse daily quantities are pivoted on the known day names (one
+    pivot aggregate per series, values placed by index), joined to the series
+    grid (every product in every store) and the holes filled with 0 in one
+    ``na.fill`` step.
     """
-    day = F.datediff("date", F.lit(win.start).cast("date"))
     daily = daily if daily is not None else daily_sales(spark, sf_dir, win)
-    sales = daily.select(
-        "p_partkey", "region", *[F.lit(None).cast("string").alias(c) for c in ID_COLS],
-        day.alias("day"), "qty")
-    grid = series_grid(spark, sf_dir).select(
-        "p_partkey", "region", *ID_COLS, F.lit(None).cast("int").alias("day"),
-        F.lit(None).cast("double").alias("qty"))
-    units = [F.coalesce(F.sum(F.when(F.col("day") == i, F.col("qty"))), F.lit(0.0)).cast("int").alias(d)
-             for i, d in enumerate(win.day_names)]
-    return (grid.unionByName(sales).groupBy("p_partkey", "region")
-            .agg(*[F.max(c).alias(c) for c in ID_COLS], *units)
-            .select(*ID_COLS, *win.day_names))
+    day_no = F.datediff("date", F.lit(win.start).cast("date")) + 1
+    sparse = (
+        daily.select("p_partkey", "region", F.concat(F.lit("d_"), day_no.cast("string")).alias("d"),
+                     F.col("qty").cast("int").alias("qty"))
+        .groupBy("p_partkey", "region").pivot("d", win.day_names).agg(F.sum("qty").cast("int"))
+    )
+    return (series_grid(spark, sf_dir).join(sparse, ["p_partkey", "region"], "left")
+            .na.fill(0, subset=win.day_names).select(*ID_COLS, *win.day_names))
 
 
 def prices(spark: SparkSession, sf_dir: str, win: Window = Window(),
