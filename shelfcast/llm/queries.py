@@ -1,18 +1,24 @@
 """The operators as queries over the driver's tables, and their SQL where it can express them."""
 from __future__ import annotations
 
-from shelfcast.llm import chat_format, exact_dedup, mixing, sharding, url_filter
+from shelfcast.llm import (
+    chat_format, exact_dedup, mixing, ppm_langid, quality_crf, secret_scan, sharding, url_filter,
+)
 from shelfcast.llm.common import table
 
 QUERIES = {
+    "op2_quality_crf": lambda spark, sf: quality_crf.classify(table(spark, sf, "documents"), table(spark, sf, "labels")),
     "op3_chat_rotation": lambda spark, sf: chat_format.rotate(table(spark, sf, "conversations")),
     "op4_rendezvous_shards": lambda spark, sf: sharding.shard_documents(table(spark, sf, "documents")),
     "op5_source_mix": lambda spark, sf: mixing.mix_documents(table(spark, sf, "documents")),
+    "op6_secret_ownership": lambda spark, sf: secret_scan.find_secrets(table(spark, sf, "documents")),
     "op7_url_filter": lambda spark, sf: url_filter.filter_urls(table(spark, sf, "pages")),
+    "op8_ppm_language": lambda spark, sf: ppm_langid.identify(table(spark, sf, "documents")),
     "op10_content_sort_dedup": lambda spark, sf: exact_dedup.exact_dedup(table(spark, sf, "documents")),
 }
 
 ORACLES = {
+    "op2_quality_crf": lambda spark, sf: quality_crf.classify(table(spark, sf, "documents"), table(spark, sf, "labels")),
     "op3_chat_rotation": chat_format.ORACLE,
     "op10_content_sort_dedup": exact_dedup.ORACLE,
 }
