@@ -2,11 +2,12 @@
 from __future__ import annotations
 
 from shelfcast.llm import (
-    chat_format, exact_dedup, mixing, ppm_langid, quality_crf, secret_scan, sharding, url_filter,
+    chat_format, decontam, exact_dedup, jaccard_join, mixing, ppm_langid, quality_crf, secret_scan, sharding, url_filter,
 )
 from shelfcast.llm.common import table
 
 QUERIES = {
+    "op1_ngram_jaccard": lambda spark, sf: jaccard_join.join_documents(table(spark, sf, "documents")),
     "op2_quality_crf": lambda spark, sf: quality_crf.classify(table(spark, sf, "documents"), table(spark, sf, "labels")),
     "op3_chat_rotation": lambda spark, sf: chat_format.rotate(table(spark, sf, "conversations")),
     "op4_rendezvous_shards": lambda spark, sf: sharding.shard_documents(table(spark, sf, "documents")),
@@ -14,11 +15,14 @@ QUERIES = {
     "op6_secret_ownership": lambda spark, sf: secret_scan.find_secrets(table(spark, sf, "documents")),
     "op7_url_filter": lambda spark, sf: url_filter.filter_urls(table(spark, sf, "pages")),
     "op8_ppm_language": lambda spark, sf: ppm_langid.identify(table(spark, sf, "documents")),
+    "op9_bm25_decontam": lambda spark, sf: decontam.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark")),
     "op10_content_sort_dedup": lambda spark, sf: exact_dedup.exact_dedup(table(spark, sf, "documents")),
 }
 
 ORACLES = {
+    "op1_ngram_jaccard": lambda spark, sf: jaccard_join.join_documents(table(spark, sf, "documents")),
     "op2_quality_crf": lambda spark, sf: quality_crf.classify(table(spark, sf, "documents"), table(spark, sf, "labels")),
+    "op1_ngram_jaccard": jaccard_join.ORACLE,
     "op3_chat_rotation": chat_format.ORACLE,
     "op10_content_sort_dedup": exact_dedup.ORACLE,
 }
