@@ -2,11 +2,14 @@
 
 A text's set holds the hashes of its distinct three-word shingles.  Texts of equal
 sets form a class, and only one of each class is searched.  Two sets with Jaccard
-similarity of at least 0.9 share one of their first n - ceil(0.9 n) + 1 shingles in
-any common order; here shingles common in a bounded sample come last, so what many
-texts share (licences, headlines, frequent words) makes no candidates unless a text
-has little else.  Classes that share such a shingle are gathered into clusters, no
-pairs are written, and only the sets of clusters with two members or more move.
+similarity of at least 0.9 differ in at most (a + b) / 19 shingles.  So the shingles
+are dealt by hash into one part more than that (and ``SPARE`` further ones): some part
+is the same in both, and one that isn't empty unless more than ``SPARE`` are.  A part
+holds about seven shingles, so texts that merely share a passage, a licence line or
+frequent words rarely have a whole part in common.  The number of parts follows from
+the larger set, by levels of size; a set near the top of its level is dealt on the
+next one as well.  Classes that share a part are gathered into clusters, no pairs are
+written, and only the sets of clusters with two members or more move.
 
 Within a cluster each set is searched in an inverted index by DivideSkip: the lists
 of its shingles are divided by length, the short ones merged by counting, and the
@@ -33,12 +36,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import SPACE, hash52, pick, small_batches, staged
+from shelfcast.llm.common import SPACE, pick, small_batches, staged
 from shelfcast.llm.components import components
 
 SHINGLE = 3
-SAMPLE_DOCS = 5_000        # texts whose shingles tell which are common
-COMMON = 4                 # of them that make a shingle common
+LEVEL = 1.5                # from one level's largest size to the next one's
+SPARE = 2                  # parts beyond those that the differences may spoil
 BLOCK_TOKENS = 1_000_000   # shingles of the sets in one block
 MU = 1.0                   # DivideSkip: long lists = T / (MU * log2(longest) + 1)
 KEY = ["no_id", "doc_id", "th"]
@@ -94,46 +97,50 @@ def _texts(docs: DataFrame) -> DataFrame:
         F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"), "text")
 
 
-def common_shingles(texts: DataFrame, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles in ``COMMON`` or more texts of a sample of about ``SAMPLE_DOCS``, and how many.
-
-    They only order the shingles: any order finds every link."""
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = Words()
-        for b in batches:
-            sets = [shingle_set(t, words) for t in b["text"]]
-            got, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_counts=True)
-            yield pd.DataFrame({"t": got.view(np.int64), "n": n.astype(np.int64)})
-    chance = hash52(F.lit("jaccard"), F.col("doc_id"), F.col("th")) / float(1 << 52)
-    got = (texts.where(chance * max(1, n_rows) < SAMPLE_DOCS).select("text").mapInPandas(count, "t long, n long")
-           .groupBy("t").agg(F.sum("n").alias("n")).where(F.col("n") >= COMMON).orderBy("t").toArrow())
-    return got["t"].to_numpy().copy(), got["n"].to_numpy().copy()
+def levels(upto: int) -> list[int]:
+    """Largest set size of each level; sets of the first one are similar only if equal."""
+    out = [9]
+    while out[-1] < upto:
+        out.append(int(out[-1] * LEVEL))
+    return out
 
 
-def signatures(texts: DataFrame, n_rows: int) -> DataFrame:
-    """no_id, doc_id, th, n, s1, s2, lead (first shingles in the common order)."""
-    common = texts.sparkSession.sparkContext.broadcast(common_shingles(texts, n_rows))
-
+def part_keys(s: np.ndarray, tops: list[int]) -> np.ndarray:
+    """64-bit keys of the set's parts, on its level and, if a partner may be there, the next."""
+    n = len(s)
+    own = int(np.searchsorted(tops, n))
+    out = []
+    for level in range(own, own + 1 + (10 * n // 9 > tops[own])):
+        if level == 0:
+            continue
+        parts = 2 * tops[level] // 19 + 1 + SPARE
+        part = ((s >> np.uint64(20)) % np.uint64(parts)).astype(np.int64)
+        by = np.argsort(part, kind="stable")
+        part, x = part[by], _mix(s[by])
+        at = np.flatnonzero(np.diff(part, prepend=-1))
+        key = _mix(np.add.reduceat(x, at) + (part[at] * 64 + level).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        out.append(key)
+        if parts - len(at) > SPARE:                          # many empty parts: these count, too
+            empty = np.setdiff1d(np.arange(parts), part[at])
+            out.append(_mix((empty * 64 + level).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)))
+    return np.concatenate(out or [np.zeros(0, np.uint64)]).view(np.int64)
+
+
+def signatures(texts: DataFrame) -> DataFrame:
+    """no_id, doc_id, th, n, s1, s2, parts (keys of the set's parts)."""
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokens, counts = common.value
-        words = Words()
+        words, tops = Words(), levels(9)
         for b in batches:
             rows = []
             for t in b["text"]:
                 s = shingle_set(t, words)
-                x = s.view(np.int64)
-                lead = np.zeros(0, dtype=np.int64)
-                if len(x):
-                    rank = np.zeros(len(x), dtype=np.int64)
-                    if len(tokens):
-                        at = np.minimum(np.searchsorted(tokens, x), len(tokens) - 1)
-                        rank = np.where(tokens[at] == x, counts[at], 0)
-                    lead = x[np.lexsort((x, rank))[:len(x) - need(len(x)) + 1]]
-                rows.append((len(x), *set_key(s), lead))
-            out = pd.DataFrame(rows, columns=["n", "s1", "s2", "lead"])
+                if len(s) * 2 > tops[-1]:
+                    tops = levels(len(s) * 2)
+                rows.append((len(s), *set_key(s), part_keys(s, tops) if len(s) else np.zeros(0, np.int64)))
+            out = pd.DataFrame(rows, columns=["n", "s1", "s2", "parts"])
             yield pd.concat([b[KEY].reset_index(drop=True), out], axis=1)
 
-    return texts.mapInPandas(sign, "no_id int, doc_id long, th long, n long, s1 long, s2 long, lead array<long>")
+    return texts.mapInPandas(sign, "no_id int, doc_id long, th long, n long, s1 long, s2 long, parts array<long>")
 
 
 def _find(root: np.ndarray, i: int) -> int:
@@ -232,20 +239,19 @@ def jaccard_join(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame
 
     ``kept`` marks the row that stands for its component (of repeated rows, all)."""
     small_batches(docs.sparkSession)
-    n_rows = docs.count()
     texts = _texts(docs)
-    rows = staged(signatures(texts, n_rows), "jaccard-rows")
+    rows = staged(signatures(texts), "jaccard-rows")
     of_set = ["n", "s1", "s2"]
     classes = staged(
         rows.where("n > 0").groupBy(*of_set).agg(
-            F.min(F.struct(*KEY)).alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("lead").alias("lead"))
-        .select(F.monotonically_increasing_id().alias("node"), *of_set, "rep", "copies", "lead"), "jaccard-classes")
-    # clusters: classes tied by a shingle among their first ones
-    lead = classes.select("node", F.explode("lead").alias("t"))
-    hubs = lead.groupBy("t").agg(F.min("node").alias("hub"), F.max("node").alias("top")).where("hub < top")
-    tied = lead.join(hubs.select("t", "hub"), "t").where("node <> hub")
+            F.min(F.struct(*KEY)).alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("parts").alias("parts"))
+        .select(F.monotonically_increasing_id().alias("node"), *of_set, "rep", "copies", "parts"), "jaccard-classes")
+    # clusters: classes tied by an equal part
+    part = classes.select("node", F.explode("parts").alias("part"))
+    hubs = part.groupBy("part").agg(F.min("node").alias("hub"), F.max("node").alias("top")).where("hub < top")
+    tied = part.join(hubs.select("part", "hub"), "part").where("node <> hub")
     clusters = components(tied.select(F.col("node").alias("a"), F.col("hub").alias("b")))
-    members = staged(classes.drop("lead").join(clusters, "node").withColumnRenamed("root", "cluster"), "jaccard-members")
+    members = staged(classes.drop("parts").join(clusters, "node").withColumnRenamed("root", "cluster"), "jaccard-members")
     # small clusters share a group of about block_tokens shingles; large ones are dealt into blocks
     sizes = members.groupBy("cluster").agg(F.sum("n").alias("tokens"))
     small = sizes.where(F.col("tokens") <= block_tokens).agg(F.sum("tokens")).first()[0] or 0
@@ -279,7 +285,7 @@ def jaccard_join(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame
     best = of_node.groupBy("root").agg(F.min("rep").alias("best"))
     judged = of_node.join(best, "root").select(
         *of_set, "best", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    with_set = rows.drop("lead").where("n > 0").join(judged, of_set)
+    with_set = rows.drop("parts").where("n > 0").join(judged, of_set)
     name = F.when(F.col("best.no_id") == 0, F.col("best.doc_id"))
     own = F.when(F.col("no_id") == 0, F.col("doc_id"))
     return with_set.select(

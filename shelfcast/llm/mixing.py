@@ -131,3 +131,27 @@ def mix_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     without = laid.where("size = 0").withColumn("taken", F.lit(0).cast("long"))
     return with_words.unionByName(without).join(bounded_broadcast(sources), ["src", "no_src"]).select(
         "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+
+
+def repeat_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them, columns as they are: one copy for
+    each epoch that takes at least half of a document's words.  Texts without words are in no
+    block and are left out.  Copies are found by doc_id and checksum; only the texts of rows
+    that are kept move, once."""
+    laid, _, drawn = mix(docs, block_words)
+    per_epoch = drawn.groupBy("src", "no_src", "start", "epoch", "size", "doc_id").agg(F.sum("words").alias("words"))
+    taken = per_epoch.where(2 * F.col("words") >= F.col("size")).groupBy("src", "no_src", "start").agg(
+        F.count(F.lit(1)).alias("__times"))
+    # equal rows (doc_id and text) share a key: each of them gets the group's copies in turn
+    key = ["__doc", "__none", "__crc", "__src", "__no_src"]
+    named = laid.where("size > 0").join(taken, ["src", "no_src", "start"]).select(
+        F.coalesce("doc_id", F.lit(0)).alias("__doc"), F.col("doc_id").isNull().cast("int").alias("__none"),
+        F.col("crc").alias("__crc"), F.col("src").alias("__src"), F.col("no_src").alias("__no_src"), "__times")
+    times = named.groupBy(*key).agg(F.sum("__times").alias("__times"))
+    keyed = docs.withColumns({
+        "__doc": F.coalesce("doc_id", F.lit(0)), "__none": F.col("doc_id").isNull().cast("int"),
+        "__crc": F.crc32(F.coalesce("text", F.lit("")).cast("binary")),
+        "__src": F.coalesce("source", F.lit("")), "__no_src": F.col("source").isNull().cast("int")})
+    copies = keyed.join(times, key).dropDuplicates(key)
+    return copies.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times").cast("int")))).drop(
+        *key, "__times", "__copy")
