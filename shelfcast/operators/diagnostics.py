@@ -27,23 +27,28 @@ def _every():
     return Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
 
-def intermittency_profile(silver: DataFrame) -> DataFrame:
-    """Series, days, cells, share of zero cells, mean and median of units."""
-    base = silver.agg(
-        F.countDistinct("id").alias("n_series"),
-        F.countDistinct("date").alias("n_days"),
-        F.count(F.lit(1)).alias("n_cells"),
-        round_half_up(F.avg(F.when(F.col("units") == 0, 1.0).otherwise(0.0)), 6).alias("zero_share"),
-        round_half_up(F.avg("units"), 6).alias("mean_units"),
-        F.lit(1).alias("_k"),
-    )
-    med = exact_median(silver, "units", out="median_units").withColumn("_k", F.lit(1))
-    return base.join(med, "_k").drop("_k")
+def intermittency_profile(silver: DataFrame, axis: DateAxis | None = None) -> DataFrame:
+    """Series, days, cells, share of zero cells, mean and median of units (one row).
+
+    Cells are counted per series first (no exchange on the buckets); the days are
+    those of the date axis, so nothing is expanded for distinct counts."""
+    axis = axis or date_axis(silver)
+    per_id = silver.groupBy("id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("units") == 0).alias("z"),
+        F.sum("units").alias("u"), F.count("units").alias("c"))
+    one = per_id.agg(F.count("id").alias("n_series"), F.sum("n").alias("n_cells"), F.sum("z").alias("z"),
+                     F.sum("u").alias("u"), F.sum("c").alias("c"))
+    med = exact_median(silver, "units", out="m").first()
+    return one.select(
+        "n_series", F.lit(axis.n_dates).cast("long").alias("n_days"), "n_cells",
+        round_half_up(F.try_divide("z", "n_cells"), 6).alias("zero_share"),
+        round_half_up(F.try_divide("u", "c"), 6).alias("mean_units"),
+        F.lit(med["m"] if med else None).cast("double").alias("median_units"))
 
 
 def series_stats(silver: DataFrame, axis: DateAxis | None = None, dead_window: int = DEAD_WINDOW) -> DataFrame:
     """Per series: first-sale index (-1 never sold), sales in the last
-    ``dead_window`` days, and - from the first sale on - active days, days with
+    ``dead_window`` days, and - from the first sale on - days to the end of the axis, days with
     sales, n * sum(x^2) and (sum x)^2 over the non-zero units (integers, so the
     demand statistics below are exact)."""
     axis = axis or date_axis(silver)
@@ -56,46 +61,50 @@ def series_stats(silver: DataFrame, axis: DateAxis | None = None, dead_window: i
         F.sum(F.when(u > 0, 1).otherwise(0)).alias("sale_days"),
         F.sum(F.when(u > 0, u.cast("bigint"))).alias("s1"),
         F.sum(F.when(u > 0, u.cast("bigint") * u.cast("bigint"))).alias("s2"),
-        F.max(idx).alias("last_index"),
     )
-    # active days = days from the first sale to the end of the series
-    active = F.when(F.col("first_sale_index") >= 0, F.col("last_index") - F.col("first_sale_index") + 1)
+    # active days = days from the first sale to the end of the date axis
+    active = F.when(F.col("first_sale_index") >= 0, F.lit(axis.n_dates) - F.col("first_sale_index"))
     return first.select("id", "first_sale_index", "recent_units", "n_days", "sale_days",
                         active.alias("active_days"), "s1", "s2")
 
 
+def syntetos_boylan(adi_num, adi_den, cv_num, cv_den):
+    """Class of ADI = adi_num / adi_den and CV^2 = cv_num / cv_den, compared without
+    dividing (exact for integers and decimals); strict ``<`` cuts, null -> ``sin_demanda``."""
+    exact = lambda c: c.cast("decimal(38,0)")
+    return _classes(exact(adi_num) * 100 < exact(adi_den) * 132, exact(cv_num) * 100 < exact(cv_den) * 49)
+
+
+def _classes(low_adi, low_cv):
+    return (F.when(low_adi.isNull() | low_cv.isNull(), "sin_demanda")
+            .when(low_adi & low_cv, "smooth").when(low_adi, "erratic")
+            .when(low_cv, "intermittent").otherwise("lumpy"))
+
+
+def classify_syntetos_boylan(adi, cv2):
+    """The same rule for given (ADI, CV^2) numbers."""
+    a, c = F.col(adi) if isinstance(adi, str) else adi, F.col(cv2) if isinstance(cv2, str) else cv2
+    low = lambda x, cut: F.when(~F.isnan(x), x < F.lit(float(cut)))
+    return _classes(low(a, ADI_CUT), low(c, CV2_CUT))
+
+
 def demand_stats(stats: DataFrame) -> DataFrame:
     """ADI = active days / days with sales; CV^2 = (population std / mean)^2
-    of the non-zero units = (n*sum x^2 - (sum x)^2) / (sum x)^2; class by the
-    Syntetos-Boylan cuts with exact integer comparisons; null stats ->
-    ``sin_demanda``."""
-    n, s1, s2, act = F.col("sale_days"), F.col("s1"), F.col("s2"), F.col("active_days")
+    of the non-zero units = (n*sum x^2 - (sum x)^2) / (sum x)^2, in decimals of 38
+    digits; class by ``syntetos_boylan``; never sold -> ``sin_demanda``."""
+    big = lambda c: F.col(c).cast("decimal(19,0)")
+    cv_num = big("sale_days") * big("s2") - big("s1") * big("s1")
+    cv_den = big("s1") * big("s1")
+    n, act = F.col("sale_days"), F.col("active_days")
     sold = F.col("first_sale_index") >= 0
-    cv_num = n * s2 - s1 * s1
-    cv_den = s1 * s1
-    adi_low = act * 100 < n * 132            # ADI < 1.32
-    cv_low = cv_num * 100 < cv_den * 49      # CV2 < 0.49
-    klass = (F.when(~sold, "sin_demanda")
-             .when(adi_low & cv_low, "smooth").when(adi_low, "erratic")
-             .when(cv_low, "intermittent").otherwise("lumpy"))
     return stats.select(
         "id", "first_sale_index",
         F.when(sold, act.cast("double") / n.cast("double")).alias("adi"),
         F.when(sold, cv_num.cast("double") / cv_den.cast("double")).alias("cv2"),
-        klass.alias("demand_class"),
+        F.when(sold, syntetos_boylan(act, n, cv_num, cv_den)).otherwise("sin_demanda").alias("demand_class"),
     )
 
 
-def classify_syntetos_boylan(adi, cv2):
-    """Class of (ADI, CV^2) columns: nulls first, then strict ``<`` cuts."""
-    a, c = F.col(adi) if isinstance(adi, str) else adi, F.col(cv2) if isinstance(cv2, str) else cv2
-    low_a = a < F.lit(ADI_CUT).cast("decimal(5,2)")
-    low_c = c < F.lit(CV2_CUT).cast("decimal(5,2)")
-    return (F.when(a.isNull() | c.isNull() | F.isnan(a) | F.isnan(c), "sin_demanda")
-            .when(low_a & low_c, "smooth").when(low_a, "erratic")
-            .when(low_c, "intermittent").otherwise("lumpy"))
-
-
 def series_lifecycle(stats: DataFrame) -> DataFrame:
     """Never sold (index -1), born late (index > 0), no sales in the last 90
     days (never-sold series included)."""
@@ -111,9 +120,9 @@ def series_lifecycle(stats: DataFrame) -> DataFrame:
 def launch_delay(stats: DataFrame) -> DataFrame:
     """Median and maximum first-sale index among series born late."""
     late = stats.where(F.col("first_sale_index") > 0)
-    mx = late.agg(F.max("first_sale_index").alias("max_delay"), F.lit(1).alias("_k"))
-    med = exact_median(late, "first_sale_index", out="median_delay").withColumn("_k", F.lit(1))
-    return mx.join(med, "_k", "left").select("median_delay", "max_delay")
+    med = exact_median(late, "first_sale_index", out="m").first()
+    return late.agg(F.max("first_sale_index").alias("max_delay")).select(
+        F.lit(med["m"] if med else None).cast("double").alias("median_delay"), "max_delay")
 
 
 def pre_launch_zeros(stats: DataFrame) -> DataFrame:
@@ -127,16 +136,22 @@ def pre_launch_zeros(stats: DataFrame) -> DataFrame:
 
 
 def demand_class_summary(demand: DataFrame) -> DataFrame:
-    """Series per class, percent (1 decimal, half-even), and the median ADI and
-    CV^2 of the series in the class."""
+    """Series per class, percent (1 decimal, half-even), the median ADI and CV^2 of the
+    series in the class, and those of all series (the same in each row)."""
     counts = demand.groupBy("demand_class").agg(F.count(F.lit(1)).alias("n_series"))
     counts = counts.select("demand_class", "n_series", round_half_even(
         F.col("n_series") / F.sum("n_series").over(_every()) * 100, 1).alias("pct_series"))  # <= 5 rows
     med_adi = exact_median(demand, "adi", ["demand_class"], out="median_adi")
     med_cv2 = exact_median(demand, "cv2", ["demand_class"], out="median_cv2")
+    overall = {}
+    for c in ("adi", "cv2"):
+        row = exact_median(demand, c, out="m").first()
+        overall[c] = F.lit(row["m"] if row else None).cast("double")
     return counts.join(med_adi, "demand_class", "left").join(med_cv2, "demand_class", "left").select(
         "demand_class", "n_series", "pct_series",
-        round_half_up("median_adi", 6).alias("median_adi"), round_half_up("median_cv2", 6).alias("median_cv2"))
+        round_half_up("median_adi", 6).alias("median_adi"), round_half_up("median_cv2", 6).alias("median_cv2"),
+        round_half_up(overall["adi"], 6).alias("overall_median_adi"),
+        round_half_up(overall["cv2"], 6).alias("overall_median_cv2"))
 
 
 def weekday_means(silver: DataFrame) -> DataFrame:
@@ -176,18 +191,15 @@ def snap_lift(silver: DataFrame) -> DataFrame:
 
 
 def modelling_hints(silver: DataFrame, stats: DataFrame, demand: DataFrame) -> DataFrame:
-    """One row of the facts that steer the model design."""
-    zero = silver.agg(F.avg(F.when(F.col("units") == 0, 1.0).otherwise(0.0)).alias("zero_share"),
-                      F.lit(1).alias("_k"))
-    cls = demand.agg(
-        (F.count_if(F.col("demand_class").isin("intermittent", "lumpy")) / F.count(F.lit(1)))
-        .alias("intermittent_lumpy_share"), F.lit(1).alias("_k"))
-    life = stats.agg(
-        (F.coalesce(F.sum(F.when(F.col("first_sale_index") > 0, 1)), F.lit(0)) > 0).alias("has_pre_launch_zeros"),
-        F.count_if(F.coalesce(F.col("recent_units"), F.lit(0)) == 0).alias("dead_series"),
-        F.lit(1).alias("_k"))
-    season = weekday_spread(silver).withColumn("_k", F.lit(1))
-    return zero.join(cls, "_k").join(life, "_k").join(season, "_k").select(
-        round_half_up("zero_share", 6).alias("zero_share"),
-        round_half_up("intermittent_lumpy_share", 6).alias("intermittent_lumpy_share"),
-        "has_pre_launch_zeros", "dead_series", "weekly_seasonality")
+    """One row of the facts that steer the model design (four one-row aggregates; three
+    of them are read as scalars)."""
+    cls = demand.agg((F.count_if(F.col("demand_class").isin("intermittent", "lumpy")) / F.count(F.lit(1)))
+                     .alias("share")).first()
+    life = stats.agg(F.count_if(F.col("first_sale_index") > 0).alias("late"),
+                     F.count_if(F.coalesce(F.col("recent_units"), F.lit(0)) == 0).alias("dead")).first()
+    season = weekday_spread(silver).first()
+    return silver.agg(F.avg(F.when(F.col("units") == 0, 1.0).otherwise(0.0)).alias("z")).select(
+        round_half_up("z", 6).alias("zero_share"),
+        round_half_up(F.lit(cls["share"]).cast("double"), 6).alias("intermittent_lumpy_share"),
+        F.lit(life["late"] > 0).alias("has_pre_launch_zeros"), F.lit(life["dead"]).cast("long").alias("dead_series"),
+        F.lit(season["weekly_seasonality"]).alias("weekly_seasonality"))

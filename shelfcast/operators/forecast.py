@@ -1,10 +1,9 @@
 """Forecast baselines, revenue weights, the gradient-boosted demand model,
 the served forecasts table and its lookup.
 
-All baselines are evaluated in one pass: the long series are hash-partitioned
-by ``id`` once, every per-series statistic (last value, moving means, last
-``period`` values, RMSSE scale) is a window aggregate over that partition,
-and the test rows carry their forecasts without any join.
+Silver is bucketed by ``id``: the per-series statistics (last value, moving means,
+last ``period`` values, RMSSE scale) are one aggregate by ``id`` over the training
+rows, joined to the test rows by ``id``; neither needs an exchange.
 """
 from __future__ import annotations
 
@@ -15,6 +14,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.numeric import cents, money
 from shelfcast.operators.series import DateAxis, date_axis
+from shelfcast.session import checkpoint_root
 
 HORIZON = 28
 PERIOD = 7
@@ -33,29 +33,37 @@ def baseline_frame(silver: DataFrame, horizon: int = HORIZON, period: int = PERI
     n_train = axis.n_dates - horizon
     if n_train < period:
         raise ValueError(f"train ({n_train} days) shorter than the period {period}")
+    require_complete(silver, axis)
     df = axis.with_index(silver.select("id", "date", "units"))
     idx, units = F.col("day_index"), F.col("units")
     train = idx < n_train
-    ordered = Window.partitionBy("id").orderBy("day_index")
-    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    d = (units - F.lag(units, 1).over(ordered)).cast("bigint")
-    df = df.withColumn("_d2", F.when(train & (idx >= 1), d * d))
-    stats = [
-        F.max(F.when(idx == n_train - 1, units)).over(whole).cast("double").alias("last"),
-        *[F.avg(F.when(train & (idx >= n_train - w), units)).over(whole).alias(f"ma_{w}") for w in windows],
-        F.array(*[F.max(F.when(idx == n_train - period + k, units)).over(whole) for k in range(period)]).alias("_season"),
-        F.avg("_d2").over(whole).alias("_scale"),
-    ]
-    df = df.select("id", "date", "day_index", "units", *stats).where(~train)
+    d = (units - F.lag(units, 1).over(Window.partitionBy("id").orderBy("day_index"))).cast("bigint")
+    stats = df.withColumn("_d2", d * d).where(train).groupBy("id").agg(
+        F.max(F.when(idx == n_train - 1, units)).cast("double").alias("last"),
+        *[F.avg(F.when(idx >= n_train - w, units)).alias(f"ma_{w}") for w in windows],
+        *[F.max(F.when(idx == n_train - period + k, units)).alias(f"_s{k}") for k in range(period)],
+        F.avg("_d2").alias("_scale"),
+    )
     step = F.col("day_index") - n_train + 1
-    return df.select(
+    season = F.array(*[F.col(f"_s{k}") for k in range(period)])
+    return df.where(~train).join(stats, "id").select(
         "id", step.cast("int").alias("step"), "date", F.col("units").alias("y"), "last",
         *[f"ma_{w}" for w in windows],
-        F.element_at("_season", ((step - 1) % period + 1).cast("int")).cast("double").alias("seas"),
+        F.element_at(season, ((step - 1) % period + 1).cast("int")).cast("double").alias("seas"),
         F.when(F.col("_scale") != 0, F.col("_scale")).alias("scale"),
     )
 
 
+def require_complete(silver: DataFrame, axis: DateAxis) -> None:
+    """Raise unless every series has one row for each date of the axis and no null units:
+    scores over different points could not be compared, and lags would step over gaps."""
+    per_id = silver.groupBy("id").agg(F.count("units").alias("n"), F.count(F.lit(1)).alias("rows"))
+    bad = per_id.where((F.col("n") != axis.n_dates) | (F.col("rows") != axis.n_dates)).limit(3).collect()
+    if bad:
+        raise ValueError(f"incomplete series (need {axis.n_dates} days each): "
+                         + ", ".join(f"{r['id']} has {r['n']} of {r['rows']} rows" for r in bad))
+
+
 def baseline_forecasts(frame: DataFrame, windows=MA_WINDOWS, period: int = PERIOD) -> DataFrame:
     """Long forecasts (model, id, step, date, y, yhat, scale): one Generate, no join."""
     models = [("zero", F.lit(0.0)), ("naive", F.col("last")), (f"seasonal_naive_{period}", F.col("seas"))]
@@ -65,10 +73,6 @@ def baseline_forecasts(frame: DataFrame, windows=MA_WINDOWS, period: int = PERIO
         "model", "id", "step", "date", "y", "yhat", "scale")
 
 
-def forecast_model(frame: DataFrame, model: str) -> DataFrame:
-    return baseline_forecasts(frame).where(F.col("model") == model).select("id", "step", "date", "yhat")
-
-
 def revenue_weights(silver: DataFrame, horizon: int = HORIZON, last_days: int = 28,
                     axis: DateAxis | None = None) -> DataFrame:
     """Revenue per series in ``(max_date - horizon - last_days, max_date - horizon]``,
@@ -103,22 +107,30 @@ def demand_features(silver: DataFrame) -> DataFrame:
     return rolling_mean_features(lag_features(base))
 
 
+MAX_TRAIN_ROWS = 20_000
+
+
 def train_demand_model(train: DataFrame, features=FEATURES, max_iter: int = 200,
-                       step_size: float = 0.05, max_depth: int = 5, seed: int = 42):
+                       step_size: float = 0.05, max_depth: int = 5, seed: int = 42,
+                       max_rows: int = MAX_TRAIN_ROWS):
     """Gradient-boosted trees on the feature rows; nulls in features -> 0.
 
     Same model family and settings as the reference's booster (200 rounds,
-    rate 0.05, about 31 leaves ~ depth 5, seed 42), trained distributed by
-    Spark ML.  Returns the fitted pipeline model.
+    rate 0.05, about 31 leaves ~ depth 5, seed 42), trained by Spark ML on about
+    ``max_rows`` of the labelled rows (by hash of id and date).  The lineage of the rounds
+    is cut every ten of them.  Returns the fitted pipeline model.
     """
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor
 
-    data = train.na.fill(0, subset=list(features)).withColumn("label", F.col("units").cast("double"))
+    checkpoint_root(train.sparkSession)
+    share = min(1.0, max_rows / max(1, train.count()))
+    chance = F.pmod(F.xxhash64("id", "date"), F.lit(1 << 20)) / float(1 << 20)
+    data = train.where(chance < share).na.fill(0, subset=list(features)).withColumn("label", F.col("units").cast("double"))
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
     gbt = GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter,
-                       stepSize=step_size, maxDepth=max_depth, seed=seed)
+                       stepSize=step_size, maxDepth=max_depth, seed=seed, checkpointInterval=10)
     return Pipeline(stages=[assembler, gbt]).fit(data)
 
 
@@ -132,38 +144,72 @@ def predict_demand(model, rows: DataFrame, features=FEATURES) -> DataFrame:
 MAX_SERVED_HORIZON = 90
 
 
-def forecasts_table(silver: DataFrame, model: str = "moving_average_28",
-                    horizon: int = MAX_SERVED_HORIZON, window: int = 28) -> DataFrame:
-    """Forecasts for every series, steps 1..horizon after the last date, from a
-    baseline fitted on all history: (item_id, store_id, model, step, date,
-    predicted_units).  Steps come from ``sequence`` (a Generate)."""
+def forecasts_table(silver: DataFrame, models=("moving_average_28",), horizon: int = MAX_SERVED_HORIZON,
+                    period: int = PERIOD, trained=None) -> DataFrame:
+    """Forecasts for every series, steps 1..horizon after the last date, from all
+    history: (item_id, store_id, model, step, date, predicted_units).
+
+    ``models``: baseline names, and ``gbt`` with a model of ``train_demand_model`` as
+    ``trained`` (its lags and rolling means are held at their last values, so every step
+    of a weekday gets that weekday's prediction).  Steps come from ``sequence``."""
     axis = date_axis(silver)
     n = axis.n_dates
     df = axis.with_index(silver.select("id", "item_id", "store_id", "date", "units"))
-    idx = F.col("day_index")
-    if model.startswith("moving_average_"):
-        w = int(model.rsplit("_", 1)[1])
-        value = F.avg(F.when(idx >= n - w, F.col("units")))
-    elif model == "naive":
-        value = F.max(F.when(idx == n - 1, F.col("units")))
-    elif model == "zero":
-        value = F.lit(0.0)
-    else:
-        raise ValueError(f"unknown served model {model}")
-    per_series = df.groupBy("id", "item_id", "store_id").agg(value.cast("double").alias("predicted_units"))
+    idx, units = F.col("day_index"), F.col("units")
+    values = []
+    for m in models:
+        kind, _, k = m.rpartition("_")
+        if m == "zero":
+            value = F.lit(0.0)
+        elif m == "naive":
+            value = F.max(F.when(idx == n - 1, units))
+        elif kind == "moving_average":
+            value = F.avg(F.when(idx >= n - int(k), units))
+        elif kind == "seasonal_naive":
+            value = F.array(*[F.max(F.when(idx == n - int(k) + j, units)).cast("double") for j in range(int(k))])
+        elif m == "gbt" and trained is not None:
+            continue
+        else:
+            raise ValueError(f"unknown served model {m}")
+        values.append(F.struct(F.lit(m).alias("model"), (value if kind == "seasonal_naive" else F.array(value.cast("double")))
+                               .alias("cycle")))
     step = F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("step")
-    return per_series.select("item_id", "store_id", F.lit(model).alias("model"), step, "predicted_units").select(
-        "item_id", "store_id", "model", "step",
-        F.date_add(F.lit(axis.last), F.col("step")).alias("date"), "predicted_units")
+    cols = ["item_id", "store_id", "model", "step"]
+    parts = []
+    if values:
+        per_series = df.groupBy("id", "item_id", "store_id").agg(F.array(*values).alias("v"))
+        parts.append(per_series.select("item_id", "store_id", F.inline("v")).select("item_id", "store_id", "model", "cycle", step).select(
+            *cols, F.element_at("cycle", ((F.col("step") - 1) % F.size("cycle") + 1).cast("int")).alias("predicted_units")))
+    if "gbt" in models:
+        last = demand_features(silver).where(F.col("date") == F.lit(axis.last)).drop("wday", "snap_flag")
+        names = silver.groupBy("id").agg(F.first("item_id").alias("item_id"), F.first("store_id").alias("store_id"))
+        ahead = last.join(names, "id").select("*", step).withColumn("date", F.date_add(F.lit(axis.last), F.col("step")))
+        ahead = ahead.withColumn("wday", (F.dayofweek("date") % 7 + 1).cast("int")).withColumn("snap_flag", F.lit(0))
+        scored = trained.transform(ahead.na.fill(0, subset=FEATURES))
+        parts.append(scored.select("item_id", "store_id", F.lit("gbt").alias("model"), "step",
+                                   F.col("prediction").alias("predicted_units")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select(*cols, F.date_add(F.lit(axis.last), F.col("step")).alias("date"), "predicted_units")
+
+
+def write_forecasts(silver: DataFrame, path: str, models=tuple(BASELINE_MODELS), trained=None,
+                    horizon: int = MAX_SERVED_HORIZON) -> DataFrame:
+    """The stored forecasts table (Parquet by model) that look-ups read."""
+    forecasts_table(silver, models, horizon, trained=trained).write.mode("overwrite").partitionBy("model").parquet(path)
+    return silver.sparkSession.read.parquet(path)
 
 
 def forecast_lookup(forecasts: DataFrame, item_id: str | None = None, store_id: str | None = "CA_1",
-                    horizon: int = 28) -> DataFrame:
-    """The API's forecast call as a filter of the forecasts table: horizon
-    must be 1..90; ``None`` for item/store means every one."""
+                    horizon: int = 28, model: str | None = None) -> DataFrame:
+    """A served forecast as a filter of the stored table: the horizon is at least 1 and
+    at most 90; ``None`` for item/store means every one."""
     if horizon < 1 or horizon > MAX_SERVED_HORIZON:
-        raise ValueError("horizon must be 1-90 days")
+        raise ValueError(f"horizon {horizon} is outside 1 to {MAX_SERVED_HORIZON}")
     cond = F.col("step") <= horizon
+    if model is not None:
+        cond = cond & (F.col("model") == model)
     if item_id is not None:
         cond = cond & (F.col("item_id") == item_id)
     if store_id is not None:

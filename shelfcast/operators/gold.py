@@ -23,6 +23,7 @@ def dim_store(silver: DataFrame) -> DataFrame:
     return silver.select("store_id", "state_id").distinct()
 
 
+# The calendar dimension's columns in order.
 DIM_CALENDAR_COLS = ["date", "d", "wm_yr_wk", "wday", "month", "year",
                      "event_name_1", "event_type_1", "is_weekend"]
 
@@ -58,18 +59,20 @@ def weekly_category_sales(silver: DataFrame) -> DataFrame:
     reference's groupby does.
 
     Two plain aggregations instead of ``countDistinct`` (which would add an
-    Expand doubling the rows): the first collapses the days of one item in a
-    week (combined map-side), the second counts the items.
+    Expand doubling the rows): the first collapses the days of one series in a
+    week - with ``id`` among its keys it needs no exchange on the buckets - the second
+    counts the items (``id`` is item and store, which ``dq_weekly_reconciles`` checks).
     """
     keys = ["cat_id", "store_id", "wm_yr_wk"]
     per_item = (
         silver.where(F.col("cat_id").isNotNull() & F.col("store_id").isNotNull()
                      & F.col("wm_yr_wk").isNotNull())
-        .groupBy(*keys, "item_id")
+        .groupBy("id", *keys)
         .agg(
             F.sum("units").alias("u"),
             cents_sum("revenue").alias("r"),
             F.count("units").alias("n"),
+            F.max("item_id").alias("item_id"),
         )
     )
     return per_item.groupBy(*keys).agg(
@@ -103,20 +106,24 @@ def item_revenue(silver: DataFrame) -> DataFrame:
     )
 
 
-def abc_classification(silver: DataFrame, buckets: int | None = None) -> DataFrame:
+def abc_classification(silver: DataFrame, parts: int | None = None) -> DataFrame:
+    """Pareto classes of Silver's items (see ``abc_from_revenue``)."""
+    return abc_from_revenue(item_revenue(silver), parts=parts)
+
+
+def abc_from_revenue(rev: DataFrame, unit: int = 100, parts: int | None = None) -> DataFrame:
     """Pareto classes on cumulative revenue share.
 
-    Items sorted by revenue descending (ties by item_id), running share over
-    ROWS; A while the running revenue is <= 80 % of the total, B <= 95 %, else
-    C (compared in integer cents, so 0.80 and 0.95 are inclusive and exact).  The
-    item that crosses 80 % is already B; a lone item is C; a zero total makes
-    every item C.  The global running sum is the bucketed prefix sum.
+    ``rev``: item_id, rev (exact, in 1/``unit``), total_units.  Items sorted by
+    revenue descending (ties by item_id), running share over ROWS; A while the
+    running revenue is <= 80 % of the total, B <= 95 %, else C (compared in
+    integers, so 0.80 and 0.95 are inclusive and exact).  The item that crosses
+    80 % is already B; a lone item is C; a zero total makes every item C.
     """
     from shelfcast.operators.prefix import running_sums
 
-    rev = item_revenue(silver)
-    runs = running_sums(rev, [("rev", False), ("item_id", True)], {"cum": "rev"},
-                        buckets=buckets, with_total=True)
+    runs = running_sums(rev, [("rev", False), ("item_id", True)], {"cum": "rev"}, parts=parts, with_total=True)
+    value = lambda c: F.col(c) / F.lit(float(unit))
     total = F.col("cum_total")
     positive = total > 0
     klass = (F.when(positive & (F.col("cum") * 100 <= total * 80), "A")
@@ -124,39 +131,43 @@ def abc_classification(silver: DataFrame, buckets: int | None = None) -> DataFra
              .otherwise("C"))
     return runs.select(
         "item_id",
-        money("rev").alias("total_revenue"),
+        value("rev").alias("total_revenue"),
         "total_units",
-        F.try_divide(money("rev"), money(total)).alias("revenue_share"),
-        F.try_divide(money("cum"), money(total)).alias("cumulative_share"),
+        F.try_divide(value("rev"), value("cum_total")).alias("revenue_share"),
+        F.try_divide(value("cum"), value("cum_total")).alias("cumulative_share"),
         klass.alias("abc_class"),
     )
 
 
-def abc_percent_rank(silver: DataFrame, buckets: int | None = None) -> DataFrame:
-    """SQL variant: PERCENT_RANK over revenue descending; A <= 0.2, B <= 0.5.
+def abc_percent_rank(silver: DataFrame, parts: int | None = None) -> DataFrame:
+    """SQL variant over Silver's items (see ``percent_rank_from_revenue``)."""
+    rev = silver.groupBy("item_id").agg(
+        cents_sum(F.col("units") * F.coalesce(F.col("sell_price"), F.lit(0.0))).alias("rev"))
+    return percent_rank_from_revenue(rev, parts=parts)
+
+
+def percent_rank_from_revenue(rev: DataFrame, unit: int = 100, parts: int | None = None) -> DataFrame:
+    """PERCENT_RANK over revenue descending; A <= 0.2, B <= 0.5.
 
-    Equal revenues share a rank: rank = 1 + number of items with more
-    revenue.  Items are first collapsed to distinct revenue values (a hot value
-    costs one row), ranks come from a prefix count over those values, and the
-    rank is joined back by value.  A single item has rank 0 -> A.
+    Equal revenues share a rank: rank = 1 + number of items with more revenue.
+    Items are first collapsed to distinct revenues (a hot value costs one row) and
+    ranked by a prefix count.  The class falls with the revenue, so the least revenue
+    of A and of B (two scalars) decide every item, without a join.  A single item has
+    rank 0 -> A.
     """
     from shelfcast.operators.prefix import running_sums
 
-    rev = silver.groupBy("item_id").agg(
-        cents_sum(F.col("units") * F.coalesce(F.col("sell_price"), F.lit(0.0))).alias("rev"))
     values = rev.groupBy("rev").agg(F.count(F.lit(1)).alias("_c"))
-    ranked = running_sums(values, [("rev", False)], {"_run": "_c"}, buckets=buckets, with_total=True)
-    ranked = ranked.select("rev", (F.col("_run") - F.col("_c")).alias("_above"),
-                           (F.col("_run_total") - 1).alias("_den"))
-    above, den = F.col("_above"), F.col("_den")
+    ranked = running_sums(values, [("rev", False)], {"_run": "_c"}, parts=parts, with_total=True)
+    above, den = F.col("_run") - F.col("_c"), F.col("_run_total") - 1
     # percent_rank = above / den; compare in integers: above <= 0.2 * den
-    klass = (F.when((den == 0) | (above * 5 <= den), "A")
-             .when(above * 2 <= den, "B").otherwise("C"))
-    return rev.join(ranked, "rev").select(
-        "item_id", money("rev").alias("total_revenue"), klass.alias("abc_class"))
+    least = ranked.agg(F.min(F.when((den == 0) | (above * 5 <= den), F.col("rev"))).alias("a"),
+                       F.min(F.when((den == 0) | (above * 2 <= den), F.col("rev"))).alias("b")).first()
+    klass = F.when(F.col("rev") >= F.lit(least["a"]), "A").when(F.col("rev") >= F.lit(least["b"]), "B").otherwise("C")
+    return rev.select("item_id", (F.col("rev") / F.lit(float(unit))).alias("total_revenue"), klass.alias("abc_class"))
 
 
-def abc_summary(abc: DataFrame) -> DataFrame:
+def abc_summary(abc: DataFrame, unit: int = 100) -> DataFrame:
     """Items and revenue per class, with shares in percent rounded to one
     decimal half-to-even (pandas rounding).  At most three rows, so the
     totals are a window over the class table itself."""
@@ -164,13 +175,13 @@ def abc_summary(abc: DataFrame) -> DataFrame:
 
     per_class = abc.groupBy("abc_class").agg(
         F.count(F.lit(1)).alias("n_items"),
-        cents_sum("total_revenue").alias("_rev"),
+        F.sum(F.round(F.col("total_revenue") * F.lit(float(unit))).cast("long")).alias("_rev"),
     )
     every = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return per_class.select(
         "abc_class", "n_items",
         round_half_even(F.col("n_items") / F.sum("n_items").over(every) * 100, 1).alias("pct_items"),
-        round_half_even(F.try_divide(money("_rev"), money(F.sum("_rev").over(every))) * 100, 1).alias("pct_revenue"),
+        round_half_even(F.try_divide(F.col("_rev") / F.lit(float(unit)), F.sum("_rev").over(every) / F.lit(float(unit))) * 100, 1).alias("pct_revenue"),
     )
 
 

@@ -34,15 +34,6 @@ def _per_series(forecasts: DataFrame) -> DataFrame:
     )
 
 
-def series_rmsse(forecasts: DataFrame, weights: DataFrame | None = None) -> DataFrame:
-    """Per (model, id): sqrt(mean squared error / scale); null for flat train."""
-    per = _per_series(forecasts).select(
-        "model", "id", F.sqrt(F.try_divide(F.col("sq_err") / F.col("n"), F.col("scale"))).alias("rmsse"))
-    if weights is not None:
-        per = per.join(weights.select("id", "weight"), "id", "left")
-    return per
-
-
 def evaluate_models(forecasts: DataFrame, weights: DataFrame | None = None,
                     digits: int = 6) -> DataFrame:
     """One row per model: MAE, RMSE, MAPE (points with y != 0, null if none),

@@ -1,67 +1,29 @@
-"""Running sums in a global order without moving all rows into one task.
+"""Running aggregates in a global order without moving all rows into one task.
 
 ``Window.orderBy(...)`` with no partition key sends every row to one task.
-For the global orders this library needs (ABC cumulative revenue, percent
-rank, exact medians) we instead:
-
-1. sample the order key (a bounded sample, ``buckets * sample_per_bucket`` rows)
-   and take ``buckets - 1`` split points *on the full order key*, so that a
-   value shared by a third of all rows is still cut across buckets by the
-   tie-breaking columns;
-2. tag each row with its bucket by a binary search over the literal split
-   points (a nested CASE, log2(buckets) comparisons per row);
-3. total each bucket (``buckets`` rows, combined map-side), turn the totals
-   into offsets with a window over those few rows, and broadcast them
-   (size bound: ``buckets``);
-4. finish with a window partitioned by bucket, range-partitioned so that each
-   bucket lands in its own task.
-
-The split points are values, not partition ids, so re-evaluating the plan
-gives the same buckets.  What reaches the driver is the bounded sample of
-order keys (about ``buckets * sample_per_bucket`` rows, at most a few hundred
-thousand keys) from which the split points are taken - never row data.
+For the global orders this library needs (ABC cumulative revenue, exact
+medians) we instead, at every size alike:
+
+1. range-partition by the full order key: Spark samples split points, and a value
+   shared by a third of all rows is still cut by the tie-breaking columns;
+2. tag each row with its partition's number and write the tagged rows to the shared
+   checkpoint folder, so the numbers can't change when a lost task runs again;
+3. total each partition (combined map-side) and turn the totals into offsets with a
+   window over that table of one row per partition;
+4. finish with a window inside each partition and add the offsets.
 """
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfcast.operators.joins import bounded_broadcast
 from shelfcast.session import checkpoint_root
 
 OrderKey = tuple[str, bool]        # (column, ascending)
 
-ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 4096
-
-
-def _before(keys: Sequence[OrderKey], bound: Sequence) -> Column:
-    """Row strictly before ``bound`` in the lexicographic order of ``keys``."""
-    expr = None
-    for (col, asc), value in reversed(list(zip(keys, bound))):
-        lit = F.lit(value)
-        strictly = (F.col(col) < lit) if asc else (F.col(col) > lit)
-        if expr is None:
-            expr = strictly
-        else:
-            expr = strictly | ((F.col(col) == lit) & expr)
-    return expr
-
-
-def _bucket_expr(keys: Sequence[OrderKey], bounds: list, lo: int, hi: int) -> Column:
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(_before(keys, bounds[mid]), _bucket_expr(keys, bounds, lo, mid)).otherwise(
-        _bucket_expr(keys, bounds, mid + 1, hi))
-
-
-def choose_buckets(n_rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
-    return max(1, min(MAX_BUCKETS, math.ceil(n_rows / rows_per_bucket)))
-
-
 _AGG = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
@@ -73,81 +35,48 @@ def _combine(kind: str, offset: Column, within: Column) -> Column:
 
 
 def running(df: DataFrame, order: Sequence[OrderKey], specs: dict[str, tuple[str, str]],
-            buckets: int | None = None, exclusive: bool = False, with_total: bool = False,
-            sample_per_bucket: int = 64, seed: int = 7) -> DataFrame:
+            parts: int | None = None, exclusive: bool = False, with_total: bool = False) -> DataFrame:
     """Running aggregates in a global total order.
 
     ``specs`` maps output -> (kind, column) with kind in sum / min / max.  The
     frame is every row up to and including this one, or strictly before it
     when ``exclusive``.  ``with_total`` adds ``<out>_total`` over all rows.
-    ``order`` must identify a row uniquely and hold no nulls.
+    ``order`` must identify a row uniquely and hold no nulls.  ``parts`` sets the
+    number of ranges; by default the session's shuffle partitions, which adaptive
+    execution may join.
     """
-    order = list(order)
     sort_cols = [F.col(c).asc() if a else F.col(c).desc() for c, a in order]
     last = -1 if exclusive else Window.currentRow
-    n = None
-    if buckets is None:
-        # The size decides the plan, so materialise once in the shared
-        # checkpoint folder: the count and the real pass then read the same
-        # files instead of recomputing the input twice.
-        checkpoint_root(df.sparkSession)
-        df = df.checkpoint(eager=True)
-        n = df.count()
-        buckets = choose_buckets(n)
-    if buckets <= 1:
-        # Small input (below ROWS_PER_BUCKET rows): one ordered window.
-        w = Window.orderBy(*sort_cols).rowsBetween(Window.unboundedPreceding, last)
-        cols = [_AGG[k](c).over(w).alias(o) for o, (k, c) in specs.items()]
-        if exclusive:
-            cols = [(F.coalesce(col, F.lit(0)) if specs[o][0] == "sum" else col).alias(o)
-                    for col, o in zip(cols, specs)]
-        if with_total:
-            everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-            cols += [_AGG[k](c).over(everything).alias(f"{o}_total") for o, (k, c) in specs.items()]
-        return df.select("*", *cols)
-
-    key_cols = [c for c, _ in order]
-    n = df.count() if n is None else n
-    fraction = min(1.0, buckets * sample_per_bucket / max(n, 1))
-    sample = [tuple(r) for r in df.select(*key_cols).sample(fraction=fraction, seed=seed)
-              .orderBy(*sort_cols).collect()]
-    bounds = []
-    for k in range(1, buckets):
-        if not sample:
-            break
-        b = sample[min(len(sample) - 1, (k * len(sample)) // buckets)]
-        if not bounds or b != bounds[-1]:
-            bounds.append(b)
-    nb = len(bounds) + 1
-    tagged = df.withColumn("_bucket", _bucket_expr(order, bounds, 0, nb - 1))
-    totals = tagged.groupBy("_bucket").agg(*[_AGG[k](c).alias(f"_tot_{o}") for o, (k, c) in specs.items()])
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    ranged = df.repartitionByRange(parts, *sort_cols) if parts else df.repartitionByRange(*sort_cols)
+    checkpoint_root(df.sparkSession)
+    tagged = ranged.withColumn("_part", F.spark_partition_id()).checkpoint(eager=True)
+    totals = tagged.groupBy("_part").agg(*[_AGG[k](c).alias(f"_tot_{o}") for o, (k, c) in specs.items()])
+    # one row per partition: windows over it are small
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     every = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    # ``totals`` has at most ``nb`` rows: windows over it and its broadcast are bounded.
     offs = []
     for o, (k, _c) in specs.items():
         prev = _AGG[k](f"_tot_{o}").over(before)
         offs.append((F.coalesce(prev, F.lit(0)) if k == "sum" else prev).alias(f"_off_{o}"))
-    offsets = totals.select("_bucket", *offs,
+    offsets = totals.select("_part", *offs,
                             *[_AGG[k](f"_tot_{o}").over(every).alias(f"{o}_total") for o, (k, _c) in specs.items()])
-    within = Window.partitionBy("_bucket").orderBy(*sort_cols).rowsBetween(Window.unboundedPreceding, last)
-    out = tagged.repartitionByRange(nb, "_bucket").join(F.broadcast(offsets), "_bucket")
-    return out.select(
+    within = Window.partitionBy("_part").orderBy(*sort_cols).rowsBetween(Window.unboundedPreceding, last)
+    summed = tagged.select("*", *[_AGG[k](c).over(within).alias(f"_in_{o}") for o, (k, c) in specs.items()])
+    return summed.join(bounded_broadcast(offsets), "_part").select(
         *[F.col(c) for c in df.columns],
-        *[_combine(k, F.col(f"_off_{o}"), _AGG[k](c).over(within)).alias(o) for o, (k, c) in specs.items()],
+        *[_combine(k, F.col(f"_off_{o}"), F.col(f"_in_{o}")).alias(o) for o, (k, _c) in specs.items()],
         *([F.col(f"{o}_total") for o in specs] if with_total else []),
     )
 
 
 def running_sums(df: DataFrame, order: Sequence[OrderKey], sums: dict[str, str],
-                 buckets: int | None = None, with_total: bool = False, **kw) -> DataFrame:
+                 parts: int | None = None, with_total: bool = False) -> DataFrame:
     """Inclusive running sums (see ``running``)."""
-    return running(df, order, {o: ("sum", c) for o, c in sums.items()}, buckets=buckets,
-                   with_total=with_total, **kw)
+    return running(df, order, {o: ("sum", c) for o, c in sums.items()}, parts=parts, with_total=with_total)
 
 
 def exact_median(df: DataFrame, value: str, group_cols: Sequence[str] = (),
-                 out: str = "median", buckets: int | None = None) -> DataFrame:
+                 out: str = "median", parts: int | None = None) -> DataFrame:
     """Exact median (linear interpolation between the two middle values, as
     numpy and SQL ``quantile_cont``) per group, nulls ignored.  Groups with no
     value give no row.
@@ -160,12 +89,12 @@ def exact_median(df: DataFrame, value: str, group_cols: Sequence[str] = (),
     counts = (df.where(F.col(value).isNotNull()).groupBy(*groups, value)
               .agg(F.count(F.lit(1)).alias("_c")))
     pos = running_sums(counts, [(g, True) for g in groups] + [(value, True)],
-                       {"_run": "_c"}, buckets=buckets, with_total=not groups)
+                       {"_run": "_c"}, parts=parts, with_total=not groups)
     pos = pos.withColumn("_first", F.col("_run") - F.col("_c"))
     if groups:
-        # one row per group; the join lets AQE broadcast it or split a hot group
+        # one row per group, broadcast if its count allows: a hot group then needs no shuffle
         sizes = pos.groupBy(*groups).agg(F.sum("_c").alias("_n"), F.min("_first").alias("_start"))
-        pos = pos.join(sizes, groups)
+        pos = pos.join(bounded_broadcast(sizes), groups)
     else:
         pos = pos.withColumn("_n", F.col("_run_total")).withColumn("_start", F.lit(0))
     lo = F.floor((F.col("_n") - 1) / 2)

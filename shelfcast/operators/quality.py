@@ -127,7 +127,7 @@ def dq_abc_shares_sum_one(abc: DataFrame, tol: float = 1e-6) -> DataFrame:
                    F.when(F.abs(F.sum("revenue_share") - 1) < tol, 0).otherwise(1))
 
 
-def dq_abc_sorted(abc: DataFrame, buckets: int | None = None) -> DataFrame:
+def dq_abc_sorted(abc: DataFrame, parts: int | None = None) -> DataFrame:
     """Revenue never increases along the class order (cumulative share, then
     revenue descending, then item).  A sequence is non-increasing iff no
     element exceeds the minimum of the elements before it, so the violations
@@ -136,7 +136,7 @@ def dq_abc_sorted(abc: DataFrame, buckets: int | None = None) -> DataFrame:
     from shelfcast.operators.prefix import running
     ordered = running(abc.select("item_id", "total_revenue", "cumulative_share"),
                       [("cumulative_share", True), ("total_revenue", False), ("item_id", True)],
-                      {"_min_before": ("min", "total_revenue")}, buckets=buckets, exclusive=True)
+                      {"_min_before": ("min", "total_revenue")}, parts=parts, exclusive=True)
     return _result(ordered, "abc_sorted", F.count_if(F.col("total_revenue") > F.col("_min_before")))
 
 

@@ -8,12 +8,8 @@ summed in decimals, averages rounded on the scaled double.
 """
 from __future__ import annotations
 
-from shelfcast.sources.fixtures import (
-    CATEGORIES, EVENT_DAY, EVENT_NAME, EVENT_TYPE, FIRST_WEEK, N_DAYS, START_DATE,
-    STATES, STORES,
-)
-
-N_TRAIN = N_DAYS - 28
+from shelfcast.registry import CONTENT
+from shelfcast.sources.fixtures import CATEGORIES, EVENT_DAY, EVENT_NAME, EVENT_TYPE, FIRST_WEEK, STATES, STORES
 
 
 def r6(x: str) -> str:
@@ -29,12 +25,13 @@ _cats = ", ".join(f"'{c}'" for c in CATEGORIES)
 _stores = ", ".join(f"({i}, '{s}', '{st}')" for i, (s, st) in enumerate(zip(STORES, STATES)))
 
 BASE = f"""
-WITH cal AS (
-  SELECT CAST(DATE '{START_DATE}' + CAST(i AS INTEGER) AS DATE) AS date,
+WITH span AS (SELECT MIN(CAST(l_shipdate AS DATE)) AS a, MAX(CAST(l_shipdate AS DATE)) AS b FROM lineitem),
+cal AS (
+  SELECT CAST(a + CAST(i AS INTEGER) AS DATE) AS date,
          'd_' || CAST(i + 1 AS VARCHAR) AS d,
-         CAST({FIRST_WEEK} + i // 7 AS INTEGER) AS wm_yr_wk,
+         CAST({FIRST_WEEK} + (i + (dayofweek(a) + 1) % 7) // 7 AS INTEGER) AS wm_yr_wk,
          CAST(i AS INTEGER) AS i
-  FROM range({N_DAYS}) t(i)
+  FROM (SELECT a, unnest(range(date_diff('day', a, b) + 1)) AS i FROM span)
 ),
 calendar AS (
   SELECT date, d, wm_yr_wk,
@@ -49,43 +46,36 @@ calendar AS (
   FROM cal
 ),
 stores AS (SELECT * FROM (VALUES {_stores}) s(region, store_id, state_id)),
-items AS (
-  SELECT p_partkey,
+parts AS (
+  SELECT p_partkey, p_brand AS item_id,
          [{_cats}][CAST(regexp_extract(p_brand, '#([0-9]+)', 1) AS INTEGER) % 3 + 1] AS cat_id,
          CAST(regexp_extract(p_brand, '#([0-9]+)', 1) AS INTEGER) % 2 + 1 AS dept_no,
          CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS DOUBLE) AS price
   FROM part
 ),
-items2 AS (
-  SELECT p_partkey, cat_id || '_' || CAST(dept_no AS VARCHAR) || '_' || CAST(p_partkey AS VARCHAR) AS item_id,
-         cat_id || '_' || CAST(dept_no AS VARCHAR) AS dept_id, cat_id, price
-  FROM items
-),
+items AS (SELECT DISTINCT item_id, cat_id || '_' || CAST(dept_no AS VARCHAR) AS dept_id, cat_id FROM parts),
 series AS (
-  SELECT i.p_partkey, s.region, i.item_id || '_' || s.store_id AS id, i.item_id, i.dept_id, i.cat_id,
-         s.store_id, s.state_id, i.price
-  FROM items2 i CROSS JOIN stores s
+  SELECT s.region, i.item_id || '_' || s.store_id AS id, i.item_id, i.dept_id, i.cat_id, s.store_id, s.state_id
+  FROM items i CROSS JOIN stores s
 ),
 sales AS (
-  SELECT l.l_partkey AS p_partkey, n.n_regionkey AS region, CAST(l.l_shipdate AS DATE) AS date,
-         SUM(l.l_quantity) AS qty
+  SELECT p.item_id, n.n_regionkey AS region, CAST(l.l_shipdate AS DATE) AS date,
+         SUM(l.l_quantity) AS qty, MAX(p.price) AS price
   FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
        JOIN nation n ON s.s_nationkey = n.n_nationkey
-  WHERE l.l_shipdate >= TIMESTAMP '{START_DATE} 00:00:00'
-    AND l.l_shipdate < TIMESTAMP '{START_DATE} 00:00:00' + INTERVAL {N_DAYS} DAY
+       JOIN parts p ON p.p_partkey = l.l_partkey
   GROUP BY 1, 2, 3
 ),
 prices AS (
-  SELECT se.store_id, se.item_id, c.wm_yr_wk, MAX(se.price) AS sell_price
-  FROM sales sa JOIN series se ON sa.p_partkey = se.p_partkey AND sa.region = se.region
-       JOIN calendar c ON sa.date = c.date
+  SELECT st.store_id, sa.item_id, c.wm_yr_wk, MAX(sa.price) AS sell_price
+  FROM sales sa JOIN stores st ON st.region = sa.region JOIN calendar c ON sa.date = c.date
   GROUP BY 1, 2, 3
 ),
 long AS (
   SELECT se.id, se.item_id, se.dept_id, se.cat_id, se.store_id, se.state_id, c.d,
          CAST(COALESCE(sa.qty, 0) AS INTEGER) AS units
   FROM series se CROSS JOIN calendar c
-       LEFT JOIN sales sa ON sa.p_partkey = se.p_partkey AND sa.region = se.region AND sa.date = c.date
+       LEFT JOIN sales sa ON sa.item_id = se.item_id AND sa.region = se.region AND sa.date = c.date
 ),
 silver AS (
   SELECT l.id, l.item_id, l.dept_id, l.cat_id, l.store_id, l.state_id,
@@ -130,10 +120,10 @@ SELECT cat_id, store_id, wm_yr_wk,
 FROM silver GROUP BY cat_id, store_id, wm_yr_wk""")
 
 # ------------------------------------------------------------ shared CTEs ---
-DAYS = [f"d_{i + 1}" for i in range(N_DAYS)]
-WIDE = (", wide AS (SELECT id, item_id, dept_id, cat_id, store_id, state_id, "
-        + ", ".join(f"MAX(CASE WHEN d = '{d}' THEN units END) AS {d}" for d in DAYS)
-        + " FROM long GROUP BY id, item_id, dept_id, cat_id, store_id, state_id)")
+WIDE = """
+, wide AS (SELECT id, item_id, dept_id, cat_id, store_id, state_id, COUNT(*) AS n_days,
+                  string_agg(CAST(units AS VARCHAR), ',' ORDER BY date) AS units
+           FROM silver GROUP BY ALL)"""
 ID6 = "id, item_id, dept_id, cat_id, store_id, state_id"
 CAL_ATTRS = ("date, wm_yr_wk, wday, month, year, event_name_1, event_type_1, snap_CA, snap_TX, snap_WI")
 
@@ -143,6 +133,11 @@ IX = f"""
                 CAST(DENSE_RANK() OVER (ORDER BY date) - 1 AS INTEGER) AS day_index FROM silver)
 , nd AS (SELECT COUNT(DISTINCT date) AS n_dates, COUNT(DISTINCT date) - 28 AS n_train, MAX(date) AS max_date FROM silver)"""
 
+PART_REV = """
+, prev AS (SELECT CAST(l_partkey AS VARCHAR) AS item_id, CAST(SUM(l_quantity) AS BIGINT) AS total_units,
+                  SUM(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))) AS rev
+           FROM lineitem GROUP BY 1)"""
+
 ABC = """
 , rev AS (SELECT item_id, SUM(CAST(revenue AS DECIMAL(38,2))) AS rev, CAST(SUM(units) AS BIGINT) AS total_units
           FROM silver GROUP BY item_id)
@@ -155,6 +150,8 @@ ABC = """
                       WHEN tot > 0 AND cum * 100 <= tot * 95 THEN 'B' ELSE 'C' END AS abc_class
           FROM runs)"""
 
+PART_ABC = PART_REV + ABC[ABC.index("\n, runs AS"):].replace("FROM rev)", "FROM prev)")
+
 FORECASTS = IX + """
 , d2 AS (SELECT ix.*, CASE WHEN day_index >= 1 THEN
            CAST(units - LAG(units) OVER (PARTITION BY id ORDER BY day_index) AS BIGINT)
@@ -208,7 +205,7 @@ STATS = IX + """
            SUM(CASE WHEN units > 0 THEN 1 ELSE 0 END) AS sale_days,
            SUM(CASE WHEN units > 0 THEN CAST(units AS BIGINT) END) AS s1,
            SUM(CASE WHEN units > 0 THEN CAST(units AS BIGINT) * CAST(units AS BIGINT) END) AS s2,
-           MAX(day_index) AS last_index
+           ANY_VALUE(nd.n_dates) - 1 AS last_index
          FROM ix, nd GROUP BY ix.id)
 , dem AS (SELECT id, first_sale_index,
             CASE WHEN first_sale_index >= 0 THEN CAST(last_index - first_sale_index + 1 AS DOUBLE) / CAST(sale_days AS DOUBLE) END AS adi,
@@ -274,19 +271,28 @@ DQ_ROWS = _dq("row_count_positive", "CASE WHEN COUNT(*) > 0 THEN 0 ELSE 1 END",
 # -------------------------------------------------------------- 2.1 sources ---
 oracle("read_raw_csv", "SELECT * FROM wide", WIDE)
 oracle("load_csv_autodetect", "SELECT * FROM wide", WIDE)
-oracle("bronze_tables", """
-SELECT 'bronze_calendar' AS "table", CAST(COUNT(*) AS BIGINT) AS n_rows FROM calendar
-UNION ALL SELECT 'bronze_prices', COUNT(*) FROM prices
-UNION ALL SELECT 'bronze_sales', COUNT(*) FROM series""")
+
+
+def contents(*tables: tuple[str, str]) -> str:
+    """One row per (table, SQL source): its rows and its content."""
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS \"table\", CAST(COUNT(*) AS BIGINT) AS n_rows, "
+        f"{CONTENT.get(name, 'CAST(SUM(total) AS BIGINT)')} AS content FROM {source}" for name, source in tables)
+
+
+def sales_rows(where: str = "true") -> tuple[str, str]:
+    return "bronze_sales", f"(SELECT id, SUM(units) AS total FROM long WHERE {where} GROUP BY id)"
+
+
+oracle("bronze_tables", contents(("bronze_calendar", "calendar"), ("bronze_prices", "prices"), sales_rows()))
 oracle("missing_source_policy", """
 SELECT 'bronze_calendar' AS "table", 'loaded' AS status, CAST(COUNT(*) AS BIGINT) AS n_rows FROM calendar
 UNION ALL SELECT 'bronze_prices', 'loaded', COUNT(*) FROM prices
 UNION ALL SELECT 'bronze_sales', 'skipped', CAST(NULL AS BIGINT)""")
 oracle("subset_filter", "SELECT * FROM wide WHERE cat_id = 'FOODS' AND store_id = 'CA_1'", WIDE)
-oracle("nonempty_guard", """
-SELECT 'bronze_calendar' AS "table", CAST(COUNT(*) AS BIGINT) AS n_rows FROM calendar
-UNION ALL SELECT 'bronze_prices', COUNT(*) FROM prices WHERE store_id = 'CA_1'
-UNION ALL SELECT 'bronze_sales', COUNT(*) FROM series WHERE cat_id = 'FOODS' AND store_id = 'CA_1'""")
+oracle("nonempty_guard", contents(
+    ("bronze_calendar", "calendar"), ("bronze_prices", "(SELECT * FROM prices WHERE store_id = 'CA_1')"),
+    sales_rows("cat_id = 'FOODS' AND store_id = 'CA_1'")))
 oracle("write_parquet", f"SELECT {SILVER_COLS_SQL} FROM silver")
 oracle("read_parquet", "SELECT store_id, item_id, wm_yr_wk, sell_price FROM prices")
 oracle("read_parquet_pruned", "SELECT id, date, units FROM silver")
@@ -304,9 +310,7 @@ oracle("publish_view", WEEKLY_SQL)
 # -------------------------------------------------------------- 2.2 reshape ---
 oracle("unpivot_sales", f"SELECT {ID6}, d, units FROM long")
 oracle("unpivot_sales_sql", "SELECT id, item_id, cat_id, store_id, state_id, d, units FROM long WHERE units IS NOT NULL")
-oracle("series_matrix", "SELECT id, " + ", ".join(
-    f"MAX(CASE WHEN date = DATE '{START_DATE}' + {i} THEN units END) AS \"{__import__('datetime').date.fromisoformat(START_DATE) + __import__('datetime').timedelta(days=i)}\""
-    for i in range(N_DAYS)) + " FROM silver GROUP BY id")
+oracle("series_matrix", "SELECT id, n_days, units FROM wide", WIDE)
 
 # ---------------------------------------------------------------- 2.3 joins ---
 JOINED = f"SELECT l.d, l.id, l.item_id, l.dept_id, l.cat_id, l.store_id, l.state_id, l.units, c.{CAL_ATTRS.replace(', ', ', c.')}"
@@ -351,18 +355,16 @@ oracle("weekly_category_sales_sql", WEEKLY_SQL)
 oracle("abc_summary", f"""
 SELECT abc_class, CAST(COUNT(*) AS BIGINT) AS n_items,
        {reven('COUNT(*) / SUM(COUNT(*)) OVER () * 100', 1)} AS pct_items,
-       {reven('CAST(SUM(CAST(total_revenue AS DECIMAL(38,2))) AS DOUBLE) / NULLIF(CAST(SUM(SUM(CAST(total_revenue AS DECIMAL(38,2)))) OVER () AS DOUBLE), 0) * 100', 1)} AS pct_revenue
-FROM abc GROUP BY abc_class""", ABC)
+       {reven('CAST(SUM(CAST(total_revenue AS DECIMAL(38,4))) AS DOUBLE) / NULLIF(CAST(SUM(SUM(CAST(total_revenue AS DECIMAL(38,4)))) OVER () AS DOUBLE), 0) * 100', 1)} AS pct_revenue
+FROM abc GROUP BY abc_class""", PART_ABC)
 oracle("revenue_weights", "SELECT id, revenue, weight FROM weights", FORECASTS)
 
 # ------------------------------------------------------- 2.6 windows ---
-oracle("abc_classification", "SELECT * FROM abc", ABC)
+oracle("abc_classification", "SELECT * FROM abc", PART_ABC)
 oracle("abc_percent_rank", """
 SELECT item_id, CAST(rev AS DOUBLE) AS total_revenue,
        CASE WHEN p <= 0.2 THEN 'A' WHEN p <= 0.5 THEN 'B' ELSE 'C' END AS abc_class
-FROM (SELECT item_id, rev, PERCENT_RANK() OVER (ORDER BY rev DESC) AS p
-      FROM (SELECT item_id, SUM(CAST(units * COALESCE(sell_price, 0.0) AS DECIMAL(38,2))) AS rev
-            FROM silver GROUP BY item_id))""")
+FROM (SELECT item_id, rev, PERCENT_RANK() OVER (ORDER BY rev DESC) AS p FROM prev)""", PART_REV)
 W_ID = "OVER (PARTITION BY id ORDER BY date)"
 oracle("lag_features", f"""
 SELECT id, date, units, LAG(units, 7) {W_ID} AS lag_7, LAG(units, 14) {W_ID} AS lag_14,
@@ -387,7 +389,7 @@ oracle("best_model", "SELECT model, MAE, RMSE, MAPE, sMAPE, RMSSE, WRMSSE, rank
 # ------------------------------------------------------ 2.7 forecasting ---
 oracle("temporal_split", "SELECT id, date, units, CASE WHEN day_index < nd.n_train THEN 'train' ELSE 'test' END AS split "
                          "FROM ix, nd", IX)
-oracle("cutoff_split", "SELECT id, date, units, CASE WHEN date < DATE '2000-03-25' THEN 'train' ELSE 'test' END AS split "
+oracle("cutoff_split", "SELECT id, date, units, CASE WHEN date < (SELECT b - 27 FROM span) THEN 'train' ELSE 'test' END AS split "
                        "FROM silver WHERE date IS NOT NULL")
 for _name, _models in [("forecast_zero", "'zero'"), ("forecast_naive", "'naive'"),
                        ("forecast_seasonal_naive", "'seasonal_naive_7'"),
@@ -416,14 +418,13 @@ SELECT CAST(COALESCE(SUM(CASE WHEN first_sale_index > 0 THEN first_sale_index EN
        {r6('COALESCE(SUM(CASE WHEN first_sale_index > 0 THEN first_sale_index END), 0) / SUM(n_days)')} AS pre_launch_share
 FROM st""", STATS)
 oracle("demand_stats", "SELECT id, CAST(first_sale_index AS INTEGER) AS first_sale_index, adi, cv2, demand_class FROM dem", STATS)
-oracle("classify_syntetos_boylan", """
-SELECT id, adi, cv2, CASE WHEN adi IS NULL OR cv2 IS NULL OR isnan(adi) OR isnan(cv2) THEN 'sin_demanda'
-                          WHEN adi < 1.32 AND cv2 < 0.49 THEN 'smooth' WHEN adi < 1.32 THEN 'erratic'
-                          WHEN cv2 < 0.49 THEN 'intermittent' ELSE 'lumpy' END AS demand_class FROM dem""", STATS)
+oracle("classify_syntetos_boylan", "SELECT id, adi, cv2, demand_class FROM dem", STATS)
 oracle("demand_class_summary", f"""
 SELECT demand_class, COUNT(*) AS n_series,
        {reven('COUNT(*) / SUM(COUNT(*)) OVER () * 100', 1)} AS pct_series,
-       {r6('quantile_cont(adi, 0.5)')} AS median_adi, {r6('quantile_cont(cv2, 0.5)')} AS median_cv2
+       {r6('quantile_cont(adi, 0.5)')} AS median_adi, {r6('quantile_cont(cv2, 0.5)')} AS median_cv2,
+       {r6('(SELECT quantile_cont(adi, 0.5) FROM dem)')} AS overall_median_adi,
+       {r6('(SELECT quantile_cont(cv2, 0.5) FROM dem)')} AS overall_median_cv2
 FROM dem GROUP BY demand_class""", STATS)
 oracle("weekday_seasonality", f"""
 SELECT weekday, {r6('mean_units')} AS mean_units,
@@ -457,8 +458,8 @@ oracle("dq_fact_matches_silver", DQ_FACT)
 oracle("dq_dim_product_unique", DQ_DIM)
 oracle("dq_weekly_reconciles", DQ_WEEKLY)
 oracle("dq_abc_covers_products", DQ_ABC_COVER, ABC)
-oracle("dq_abc_shares_sum_one", DQ_ABC_SUM, ABC)
-oracle("dq_abc_sorted", DQ_ABC_SORTED, ABC)
+oracle("dq_abc_shares_sum_one", DQ_ABC_SUM, PART_ABC)
+oracle("dq_abc_sorted", DQ_ABC_SORTED, PART_ABC)
 oracle("dq_schema_contract", DQ_CONTRACT)
 oracle("dq_row_count_positive", DQ_ROWS)
 oracle("dq_report", " UNION ALL ".join([
@@ -466,12 +467,26 @@ oracle("dq_report", " UNION ALL ".join([
     DQ_ABC_SORTED, DQ_CONTRACT, DQ_ROWS.replace("'row_count_positive'", "'row_count_positive:silver'")]), ABC)
 
 # --------------------------------------------------- 2.10 serving, jobs ---
+SERVED = IX + """
+, last AS (SELECT id, item_id, store_id, units, day_index - nd.n_dates AS back, nd.max_date FROM ix, nd
+           WHERE day_index >= nd.n_dates - 28)
+, means AS (SELECT id, item_id, store_id, ANY_VALUE(max_date) AS max_date, AVG(units) AS ma_28,
+                   AVG(CASE WHEN back >= -7 THEN units END) AS ma_7,
+                   CAST(MAX(CASE WHEN back = -1 THEN units END) AS DOUBLE) AS last FROM last GROUP BY ALL)
+, served AS (
+  SELECT m.item_id, m.store_id, v.model, CAST(s.step AS INTEGER) AS step,
+         CAST(m.max_date + CAST(s.step AS INTEGER) AS DATE) AS date,
+         CASE v.model WHEN 'zero' THEN 0.0 WHEN 'naive' THEN m.last WHEN 'moving_average_7' THEN m.ma_7
+                      WHEN 'moving_average_28' THEN m.ma_28 ELSE CAST(l.units AS DOUBLE) END AS predicted_units
+  FROM means m CROSS JOIN range(1, 91) s(step)
+       CROSS JOIN (VALUES ('zero'), ('naive'), ('seasonal_naive_7'), ('moving_average_7'), ('moving_average_28')) v(model)
+       LEFT JOIN last l ON l.id = m.id AND l.back = (s.step - 1) % 7 - 7)"""
+oracle("forecasts_table", "SELECT * FROM served", SERVED)
 oracle("forecast_lookup", """
-SELECT f.item_id, f.store_id, 28 AS horizon_days, CAST(nd.max_date + CAST(s.step AS INTEGER) AS DATE) AS date,
-       f.predicted_units
-FROM (SELECT id, item_id, store_id, CAST(AVG(CASE WHEN day_index >= nd.n_dates - 28 THEN units END) AS DOUBLE) AS predicted_units
-      FROM ix, nd GROUP BY id, item_id, store_id) f
-CROSS JOIN nd CROSS JOIN range(1, 29) s(step)""", IX)
+SELECT item_id, store_id, 28 AS horizon_days, date, predicted_units FROM served
+WHERE model = 'moving_average_28' AND step <= 28""", SERVED)
+oracle("train_demand_model", """
+SELECT COUNT(*) AS n_test, COUNT(*) AS n_predicted, true AS beats_zero FROM silver, span s WHERE silver.date >= s.b - 27""")
 oracle("store_kpis", f"""
 SELECT t.store_id, t.total_revenue, t.avg_daily_units, COALESCE(a.n, 0) AS abc_a_products
 FROM (SELECT store_id, CAST(SUM(CAST(revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue,
@@ -480,16 +495,13 @@ LEFT JOIN (SELECT s.store_id, COUNT(*) AS n
            FROM (SELECT DISTINCT store_id, item_id FROM silver WHERE units > 0) s
            JOIN abc ON abc.item_id = s.item_id AND abc.abc_class = 'A' GROUP BY s.store_id) a
   ON a.store_id = t.store_id""", ABC)
-GOLD_COUNTS = f"""
-SELECT 'abc_classification' AS "table", CAST(COUNT(*) AS BIGINT) AS n_rows FROM abc
-UNION ALL SELECT 'dim_calendar', COUNT(DISTINCT date) FROM silver
-UNION ALL SELECT 'dim_product', COUNT(*) FROM {DIMP}
-UNION ALL SELECT 'dim_store', COUNT(*) FROM (SELECT DISTINCT store_id, state_id FROM silver)
-UNION ALL SELECT 'fact_sales', COUNT(*) FROM silver
-UNION ALL SELECT 'weekly_category_sales', COUNT(*) FROM (SELECT DISTINCT cat_id, store_id, wm_yr_wk FROM silver)"""
-oracle("gold_tables", GOLD_COUNTS, ABC)
-oracle("run_pipeline", GOLD_COUNTS + """
-UNION ALL SELECT 'bronze_calendar', COUNT(*) FROM calendar
-UNION ALL SELECT 'bronze_prices', COUNT(*) FROM prices
-UNION ALL SELECT 'bronze_sales', COUNT(*) FROM series
-UNION ALL SELECT 'silver_sales_daily', COUNT(*) FROM silver""", ABC)
+GOLD = [
+    ("abc_classification", "abc"),
+    ("dim_calendar", "(SELECT DISTINCT date, wm_yr_wk, CAST(event_name_1 IS NOT NULL AS INTEGER) AS is_event FROM silver)"),
+    ("dim_product", DIMP), ("dim_store", "(SELECT DISTINCT store_id, state_id FROM silver)"), ("fact_sales", "silver"),
+    ("weekly_category_sales", """(SELECT SUM(units) AS total_units, CAST(SUM(CAST(revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue,
+        COUNT(DISTINCT item_id) AS active_items FROM silver GROUP BY cat_id, store_id, wm_yr_wk)"""),
+]
+oracle("gold_tables", contents(*GOLD), ABC)
+oracle("run_pipeline", contents(*GOLD, ("bronze_calendar", "calendar"), ("bronze_prices", "prices"), sales_rows(),
+                                ("silver_sales_daily", "silver")), ABC)

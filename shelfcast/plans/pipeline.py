@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfcast.plans.gold import write_gold
-from shelfcast.plans.silver import open_silver, publish_silver, silver_sales_daily
+from shelfcast.plans.silver import open_silver, publish_silver, silver_buckets, silver_sales_daily
 from shelfcast.sources.bronze import ingest_bronze
 
 LAYERS = ["bronze", "silver", "gold"]
@@ -39,10 +39,6 @@ def silver_path(work_dir: str) -> str:
     return f"{work_dir.rstrip('/')}/silver/silver_sales_daily.parquet"
 
 
-def silver_buckets(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def silver_table(work_dir: str) -> str:
     """Catalog name of a pipeline's Silver table (one per work folder)."""
     import hashlib
@@ -51,24 +47,25 @@ def silver_table(work_dir: str) -> str:
 
 def run_silver(spark: SparkSession, bronze_dir: str, out_path: str, table: str) -> int:
     read = lambda n: spark.read.parquet(f"{bronze_dir.rstrip('/')}/{n}.parquet")
-    n = silver_buckets(spark)
-    silver = silver_sales_daily(read("bronze_sales"), read("bronze_calendar"), read("bronze_prices"), partitions=n)
-    # hash-partitioned by id already: written as a bucketed table, whole series per file
+    sales = read("bronze_sales")
+    n = silver_buckets(sales)
+    silver = silver_sales_daily(sales, read("bronze_calendar"), read("bronze_prices"), partitions=n)
     return publish_silver(silver, out_path, table, n).count()
 
 
 def load_silver(spark: SparkSession, work_dir: str) -> DataFrame:
     """The pipeline's Silver as a bucketed table (registered again if needed)."""
     work = work_dir.rstrip("/")
-    return open_silver(spark, silver_path(work), silver_table(work), silver_buckets(spark))
+    return open_silver(spark, silver_path(work), silver_table(work))
 
 
 def run_pipeline(spark: SparkSession, raw_dir: str, work_dir: str, start_at: str = "bronze",
                  cat: str | None = None, store: str | None = None,
-                 on_missing: str = "error") -> PipelineResult:
+                 on_missing: str = "error", null_tokens: list[str] | None = None) -> PipelineResult:
     """Run the layers from ``start_at`` on; stop at the first failure
     (``PipelineError`` names the layer).  Returns per-layer seconds, rows and
-    output paths."""
+    output paths.  ``null_tokens``: texts of the raw files that mean null; by default
+    those that pandas reads so."""
     if start_at not in LAYERS:
         raise ValueError(f"start_at must be one of {LAYERS}")
     work = work_dir.rstrip("/")
@@ -78,7 +75,7 @@ def run_pipeline(spark: SparkSession, raw_dir: str, work_dir: str, start_at: str
         t0 = time.perf_counter()
         try:
             if layer == "bronze":
-                b = ingest_bronze(spark, raw_dir, bronze_dir, cat, store, on_missing)
+                b = ingest_bronze(spark, raw_dir, bronze_dir, cat, store, on_missing, null_tokens)
                 res.rows.update(b.rows)
                 res.paths.update(b.paths)
             elif layer == "silver":

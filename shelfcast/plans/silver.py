@@ -6,37 +6,80 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.numeric import round_half_up
 from shelfcast.operators import features as feat
-from shelfcast.operators.joins import bounded_broadcast, join_calendar, join_prices
-from shelfcast.operators.reshape import unpivot_sales, unpivot_sales_sql
-from shelfcast.schemas import CALENDAR_COLS, SILVER_COLS, SILVER_SQL_COLS
-from shelfcast.sources import fixtures
-
-
-def spread_series(sales: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Hash-partition the *wide* rows by ``id`` before they are exploded.
-
-    A wide file has few rows (one per series) and often lands in one or two
-    scan splits; exploding there would put all long rows in those tasks.
-    Shuffling the wide rows is cheap (one row per series), spreads the explode
-    over every task, and leaves the long rows clustered by series: the
-    broadcast joins that follow keep that partitioning, so Silver is written
-    with whole series per file and no shuffle of the long rows.
-    """
-    n = partitions or int(sales.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return sales.repartition(n, "id")
+from shelfcast.operators.joins import MAX_BROADCAST_ROWS, bounded_broadcast, join_calendar
+from shelfcast.operators.reshape import day_columns
+from shelfcast.schemas import CALENDAR_COLS, ID_COLS, SILVER_COLS, SILVER_SQL_COLS
+
+
+BYTES_PER_ROW = 60               # of a Silver row in memory, roughly
+BUCKET_BYTES = 128 << 20
+
+
+def silver_buckets(sales: DataFrame) -> int:
+    """Number of buckets for a wide sales table: its long rows by size, and at least one
+    bucket per core that the session has."""
+    rows = sales.count() * len(day_columns(sales))
+    return max(sales.sparkSession.sparkContext.defaultParallelism, -(-rows * BYTES_PER_ROW // BUCKET_BYTES))
+
+
+def week_positions(calendar: DataFrame, days: list[str]) -> tuple[list[int], list[int | None]]:
+    """The calendar's weeks in order, and for each day name the 1-based position of its week.
+
+    A calendar has one row per day; ``MAX_BROADCAST_ROWS`` is checked before it is read."""
+    if calendar.count() > MAX_BROADCAST_ROWS:
+        raise ValueError("the calendar is larger than any calendar of days")
+    week = {r["d"]: r["wm_yr_wk"] for r in calendar.select("d", "wm_yr_wk").collect()}
+    weeks = sorted({w for w in week.values() if w is not None})
+    at = {w: i + 1 for i, w in enumerate(weeks)}
+    return weeks, [at.get(week.get(d)) for d in days]
+
+
+def with_prices(sales: DataFrame, calendar: DataFrame, prices: DataFrame) -> DataFrame:
+    """Wide rows with ``_prices``: the prices of each of their days, an array per day.
+
+    Prices are folded to one row per (store, item) - at most one entry per week and
+    repeated key - and joined to the *wide* rows, so the long rows never move.  A day
+    whose key has two prices keeps both and gives two Silver rows, as a join of the long
+    rows would: ``dq_no_fanout`` sees it."""
+    weeks, at = week_positions(calendar, day_columns(sales))
+    folded = prices.groupBy("store_id", "item_id").agg(F.collect_list(F.struct("wm_yr_wk", "sell_price")).alias("_all"))
+    by_week = F.transform(F.lit(weeks), lambda w: F.transform(
+        F.filter("_all", lambda p: p["wm_yr_wk"] == w), lambda p: p["sell_price"]))
+    folded = folded.select("store_id", "item_id", by_week.alias("_weeks"))
+    positions = F.lit([p or 0 for p in at])
+    per_day = F.transform(positions, lambda p: F.when(p > 0, F.get("_weeks", p - 1)))
+    return sales.join(folded, ["store_id", "item_id"], "left").withColumn("_prices", per_day).drop("_weeks")
+
+
+def priced_long(sales: DataFrame, calendar: DataFrame, prices: DataFrame, id_cols: list[str],
+                partitions: int | None = None) -> DataFrame:
+    """Long rows (ids, d, units, sell_price), hash-partitioned by id.
+
+    The wide rows are spread by ``id`` before they are exploded: they are few, the explode
+    then uses every task, and the long rows stay laid out by series for the bucketed write."""
+    wide = with_prices(sales, calendar, prices)
+    wide = wide.repartition(partitions, "id") if partitions else wide.repartition("id")
+    days = day_columns(sales)
+    names = F.array(*[F.lit(d) for d in days])
+    values = F.array(*[F.col(d).cast("int") for d in days])
+    zipped = F.arrays_zip(values.alias("units"), F.col("_prices").alias("prices"))
+    long_df = wide.select(*id_cols, F.posexplode(zipped).alias("_pos", "_cell")).select(
+        *id_cols, F.element_at(names, F.col("_pos") + 1).alias("d"), F.col("_cell.units").alias("units"),
+        F.col("_cell.prices").alias("_p"))
+    # a cell has no price (one row with null), one, or a repeated key's several
+    return long_df.select(*id_cols, "d", "units", F.explode_outer("_p").alias("sell_price"))
 
 
 def silver_sales_daily(sales: DataFrame, calendar: DataFrame, prices: DataFrame,
                        partitions: int | None = None) -> DataFrame:
-    """unpivot -> calendar join (guarded) -> price join -> features -> types.
+    """prices onto wide rows -> unpivot -> calendar join (guarded) -> features -> types.
 
     Returns the 20 Silver columns in contract order, hash-partitioned by id.
     Row order is not a property of a Spark table; writers sort within
     partitions by (id, date).
     """
-    df = unpivot_sales(spread_series(sales, partitions))
+    df = priced_long(sales, calendar, prices, ID_COLS, partitions)
     df = join_calendar(df, calendar, guard=True)
-    df = join_prices(df, prices)
     cols = feat.silver_columns()
     return df.select(*[cols[c].alias(c) for c in SILVER_COLS])
 
@@ -44,34 +87,41 @@ def silver_sales_daily(sales: DataFrame, calendar: DataFrame, prices: DataFrame,
 def silver_sales_daily_sql(sales: DataFrame, calendar: DataFrame, prices: DataFrame) -> DataFrame:
     """The SQL variant: nulls dropped by UNPIVOT, unmatched days keep a null
     date, unknown state gives a NULL SNAP flag; 16 columns."""
-    df = unpivot_sales_sql(spread_series(sales))
+    df = priced_long(sales, calendar, prices, [c for c in ID_COLS if c != "dept_id"]).where("units IS NOT NULL")
     df = df.join(bounded_broadcast(calendar.select(*CALENDAR_COLS)), "d", "left")
-    df = join_prices(df, prices)
     exprs = {"snap_flag": feat.snap_flag_expr(True).cast("int"), "is_weekend": feat.is_weekend_expr(),
              "is_active": feat.is_active_expr()}
     return df.select(*[exprs[c].alias(c) if c in exprs else F.col(c) for c in SILVER_SQL_COLS])
 
 
+def _layout_path(path: str) -> str:
+    return path.rstrip("/") + ".layout"
+
+
 def publish_silver(silver: DataFrame, path: str, table: str, buckets: int) -> DataFrame:
-    """Write Silver as a table bucketed by ``id`` at ``path``.
-
-    Silver is already hash-partitioned by id into ``buckets`` partitions
-    (``spread_series``), which is exactly Spark's bucketing, so each task
-    writes one bucket file and nothing is shuffled.  Inside a file the rows of
-    a series are contiguous and in date order (they come out of one exploded
-    wide row), so no sort is added.  Every later job that works per series
-    (windows, per-id aggregates) reads the buckets as its partitions and skips
+    """Write Silver as a table bucketed by ``id`` at ``path``, and how many buckets it has
+    beside it: whoever opens it later must know that, whatever their own settings are.
+
+    Silver is already hash-partitioned by id into ``buckets`` partitions, which is
+    exactly Spark's bucketing, so each task writes one bucket file and nothing is
+    shuffled.  Inside a file the rows of a series are contiguous and in date order.
+    Every later job that works per series reads the buckets as its partitions and skips
     the shuffle of the largest table.
     """
+    spark = silver.sparkSession
     (silver.write.mode("overwrite").option("path", path)
      .bucketBy(buckets, "id").saveAsTable(table))
-    return silver.sparkSession.table(table)
+    spark.createDataFrame([(buckets,)], "buckets int").coalesce(1).write.mode("overwrite").json(_layout_path(path))
+    return spark.table(table)
 
 
-def open_silver(spark: SparkSession, path: str, table: str, buckets: int) -> DataFrame:
-    """Register an existing bucketed Silver folder (e.g. in a new session)."""
+def open_silver(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """Register an existing bucketed Silver folder (e.g. in a new session), with the
+    schema and the number of buckets it was written with."""
     if not spark.catalog.tableExists(table):
-        spark.sql(f"CREATE TABLE {table} USING parquet CLUSTERED BY (id) "
+        buckets = spark.read.schema("buckets int").json(_layout_path(path)).first()["buckets"]
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema.fields)
+        spark.sql(f"CREATE TABLE {table} ({cols}) USING parquet CLUSTERED BY (id) "
                   f"INTO {buckets} BUCKETS LOCATION '{path}'")
     return spark.table(table)
 
@@ -84,14 +134,3 @@ def silver_profile(silver: DataFrame) -> DataFrame:
         F.max("date").alias("max_date"),
         round_half_up(F.avg("is_active"), 6).alias("active_share"),
     ).select("n_rows", F.lit(len(silver.columns)).alias("n_columns"), "min_date", "max_date", "active_share")
-
-
-def silver_from_tables(spark: SparkSession, sf_dir: str, win: fixtures.Window = fixtures.Window()) -> DataFrame:
-    """Silver computed from the driver tables (Bronze projected on the fly)."""
-    b = fixtures.bronze(spark, sf_dir, win)
-    return silver_sales_daily(b.sales, b.calendar, b.prices)
-
-
-def silver_sql_from_tables(spark: SparkSession, sf_dir: str, win: fixtures.Window = fixtures.Window()) -> DataFrame:
-    b = fixtures.bronze(spark, sf_dir, win)
-    return silver_sales_daily_sql(b.sales, b.calendar, b.prices)

@@ -8,8 +8,9 @@ and then read by every job that starts from Silver.
 """
 from __future__ import annotations
 
-import os
+import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,7 @@ from shelfcast.operators import series as se
 from shelfcast.plans import silver as silver_plan
 from shelfcast.plans.gold import write_gold
 from shelfcast.plans.pipeline import run_pipeline
+from shelfcast.schemas import ID_COLS
 from shelfcast.session import scratch_path
 from shelfcast.sources import bronze as bz
 from shelfcast.sources import files
@@ -36,9 +38,6 @@ from shelfcast.sources import fixtures
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-CUTOFF = "2000-03-25"        # first test day of the 28-day horizon in the fixture window
-
-
 def register(name: str):
     def deco(fn: Query) -> Query:
         QUERIES[name] = fn
@@ -47,35 +46,45 @@ def register(name: str):
 
 
 # ------------------------------------------------------------ shared inputs ---
-_MATERIALISED: dict[tuple, tuple[str, str]] = {}
+_BRONZE: dict[tuple, fixtures.Bronze] = {}
+_SILVER: dict[tuple, tuple[str, str]] = {}
 
 
-_BRONZE: dict[tuple, fixtures.Bronze] = {}
+def _key(spark: SparkSession, sf_dir: str) -> tuple:
+    return spark.sparkContext.applicationId, sf_dir.rstrip("/")
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> fixtures.Bronze:
-    """The Bronze projection's (lazy) plans, built once per session and folder:
-    analysing the wide pivot is the costly part, not the data."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    """The Bronze projection, written once per application and folder and read back:
+    planning thousands of day columns is the costly part, not the data."""
+    key = _key(spark, sf_dir)
     if key not in _BRONZE:
-        _BRONZE[key] = fixtures.bronze(spark, sf_dir)
+        b = fixtures.bronze(spark, sf_dir)
+        sales = files.write_parquet(b.sales, scratch_path(spark, "bronze-sales"))
+        prices = files.write_parquet(b.prices, scratch_path(spark, "bronze-prices"))
+        _BRONZE[key] = fixtures.Bronze(spark.read.schema(b.sales.schema).parquet(sales), b.calendar,
+                                       spark.read.parquet(prices), b.days)
     return _BRONZE[key]
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver written once as a table bucketed by id (see ``publish_silver``)
     and read back; per-series jobs then need no shuffle of it."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), "silver")
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if key not in _MATERIALISED:
+    key = _key(spark, sf_dir)
+    if key not in _SILVER:
         path = scratch_path(spark, "silver")
-        table = "silver_" + os.path.basename(path).replace("-", "_")
+        table = "silver_" + path.rsplit("-", 1)[1]
         b = bronze(spark, sf_dir)
+        n = silver_plan.silver_buckets(b.sales)
         silver_plan.publish_silver(silver_plan.silver_sales_daily(b.sales, b.calendar, b.prices, partitions=n),
                                    path, table, n)
-        _MATERIALISED[key] = (path, table)
-    path, table = _MATERIALISED[key]
-    return silver_plan.open_silver(spark, path, table, n)
+        _SILVER[key] = (path, table)
+    return silver_plan.open_silver(spark, *_SILVER[key])
+
+
+def cutoff(spark: SparkSession, sf_dir: str) -> str:
+    """First day of the last 28."""
+    return (bronze(spark, sf_dir).days.last - dt.timedelta(days=27)).isoformat()
 
 
 def _long(spark, sf_dir) -> DataFrame:
@@ -98,15 +107,53 @@ def _raw_dir(spark, sf_dir, skip: tuple = ()) -> str:
     return raw
 
 
-def _summary(spark: SparkSession, rows: dict[str, int]) -> DataFrame:
-    return spark.createDataFrame(sorted(rows.items()), "table string, n_rows bigint")
+# What a written table is summed up by: SQL that Spark and the oracle read alike.
+CONTENT = {
+    "bronze_calendar": "CAST(SUM(wm_yr_wk) AS BIGINT)",
+    "bronze_prices": "CAST(SUM(CAST(round(sell_price * 100) AS BIGINT)) AS BIGINT)",
+    "silver_sales_daily": "CAST(SUM(units) + SUM(CAST(round(revenue * 100) AS BIGINT)) + SUM(is_active) AS BIGINT)",
+    "dim_product": "CAST(SUM(length(item_id) + length(dept_id)) AS BIGINT)",
+    "dim_store": "CAST(SUM(length(store_id) + length(state_id)) AS BIGINT)",
+    "dim_calendar": "CAST(SUM(wm_yr_wk + is_event) AS BIGINT)",
+    "fact_sales": "CAST(SUM(units) + SUM(CAST(round(revenue * 100) AS BIGINT)) AS BIGINT)",
+    "weekly_category_sales": "CAST(SUM(total_units) + SUM(CAST(round(total_revenue * 100) AS BIGINT)) + SUM(active_items) AS BIGINT)",
+    "abc_classification": "CAST(SUM(total_units) + SUM(CASE WHEN abc_class = 'A' THEN 1 ELSE 0 END) AS BIGINT)",
+}
+
+
+def _contents(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """table, n_rows, content of written tables: every value of some columns is summed."""
+    parts = []
+    for name, path in sorted(paths.items()):
+        df = spark.read.parquet(path)
+        total = F.expr(CONTENT[name]) if name in CONTENT else F.sum(_day_total(df)).cast("long")
+        parts.append(df.agg(F.lit(name).alias("table"), F.count(F.lit(1)).alias("n_rows"), total.alias("content")))
+    return reduce(DataFrame.unionByName, parts).select("table", "n_rows", "content")
+
+
+def _days(df: DataFrame):
+    return F.array(*[F.col(d) for d in reshape.day_columns(df)])
+
+
+def _day_total(df: DataFrame):
+    return F.aggregate(_days(df), F.lit(0).cast("long"), lambda a, x: a + F.coalesce(x, F.lit(0)))
+
+
+def _digest(df: DataFrame, ids: list[str], days: list[str]) -> DataFrame:
+    """A frame with a column per day as ids, n_days and all its units in one text."""
+    return df.select(*ids, F.lit(len(days)).cast("long").alias("n_days"),
+                     F.array_join(F.array(*[F.col(f"`{d}`") for d in days]).cast("array<string>"), ",").alias("units"))
+
+
+def _wide_digest(df: DataFrame) -> DataFrame:
+    return _digest(df, ID_COLS, reshape.day_columns(df))
 
 
 # ------------------------------------------------------------- 2.1 sources ---
 @register("read_raw_csv")
 def q_read_raw_csv(spark, sf_dir):
     raw = _raw_dir(spark, sf_dir)
-    return files.read_raw_csv(spark, bz.bronze_tables(raw)["bronze_sales"])
+    return _wide_digest(files.read_raw_csv(spark, bz.bronze_tables(raw)["bronze_sales"]))
 
 
 @register("load_csv_autodetect")
@@ -114,13 +161,13 @@ def q_load_csv_autodetect(spark, sf_dir):
     raw = _raw_dir(spark, sf_dir)
     df, _n = files.load_csv_autodetect(spark, bz.bronze_tables(raw)["bronze_sales"],
                                        scratch_path(spark, "autodetect"))
-    return df
+    return _wide_digest(df)
 
 
 @register("bronze_tables")
 def q_bronze_tables(spark, sf_dir):
     res = bz.ingest_bronze(spark, _raw_dir(spark, sf_dir), scratch_path(spark, "bronze"))
-    return _summary(spark, res.rows)
+    return _contents(spark, res.paths)
 
 
 @register("missing_source_policy")
@@ -135,7 +182,7 @@ def q_missing_source_policy(spark, sf_dir):
 def q_subset_filter(spark, sf_dir):
     raw = _raw_dir(spark, sf_dir)
     frames, _ = bz.read_bronze_sources(spark, raw, cat="FOODS", store="CA_1")
-    return frames["bronze_sales"]
+    return _wide_digest(frames["bronze_sales"])
 
 
 @register("nonempty_guard")
@@ -143,12 +190,12 @@ def q_nonempty_guard(spark, sf_dir):
     # the reference's own subset (FOODS x CA_1), guarded before any write
     res = bz.ingest_bronze(spark, _raw_dir(spark, sf_dir), scratch_path(spark, "bronze"),
                            cat="FOODS", store="CA_1")
-    return _summary(spark, res.rows)
+    return _contents(spark, res.paths)
 
 
 @register("write_parquet")
 def q_write_parquet(spark, sf_dir):
-    path = files.write_parquet(silver_plan.silver_from_tables(spark, sf_dir), scratch_path(spark, "silver-out"),
+    path = files.write_parquet(silver(spark, sf_dir), scratch_path(spark, "silver-out"),
                                partition_by=["store_id"], sort_within=["id", "date"])
     return files.read_parquet(spark, path)
 
@@ -162,13 +209,13 @@ def q_read_parquet(spark, sf_dir):
 @register("read_parquet_pruned")
 def q_read_parquet_pruned(spark, sf_dir):
     silver(spark, sf_dir)  # make sure it is written
-    path, _table = _MATERIALISED[(spark.sparkContext.applicationId, os.path.abspath(sf_dir), "silver")]
+    path, _table = _SILVER[_key(spark, sf_dir)]
     return files.read_parquet(spark, path, ["id", "date", "units"])
 
 
 @register("publish_table")
 def q_publish_table(spark, sf_dir):
-    name = "fact_sales_" + os.path.basename(scratch_path(spark, "t")).replace("-", "_")
+    name = "fact_sales_" + scratch_path(spark, "t").rsplit("-", 1)[1]
     return files.publish_table(gold.fact_sales_sql(silver(spark, sf_dir)), name,
                                scratch_path(spark, "fact-table"))
 
@@ -191,12 +238,10 @@ def q_unpivot_sales_sql(spark, sf_dir):
 
 @register("series_matrix")
 def q_series_matrix(spark, sf_dir):
-    s = silver(spark, sf_dir)
-    win = fixtures.Window()
-    import datetime as dt
-    start = dt.date.fromisoformat(win.start)
-    dates = [start + dt.timedelta(days=i) for i in range(win.n_days)]
-    return reshape.series_matrix(s.select("id", "date", "units"), dates)
+    days = bronze(spark, sf_dir).days
+    dates = [days.start + dt.timedelta(days=i) for i in range(days.n_days)]
+    wide = reshape.series_matrix(silver(spark, sf_dir).select("id", "date", "units"), dates)
+    return _digest(wide, ["id"], [d.isoformat() for d in dates])
 
 
 # --------------------------------------------------------------- 2.3 joins ---
@@ -255,12 +300,14 @@ def q_clean_types(spark, sf_dir):
 
 @register("silver_sales_daily")
 def q_silver(spark, sf_dir):
-    return silver_plan.silver_from_tables(spark, sf_dir)
+    b = bronze(spark, sf_dir)
+    return silver_plan.silver_sales_daily(b.sales, b.calendar, b.prices)
 
 
 @register("silver_sales_daily_sql")
 def q_silver_sql(spark, sf_dir):
-    return silver_plan.silver_sql_from_tables(spark, sf_dir)
+    b = bronze(spark, sf_dir)
+    return silver_plan.silver_sales_daily_sql(b.sales, b.calendar, b.prices)
 
 
 @register("silver_profile")
@@ -309,9 +356,14 @@ def q_weekly_sql(spark, sf_dir):
     return gold.weekly_category_sales_sql(silver(spark, sf_dir))
 
 
+def _abc(spark, sf_dir) -> DataFrame:
+    """Classes of the parts by their revenue over all of lineitem."""
+    return gold.abc_from_revenue(fixtures.part_revenue(spark, sf_dir), unit=10_000)
+
+
 @register("abc_summary")
 def q_abc_summary(spark, sf_dir):
-    return gold.abc_summary(gold.abc_classification(silver(spark, sf_dir)))
+    return gold.abc_summary(_abc(spark, sf_dir), unit=10_000)
 
 
 @register("revenue_weights")
@@ -322,12 +374,12 @@ def q_revenue_weights(spark, sf_dir):
 # ------------------------------------------------ 2.6 windows, ranking ---
 @register("abc_classification")
 def q_abc(spark, sf_dir):
-    return gold.abc_classification(silver(spark, sf_dir))
+    return _abc(spark, sf_dir)
 
 
 @register("abc_percent_rank")
 def q_abc_pr(spark, sf_dir):
-    return gold.abc_percent_rank(silver(spark, sf_dir))
+    return gold.percent_rank_from_revenue(fixtures.part_revenue(spark, sf_dir), unit=10_000)
 
 
 def _series(spark, sf_dir) -> DataFrame:
@@ -389,7 +441,7 @@ def q_temporal_split(spark, sf_dir):
 
 @register("cutoff_split")
 def q_cutoff_split(spark, sf_dir):
-    train, test = se.cutoff_split(_series(spark, sf_dir), "date", CUTOFF)
+    train, test = se.cutoff_split(_series(spark, sf_dir), "date", cutoff(spark, sf_dir))
     return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
 
 
@@ -412,11 +464,14 @@ register("forecast_moving_average")(_model_forecast(["moving_average_7", "moving
 
 @register("train_demand_model")
 def q_train_demand_model(spark, sf_dir):
+    """Facts of the trained model that any engine can check: its test rows, how many got a
+    prediction, and whether its mean absolute error is below that of predicting zero."""
     feats = fc.demand_features(silver(spark, sf_dir))
-    train, test = se.cutoff_split(feats, "date", CUTOFF)
-    # 20 boosting rounds for the registered run (the library default is 200)
-    model = fc.train_demand_model(train, max_iter=20)
-    return fc.predict_demand(model, test)
+    train, test = se.cutoff_split(feats, "date", cutoff(spark, sf_dir))
+    out = fc.predict_demand(fc.train_demand_model(train), test)
+    return out.agg(
+        F.count(F.lit(1)).alias("n_test"), F.count("predicted_units").alias("n_predicted"),
+        (F.avg(F.abs(F.col("units") - F.col("predicted_units"))) < F.avg(F.abs("units"))).alias("beats_zero"))
 
 
 def _metric(col: str):
@@ -472,8 +527,7 @@ def q_demand_stats(spark, sf_dir):
 
 @register("classify_syntetos_boylan")
 def q_classify(spark, sf_dir):
-    d = dg.demand_stats(_stats(spark, sf_dir))
-    return d.select("id", "adi", "cv2", dg.classify_syntetos_boylan("adi", "cv2").alias("demand_class"))
+    return dg.demand_stats(_stats(spark, sf_dir)).select("id", "adi", "cv2", "demand_class")
 
 
 @register("demand_class_summary")
@@ -548,12 +602,12 @@ def q_dq_abc_cover(spark, sf_dir):
 
 @register("dq_abc_shares_sum_one")
 def q_dq_abc_sum(spark, sf_dir):
-    return dq.dq_abc_shares_sum_one(gold.abc_classification(silver(spark, sf_dir)))
+    return dq.dq_abc_shares_sum_one(_abc(spark, sf_dir))
 
 
 @register("dq_abc_sorted")
 def q_dq_abc_sorted(spark, sf_dir):
-    return dq.dq_abc_sorted(gold.abc_classification(silver(spark, sf_dir)))
+    return dq.dq_abc_sorted(_abc(spark, sf_dir))
 
 
 @register("dq_report")
@@ -564,10 +618,28 @@ def q_dq_report(spark, sf_dir):
 
 
 # ------------------------------------------------------ 2.10 serving, jobs ---
+_FORECASTS: dict[tuple, str] = {}
+
+
+def _stored_forecasts(spark, sf_dir) -> DataFrame:
+    """The forecasts table of all baselines, written once and read back."""
+    key = _key(spark, sf_dir)
+    if key not in _FORECASTS:
+        path = scratch_path(spark, "forecasts")
+        fc.write_forecasts(silver(spark, sf_dir), path)
+        _FORECASTS[key] = path
+    return spark.read.parquet(_FORECASTS[key])
+
+
+@register("forecasts_table")
+def q_forecasts_table(spark, sf_dir):
+    return _stored_forecasts(spark, sf_dir)
+
+
 @register("forecast_lookup")
 def q_forecast_lookup(spark, sf_dir):
-    table = fc.forecasts_table(silver(spark, sf_dir))
-    return fc.forecast_lookup(table, item_id=None, store_id=None, horizon=28)
+    return fc.forecast_lookup(_stored_forecasts(spark, sf_dir), item_id=None, store_id=None, horizon=28,
+                              model="moving_average_28")
 
 
 @register("store_kpis")
@@ -579,15 +651,11 @@ def q_store_kpis(spark, sf_dir):
 @register("run_pipeline")
 def q_run_pipeline(spark, sf_dir):
     res = run_pipeline(spark, _raw_dir(spark, sf_dir), scratch_path(spark, "work"))
-    return _summary(spark, res.rows)
+    return _contents(spark, res.paths)
 
 
 @register("gold_tables")
 def q_gold_tables(spark, sf_dir):
-    return _summary(spark, write_gold(spark, silver(spark, sf_dir), scratch_path(spark, "gold")))
-
-
-def all_names() -> list[str]:
-    return list(QUERIES)
-
-
+    out = scratch_path(spark, "gold")
+    names = write_gold(spark, silver(spark, sf_dir), out)
+    return _contents(spark, {n: f"{out}/{n}.parquet" for n in names})

@@ -2,13 +2,12 @@
 from __future__ import annotations
 
 import logging
-import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.sources.files import read_raw_csv, write_csv
+from shelfcast.sources.files import PANDAS_NULL_TOKENS, read_raw_csv, write_csv
 
 log = logging.getLogger(__name__)
 
@@ -33,10 +32,8 @@ def write_raw(tables: dict[str, DataFrame], raw_dir: str) -> dict[str, str]:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    if "://" not in path or path.startswith("file:"):
-        return os.path.exists(path.replace("file:", ""))
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
+    """Asks the file system that the path belongs to (without a scheme: the default one)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
@@ -92,10 +89,14 @@ def read_bronze_sources(spark: SparkSession, raw_dir: str, cat: str | None = Non
 
 
 def ingest_bronze(spark: SparkSession, raw_dir: str, bronze_dir: str, cat: str | None = None,
-                  store: str | None = None, on_missing: str = "error") -> BronzeResult:
+                  store: str | None = None, on_missing: str = "error",
+                  null_tokens: list[str] | None = None) -> BronzeResult:
+    """Raw files to Parquet.  Texts that pandas reads as missing are null, unless
+    ``null_tokens`` says otherwise (an empty list: only empty fields)."""
     from shelfcast.plans.gold import write_tables
 
-    frames, skipped = read_bronze_sources(spark, raw_dir, cat, store, on_missing)
+    tokens = PANDAS_NULL_TOKENS if null_tokens is None else null_tokens
+    frames, skipped = read_bronze_sources(spark, raw_dir, cat, store, on_missing, tokens)
     nonempty_guard(frames)
     rows = write_tables(spark, frames, bronze_dir, parallel=len(frames))
     paths = {name: f"{bronze_dir.rstrip('/')}/{name}.parquet" for name in frames}

@@ -37,20 +37,29 @@ def csv_header(spark: SparkSession, path: str) -> list[str]:
 
 def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
                  null_tokens: list[str] | None = None) -> DataFrame:
-    """Headed CSV with an explicit schema (generated from the header when not
-    given).  Spark treats only the empty field as null; ``null_tokens`` (for
-    instance ``PANDAS_NULL_TOKENS``) turns those texts into null as pandas does:
-    string columns are compared with the tokens, numeric columns that hold a
-    token fail to parse and become null."""
+    """Headed CSV with an explicit schema (generated from the header when not given).
+
+    Each file's header is checked against the schema, and a text that is no number where
+    one is due raises: it must not turn into a missing price.  Spark treats only the empty
+    field as null; ``null_tokens`` (for instance ``PANDAS_NULL_TOKENS``) are made null as
+    pandas does, in numeric columns before they are parsed."""
     schema = schema or schema_from_header(csv_header(spark, path))
-    df = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
-    if null_tokens:
-        tokens = [t for t in null_tokens if t != ""]
-        df = df.select(*[
-            F.when(F.col(f.name).isin(tokens), F.lit(None).cast(f.dataType)).otherwise(F.col(f.name)).alias(f.name)
-            if isinstance(f.dataType, T.StringType) else F.col(f.name)
-            for f in schema.fields])
-    return df
+    tokens = [t for t in null_tokens or [] if t != ""]
+    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields]) if tokens else schema
+    df = (spark.read.schema(as_text).option("header", True).option("enforceSchema", False)
+          .option("mode", "FAILFAST").csv(path))
+    if not tokens:
+        return df
+    kept = lambda c: F.when(~c.isin(tokens), c)
+    days = [f.name for f in schema.fields if f.name.startswith(DAY_PREFIX) and isinstance(f.dataType, T.IntegerType)]
+    # thousands of day columns: one expression over their array plans far faster than one each
+    named = [kept(F.col(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields if f.name not in set(days)]
+    if not days:
+        return df.select(*named)
+    units = F.transform(F.array(*[F.col(d) for d in days]), lambda x: kept(x).cast("int"))
+    at = {d: i for i, d in enumerate(days)}
+    return df.select(*named, units.alias("_units")).selectExpr(
+        *[f"get(_units, {at[f.name]}) AS `{f.name}`" if f.name in at else f"`{f.name}`" for f in schema.fields])
 
 
 def write_csv(df: DataFrame, path: str) -> str:

@@ -5,62 +5,81 @@ prices).  We derive the same three shapes from ``part``, ``supplier``,
 ``nation`` and ``lineitem`` so that every job reads the given tables and its
 work grows with them:
 
-* one product per part, its category and department taken from the brand;
+* one product per brand (or per brand and type), category and department by the
+  brand's number;
 * one store per region of the supplying nation (five stores);
-* units = quantity shipped per product, store and day inside a calendar
-  window; every product is listed in every store (dense series grid);
-* weekly price = the part's retail price in the weeks it sold in that store.
+* units = quantity shipped per product, store and day, over all of ``lineitem``:
+  the calendar runs from its first to its last ship date; every product is listed
+  in every store (dense series grid);
+* weekly price = the highest retail price of the product's parts sold in that
+  store and week.
 """
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfcast.operators.joins import bounded_broadcast
 from shelfcast.schemas import ID_COLS
 
 # Fixed values of the projection (they define the test data, keep them as is).
-START_DATE = "2000-01-01"          # a Saturday, so weeks start on Saturday as in M5
-N_DAYS = 112                       # 16 whole weeks
-FIRST_WEEK = 11101                 # wm_yr_wk of the first week
+FIRST_WEEK = 11101                 # wm_yr_wk of the first week; weeks start on Saturday
 CATEGORIES = ["FOODS", "HOBBIES", "HOUSEHOLD"]          # by brand number mod 3
 STORES = ["CA_1", "CA_2", "TX_1", "WI_1", "NY_1"]       # by region key 0..4
 STATES = ["CA", "CA", "TX", "WI", "NY"]                 # NY has no SNAP column
 EVENT_DAY = 25                     # day of month carrying the monthly event
 EVENT_NAME = "MonthlyEvent"
 EVENT_TYPE = "Cultural"
+BRAND = ("p_brand",)               # columns of ``part`` that name a product
+BRAND_TYPE = ("p_brand", "p_type")
 
 
 @dataclass(frozen=True)
-class Window:
-    start: str = START_DATE
-    n_days: int = N_DAYS
+class Span:
+    """The calendar: first day and number of days."""
+    start: dt.date
+    n_days: int
 
     @property
-    def end_exclusive(self) -> str:
-        d = dt.date.fromisoformat(self.start) + dt.timedelta(days=self.n_days)
-        return d.isoformat()
+    def last(self) -> dt.date:
+        return self.start + dt.timedelta(days=self.n_days - 1)
 
     @property
     def day_names(self) -> list[str]:
         return [f"d_{i + 1}" for i in range(self.n_days)]
 
+    def week(self, date: Column) -> Column:
+        """wm_yr_wk of a date."""
+        saturday = self.start - dt.timedelta(days=(self.start.isoweekday() + 1) % 7)
+        return (F.lit(FIRST_WEEK) + F.floor(F.datediff(date, F.lit(saturday)) / 7)).cast("int")
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def calendar(spark: SparkSession, win: Window = Window()) -> DataFrame:
-    """Calendar keyed by day name ``d``; one row per day of the window."""
+def span(spark: SparkSession, sf_dir: str) -> Span:
+    """First to last ship date of the whole table (one aggregate, two scalars)."""
+    day = F.col("l_shipdate").cast("date")
+    row = table(spark, sf_dir, "lineitem").agg(F.min(day).alias("a"), F.max(day).alias("b")).first()
+    if row["a"] is None:
+        raise ValueError("lineitem has no ship date")
+    return Span(row["a"], (row["b"] - row["a"]).days + 1)
+
+
+def calendar(spark: SparkSession, days: Span) -> DataFrame:
+    """Calendar keyed by day name ``d``; one row per day of the span."""
     i = F.col("id").cast("int")
-    date = F.date_add(F.lit(win.start).cast("date"), i)
+    date = F.date_add(F.lit(days.start), i)
     dom = F.dayofmonth(date)
-    return spark.range(win.n_days).select(
+    return spark.range(days.n_days).select(
         date.alias("date"),
         F.concat(F.lit("d_"), (i + 1).cast("string")).alias("d"),
-        (F.lit(FIRST_WEEK) + F.floor(i / 7)).cast("int").alias("wm_yr_wk"),
+        days.week(date).alias("wm_yr_wk"),
         (F.dayofweek(date) % 7 + 1).cast("int").alias("wday"),
         F.month(date).alias("month"),
         F.year(date).alias("year"),
@@ -72,14 +91,14 @@ def calendar(spark: SparkSession, win: Window = Window()) -> DataFrame:
     )
 
 
-def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """item_id, dept_id, cat_id and the retail price, one row per part."""
+def products(spark: SparkSession, sf_dir: str, grain: Sequence[str] = BRAND) -> DataFrame:
+    """p_partkey, item_id, dept_id, cat_id and the retail price of each part."""
     brand_no = F.regexp_extract("p_brand", r"#(\d+)", 1).cast("int")
     cat = F.element_at(F.array(*[F.lit(c) for c in CATEGORIES]), brand_no % 3 + 1)
     dept = F.concat(cat, F.lit("_"), (brand_no % 2 + 1).cast("string"))
     return table(spark, sf_dir, "part").select(
         "p_partkey",
-        F.concat(dept, F.lit("_"), F.col("p_partkey").cast("string")).alias("item_id"),
+        F.concat_ws("_", *grain).alias("item_id"),
         dept.alias("dept_id"),
         cat.alias("cat_id"),
         F.col("p_retailprice").cast("decimal(12,2)").alias("price"),
@@ -93,75 +112,68 @@ def _store_of_region(region: str):
             F.element_at(states, F.col(region) + 1).alias("state_id"))
 
 
-def daily_sales(spark: SparkSession, sf_dir: str, win: Window = Window()) -> DataFrame:
-    """Sparse (p_partkey, region, date, qty) for the days inside the window.
+def daily_sales(spark: SparkSession, sf_dir: str, grain: Sequence[str] = BRAND) -> DataFrame:
+    """Sparse (item_id, region, date, qty, price) over all of ``lineitem``; price is
+    the highest retail price sold.
 
-    The ship-date predicate is a literal range, so it reaches the Parquet scan.
-    ``nation`` (25 rows by definition of the schema) is broadcast after its
-    size is checked; ``supplier`` and ``lineitem`` grow with the data and get
-    no hint (AQE may broadcast from measured sizes or split a hot supplier).
+    ``nation`` (25 rows by definition of the schema) is broadcast after its size is
+    checked; ``supplier``, ``part`` and ``lineitem`` grow with the data and get no
+    hint (AQE may broadcast from measured sizes or split a hot key).
     """
-    from shelfcast.operators.joins import bounded_broadcast
-    li = table(spark, sf_dir, "lineitem").where(
-        (F.col("l_shipdate") >= F.lit(f"{win.start} 00:00:00").cast("timestamp_ntz"))
-        & (F.col("l_shipdate") < F.lit(f"{win.end_exclusive} 00:00:00").cast("timestamp_ntz"))
-    ).select("l_partkey", "l_suppkey", F.col("l_shipdate").cast("date").alias("date"), "l_quantity")
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_partkey", "l_suppkey", F.col("l_shipdate").cast("date").alias("date"), "l_quantity")
     supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey").join(
         bounded_broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"), 10_000),
         F.col("s_nationkey") == F.col("n_nationkey"),
     ).select("s_suppkey", F.col("n_regionkey").alias("region"))
+    part = products(spark, sf_dir, grain).select("p_partkey", "item_id", "price")
     return (
         li.join(supp, F.col("l_suppkey") == F.col("s_suppkey"))
-        .groupBy(F.col("l_partkey").alias("p_partkey"), "region", "date")
-        .agg(F.sum("l_quantity").alias("qty"))
+        .join(part, F.col("l_partkey") == F.col("p_partkey"))
+        .groupBy("item_id", "region", "date")
+        .agg(F.sum("l_quantity").alias("qty"), F.max("price").alias("price"))
     )
 
 
-def series_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+def series_grid(spark: SparkSession, sf_dir: str, grain: Sequence[str] = BRAND) -> DataFrame:
     """Every product in every store: one row per series with the six id columns."""
     regions = F.array(*[F.lit(r) for r in range(len(STORES))])
     store_id, state_id = _store_of_region("region")
     return (
-        products(spark, sf_dir)
-        .select("p_partkey", "item_id", "dept_id", "cat_id", F.explode(regions).alias("region"))
-        .select("p_partkey", "region",
-                F.concat("item_id", F.lit("_"), store_id).alias("id"),
+        products(spark, sf_dir, grain).select("item_id", "dept_id", "cat_id").distinct()
+        .select("item_id", "dept_id", "cat_id", F.explode(regions).alias("region"))
+        .select("region", F.concat("item_id", F.lit("_"), store_id).alias("id"),
                 "item_id", "dept_id", "cat_id", store_id, state_id)
     )
 
 
-def sales_wide(spark: SparkSession, sf_dir: str, win: Window = Window(),
-               daily: DataFrame | None = None) -> DataFrame:
+def sales_wide(spark: SparkSession, sf_dir: str, days: Span, daily: DataFrame, grain: Sequence[str] = BRAND) -> DataFrame:
     """Raw wide sales: id columns + ``d_1 .. d_N`` integer units (0 when none).
 
-    The sparse daily quantities are pivoted on the known day names (one
-    pivot aggregate per series, values placed by index), joined to the series
-    grid (every product in every store) and the holes filled with 0 in one
-    ``na.fill`` step.
-    """
-    daily = daily if daily is not None else daily_sales(spark, sf_dir, win)
-    day_no = F.datediff("date", F.lit(win.start).cast("date")) + 1
-    sparse = (
-        daily.select("p_partkey", "region", F.concat(F.lit("d_"), day_no.cast("string")).alias("d"),
-                     F.col("qty").cast("int").alias("qty"))
-        .groupBy("p_partkey", "region").pivot("d", win.day_names).agg(F.sum("qty").cast("int"))
-    )
-    return (series_grid(spark, sf_dir).join(sparse, ["p_partkey", "region"], "left")
-            .na.fill(0, subset=win.day_names).select(*ID_COLS, *win.day_names))
+    One aggregate gathers the days of a series (at most one entry per day); the day
+    columns are read from one dense array, which is far cheaper to plan than a pivot
+    with thousands of values."""
+    day_no = F.datediff("date", F.lit(days.start)) + 1
+    sparse = daily.groupBy("item_id", "region").agg(
+        F.map_from_entries(F.collect_list(F.struct(day_no.alias("k"), F.col("qty").cast("int").alias("v")))).alias("m"))
+    dense = F.expr(f"transform(sequence(1, {days.n_days}), i -> coalesce(try_element_at(m, i), 0))")
+    wide = series_grid(spark, sf_dir, grain).join(sparse, ["item_id", "region"], "left").select(
+        *ID_COLS, F.coalesce(dense, F.array_repeat(F.lit(0), days.n_days)).alias("u"))
+    return wide.selectExpr(*ID_COLS, *[f"get(u, {i}) AS {d}" for i, d in enumerate(days.day_names)])
 
 
-def prices(spark: SparkSession, sf_dir: str, win: Window = Window(),
-           daily: DataFrame | None = None) -> DataFrame:
+def prices(daily: DataFrame, days: Span) -> DataFrame:
     """Weekly price per (store, item): present only for weeks with a sale there."""
-    week = (F.lit(FIRST_WEEK) + F.floor(F.datediff("date", F.lit(win.start).cast("date")) / 7)).cast("int")
     store_id, _ = _store_of_region("region")
-    daily = daily if daily is not None else daily_sales(spark, sf_dir, win)
-    return (
-        daily
-        .join(products(spark, sf_dir), "p_partkey")
-        .groupBy(store_id, "item_id", week.alias("wm_yr_wk"))
-        .agg(F.max("price").cast("double").alias("sell_price"))
-    )
+    return daily.groupBy(store_id, "item_id", days.week(F.col("date")).alias("wm_yr_wk")).agg(
+        F.max("price").cast("double").alias("sell_price"))
+
+
+def part_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revenue per part over all of ``lineitem``: item_id, rev (in 1/10000, exact), total_units."""
+    amount = F.col("l_extendedprice").cast("decimal(12,2)") * (1 - F.col("l_discount").cast("decimal(4,2)"))
+    return table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").cast("string").alias("item_id")).agg(
+        (F.sum(amount) * 10_000).cast("long").alias("rev"), F.sum("l_quantity").cast("long").alias("total_units"))
 
 
 @dataclass
@@ -169,12 +181,14 @@ class Bronze:
     sales: DataFrame
     calendar: DataFrame
     prices: DataFrame
+    days: Span
 
     def as_dict(self) -> dict[str, DataFrame]:
         return {"bronze_sales": self.sales, "bronze_calendar": self.calendar,
                 "bronze_prices": self.prices}
 
 
-def bronze(spark: SparkSession, sf_dir: str, win: Window = Window()) -> Bronze:
-    daily = daily_sales(spark, sf_dir, win)
-    return Bronze(sales_wide(spark, sf_dir, win, daily), calendar(spark, win), prices(spark, sf_dir, win, daily))
+def bronze(spark: SparkSession, sf_dir: str, grain: Sequence[str] = BRAND) -> Bronze:
+    days = span(spark, sf_dir)
+    daily = daily_sales(spark, sf_dir, grain)
+    return Bronze(sales_wide(spark, sf_dir, days, daily, grain), calendar(spark, days), prices(daily, days), days)
