@@ -50,3 +50,30 @@ def test_intermittency_median_interpolates(spark):
     s = silver_df(spark, {"A_X_1": [0, 1, 2, 10]})
     r = dg.intermittency_profile(s).first()
     assert r.median_units == 1.5 and r.zero_share == 0.25 and r.n_cells == 4
+
+
+def test_active_days_run_to_the_end_of_the_axis(spark):
+    """A series whose rows stop early is still active until the last date of all."""
+    s = silver_df(spark, {"A_X_1": [2, 0, 2, 0, 0, 0], "B_X_1": [1] * 6})
+    short = s.where(~((F.col("id") == "A_X_1") & (F.col("date") > "2000-01-03")))
+    assert {r.id: r.adi for r in dg.demand_stats(dg.series_stats(short)).collect()} == {"A_X_1": 3.0, "B_X_1": 1.0}
+
+
+def test_huge_units_do_not_overflow(spark):
+    s = silver_df(spark, {"A_X_1": [2_000_000_000, 2_000_000_000, 1_000_000_000]})
+    d = dg.demand_stats(dg.series_stats(s)).first()
+    assert d.cv2 == pytest.approx(0.08) and d.demand_class == "smooth"
+
+
+def test_overall_medians(spark):
+    series = {"a_X_1": [5, 0, 0, 5], "b_X_1": [5, 5, 5, 5], "c_X_1": [1, 9, 1, 9], "n_X_1": [0] * 4}
+    rows = dg.demand_class_summary(dg.demand_stats(dg.series_stats(silver_df(spark, series)))).collect()
+    assert len(rows) == 4
+    assert {r.overall_median_adi for r in rows} == {1.0} and {r.overall_median_cv2 for r in rows} == {0.0}
+
+
+def test_one_rule_for_both_classifiers(spark):
+    df = spark.createDataFrame([(33, 25, 49, 100), (32, 25, 48, 100)], "an long, ad long, cn long, cd long")
+    exact = [r.c for r in df.select(dg.syntetos_boylan(F.col("an"), F.col("ad"), F.col("cn"), F.col("cd")).alias("c")).collect()]
+    plain = [r.c for r in df.select(dg.classify_syntetos_boylan(F.col("an") / F.col("ad"), F.col("cn") / F.col("cd")).alias("c")).collect()]
+    assert exact == plain == ["lumpy", "smooth"]

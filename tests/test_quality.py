@@ -16,7 +16,7 @@ def passed(df):
 
 def test_all_checks_pass_on_good_data(spark):
     s = good(spark)
-    abc = gold.abc_classification(s, buckets=1)
+    abc = gold.abc_classification(s, parts=1)
     rep = dq.dq_report(s, gold.fact_sales(s), gold.dim_product(s), gold.weekly_category_sales(s), abc)
     bad = [r.check for r in rep.collect() if not r.passed]
     assert bad == []
@@ -56,11 +56,11 @@ def test_gold_checks_fail_on_defects(spark):
     assert not passed(dq.dq_dim_product_unique(dim.unionByName(dim.withColumn("dept_id", F.lit("X")))))
     weekly = gold.weekly_category_sales(s)
     assert not passed(dq.dq_weekly_reconciles(weekly.withColumn("total_units", F.col("total_units") + 5), s))
-    abc = gold.abc_classification(s, buckets=1)
+    abc = gold.abc_classification(s, parts=1)
     assert not passed(dq.dq_abc_covers_products(abc.withColumn("abc_class", F.lit("D")), dim))
     assert not passed(dq.dq_abc_shares_sum_one(abc.withColumn("revenue_share", F.lit(0.9))))
     unsorted = abc.withColumn("cumulative_share", -F.col("cumulative_share"))
-    assert not passed(dq.dq_abc_sorted(unsorted, buckets=1))
+    assert not passed(dq.dq_abc_sorted(unsorted, parts=1))
     assert not passed(dq.dq_fact_matches_silver(gold.fact_sales(s).limit(1), s))
 
 

@@ -6,6 +6,7 @@ from helpers import silver_df
 from shelfcast.operators import forecast as fc
 from shelfcast.operators import metrics as mt
 from shelfcast.operators import series as se
+from shelfcast.session import scratch_path
 
 
 def test_rolling_mean_min_periods(spark):
@@ -39,51 +40,54 @@ def test_first_sale_lifecycle(spark):
     assert (life.never_sold, life.born_late, life.dead_90) == (1, 1, 2)
 
 
-def numpy_metrics(y, yhat, train, weights):
-    """The formulas of the reference, written with numpy for comparison."""
-    err = y - yhat
-    mae = np.mean(np.abs(err))
-    rmse = np.sqrt(np.mean(err ** 2))
-    nz = y != 0
-    mape = np.mean(np.abs(err[nz] / y[nz])) * 100 if nz.any() else None
-    den = (np.abs(y) + np.abs(yhat)) / 2
-    ok = den != 0
-    smape = np.mean(np.abs(err[ok]) / den[ok]) * 100 if ok.any() else 0.0
-    scale = np.mean(np.diff(train, axis=1) ** 2, axis=1)
-    scale = np.where(scale == 0, np.nan, scale)
-    rmsse = np.sqrt(np.mean(err ** 2, axis=1) / scale)
-    valid = ~np.isnan(rmsse)
-    w = weights[valid] / weights[valid].sum()
-    return mae, rmse, mape, smape, np.nanmean(rmsse), float(np.sum(w * rmsse[valid]))
-
-
-def test_baselines_match_numpy(spark):
-    rng = np.random.default_rng(3)
-    n_days, h = 70, 28
-    data = {f"S{i}_X_1": [int(x) for x in rng.poisson(2.0 + i, n_days)] for i in range(6)}
-    data["F_X_1"] = [2] * (n_days - h) + [int(x) for x in rng.poisson(2.0, h)]   # flat train
-    s = silver_df(spark, data, price=1.5)
-    frame = fc.baseline_frame(s, horizon=h)
-    fcs = fc.baseline_forecasts(frame)
-    weights = fc.revenue_weights(s, horizon=h)
-    ev = {r.model: r for r in mt.evaluate_models(fcs, weights, digits=12).collect()}
-    ids = sorted(data)
-    mat = np.array([data[i] for i in ids], dtype=float)
-    train, y = mat[:, :-h], mat[:, -h:]
-    w = {r.id: r.weight for r in weights.collect()}
-    wv = np.array([w[i] for i in ids])
-    preds = {
-        "zero": np.zeros_like(y),
-        "naive": np.repeat(train[:, -1:], h, axis=1),
-        "seasonal_naive_7": np.tile(train[:, -7:], (1, int(np.ceil(h / 7))))[:, :h],
-        "moving_average_7": np.repeat(train[:, -7:].mean(axis=1, keepdims=True), h, axis=1),
-        "moving_average_28": np.repeat(train[:, -28:].mean(axis=1, keepdims=True), h, axis=1),
-    }
-    for name, p in preds.items():
-        exp = numpy_metrics(y, p, train, wv)
-        got = ev[name]
-        for g, e in zip([got.MAE, got.RMSE, got.MAPE, got.sMAPE, got.RMSSE, got.WRMSSE], exp):
-            assert (g is None and e is None) or g == pytest.approx(e, rel=1e-9, abs=1e-9), name
+# Two series of 35 days, 7 of them to be forecast; worked out by hand.
+#   W repeats 1..7, so its last week is again 1..7; F is 4 until the last week, then 6.
+HAND = {"W_X_1": [1, 2, 3, 4, 5, 6, 7] * 5, "F_X_1": [4] * 28 + [6] * 7}
+
+
+def test_baselines_by_hand(spark):
+    frame = fc.baseline_frame(silver_df(spark, HAND), horizon=7)
+    got = {(r.model, r.id, r.step): r.yhat for r in fc.baseline_forecasts(frame).collect()}
+    assert [got["naive", "W_X_1", k] for k in (1, 7)] == [7.0, 7.0]
+    assert [got["seasonal_naive_7", "W_X_1", k] for k in range(1, 8)] == [1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0]
+    assert got["moving_average_7", "W_X_1", 3] == 4.0 and got["moving_average_28", "F_X_1", 5] == 4.0
+    assert got["zero", "F_X_1", 1] == 0.0
+    scale = {r.id: r.scale for r in frame.collect()}
+    # W's differences: 24 ones and 3 drops of 6 among 27 -> (24 + 108) / 27; F is flat
+    assert scale["W_X_1"] == pytest.approx(132 / 27) and scale["F_X_1"] is None
+
+
+def test_metrics_by_hand(spark):
+    s = silver_df(spark, HAND)
+    ev = {r.model: r for r in mt.evaluate_models(fc.baseline_forecasts(fc.baseline_frame(s, horizon=7)), digits=6).collect()}
+    # seasonal naive: exact on W, off by 2 on each of F's seven days (of 6)
+    sn = ev["seasonal_naive_7"]
+    assert sn.MAE == 1.0 and sn.RMSE == 1.414214 and sn.RMSSE == 0.0
+    assert sn.MAPE == 16.666667 and sn.sMAPE == 20.0
+    # naive: W misses by 6, 5, 4, 3, 2, 1, 0 (sum 21, squares 91), F by 2 each
+    nv = ev["naive"]
+    assert nv.MAE == 2.5 and nv.RMSE == 2.915476 and nv.RMSSE == 1.630672
+    # zero: every point with sales is 100 % off
+    assert ev["zero"].MAPE == 100.0 and ev["zero"].sMAPE == 200.0
+
+
+def test_a_gap_is_refused(spark):
+    s = silver_df(spark, HAND)
+    with pytest.raises(ValueError, match="F_X_1 has 34"):
+        fc.baseline_frame(s.where(~((F.col("id") == "F_X_1") & (F.col("date") == "2000-01-05"))), horizon=7)
+    with pytest.raises(ValueError, match="incomplete"):
+        fc.baseline_frame(s.withColumn("units", F.when(F.col("units") != 7, F.col("units"))), horizon=7)
+
+
+def test_every_model_can_be_served(spark):
+    s = silver_df(spark, {"A_CA_1": [1, 2, 3, 4, 5, 6, 7] * 5})
+    feats = fc.demand_features(s)
+    model = fc.train_demand_model(feats, max_iter=2)
+    table = fc.write_forecasts(s, scratch_path(spark, "served"), (*fc.BASELINE_MODELS, "gbt"), model)
+    assert {r.model for r in table.select("model").distinct().collect()} == {*fc.BASELINE_MODELS, "gbt"}
+    sn = sorted((r.date, r.predicted_units) for r in fc.forecast_lookup(table, None, None, 9, "seasonal_naive_7").collect())
+    assert [v for _, v in sn] == [1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0, 1.0, 2.0]
+    assert fc.forecast_lookup(table, None, None, 90, "gbt").where("predicted_units IS NULL").count() == 0
 
 
 def test_all_zero_actuals(spark):

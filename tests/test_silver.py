@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from shelfcast import registry
 from shelfcast.operators import features as feat
 from shelfcast.operators import joins, reshape
 from shelfcast.plans import silver as sp
@@ -35,7 +36,7 @@ def test_dept_id_is_not_a_day_column(spark):
 
 
 def test_calendar_miss_raises(spark):
-    cal = fixtures.calendar(spark, fixtures.Window(n_days=1))   # only d_1
+    cal = fixtures.calendar(spark, fixtures.Span(dt.date(2000, 1, 1), 1))   # only d_1
     long_df = reshape.unpivot_sales(wide(spark, [("a", "i", "D", "C", "S", "CA", 1, 2)]))
     with pytest.raises(Exception, match="no calendar row"):
         joins.join_calendar(long_df, cal).collect()
@@ -47,7 +48,7 @@ def test_calendar_miss_raises(spark):
 
 
 def test_unknown_state_snap(spark):
-    cal = fixtures.calendar(spark, fixtures.Window(n_days=2))
+    cal = fixtures.calendar(spark, fixtures.Span(dt.date(2000, 1, 1), 2))
     long_df = reshape.unpivot_sales(wide(spark, [("a", "i", "D", "C", "NY_1", "NY", 1, 2),
                                                  ("b", "i", "D", "C", "CA_1", "CA", 1, 2)]))
     joined = joins.join_calendar(long_df, cal)
@@ -65,23 +66,32 @@ def test_clean_types_rejects_null_units(spark):
         feat.clean_types(df).collect()
 
 
-def test_silver_fixture_shape(spark, sf_small):
-    s = sp.silver_from_tables(spark, sf_small)
+N_DAYS = 2499                 # 1995-01-02 to 2001-11-04
+
+
+def test_silver_covers_all_of_lineitem(spark, sf_small):
+    """The whole date span, every unit sold, every series complete."""
+    s = registry.silver(spark, sf_small)
     prof = sp.silver_profile(s).first()
-    assert prof.n_rows == 200 * 5 * fixtures.N_DAYS
-    assert prof.n_columns == 20
-    assert prof.min_date == dt.date(2000, 1, 1) and prof.max_date == dt.date(2000, 4, 21)
+    assert prof.n_rows == 125 * N_DAYS and prof.n_columns == 20
+    assert prof.min_date == dt.date(1995, 1, 2) and prof.max_date == dt.date(2001, 11, 4)
     assert s.columns == sp.SILVER_COLS
     types = dict(s.dtypes)
     assert types["units"] == "int" and types["snap_flag"] == "tinyint" and types["date"] == "date"
+    sold = fixtures.table(spark, sf_small, "lineitem").agg(F.sum("l_quantity")).first()[0]
+    assert s.agg(F.sum("units")).first()[0] == sold
+    weeks = s.select("date", "wday", "wm_yr_wk").distinct()
+    assert weeks.groupBy("wm_yr_wk").agg(F.min("date").alias("a"), F.count("*").alias("n")).where("n > 7").count() == 0
+    first = weeks.where("wday = 1").orderBy("date").first()
+    assert first.date.isoweekday() == 6 and first.wm_yr_wk == fixtures.FIRST_WEEK + 1
 
 
 def test_wide_to_long_roundtrip(spark, sf_small):
-    """unpivot(pivot(x)) = x on the fixture."""
+    """unpivot(pivot(x)) = x on part of the fixture's days."""
     from shelfcast.operators.reshape import series_matrix
-    s = sp.silver_from_tables(spark, sf_small).select("id", "date", "units")
     start = dt.date(2000, 1, 1)
-    dates = [start + dt.timedelta(days=i) for i in range(fixtures.N_DAYS)]
+    dates = [start + dt.timedelta(days=i) for i in range(60)]
+    s = registry.silver(spark, sf_small).select("id", "date", "units").where(F.col("date").between(dates[0], dates[-1]))
     m = series_matrix(s, dates)
     names = F.array(*[F.lit(str(d)) for d in dates])
     back = m.select("id", F.posexplode(F.array(*[F.col(f"`{d}`") for d in dates])).alias("p", "units")) \
@@ -89,6 +99,42 @@ def test_wide_to_long_roundtrip(spark, sf_small):
     assert back.exceptAll(s).count() == 0 and s.exceptAll(back).count() == 0
 
 
+def _small(spark, prices):
+    sales = wide(spark, [("A_CA_1", "A", "D", "C", "CA_1", "CA", 1, 2), ("B_CA_1", "B", "D", "C", "CA_1", "CA", 3, 4)])
+    cal = fixtures.calendar(spark, fixtures.Span(dt.date(2000, 1, 7), 2))         # Friday and Saturday: two weeks
+    return sales, cal, spark.createDataFrame(prices, "store_id string, item_id string, wm_yr_wk int, sell_price double")
+
+
+def test_prices_meet_their_week_only(spark):
+    sales, cal, prices = _small(spark, [("CA_1", "A", 11101, 2.0), ("CA_1", "B", 11102, 5.0), ("TX_1", "A", 11102, 9.0)])
+    got = {(r.id, r.d): (r.sell_price, r.revenue, r.is_active) for r in sp.silver_sales_daily(sales, cal, prices).collect()}
+    assert got == {("A_CA_1", "d_1"): (2.0, 2.0, 1), ("A_CA_1", "d_2"): (None, 0.0, 0),
+                   ("B_CA_1", "d_1"): (None, 0.0, 0), ("B_CA_1", "d_2"): (5.0, 20.0, 1)}
+
+
+def test_duplicate_price_key_still_fans_out(spark):
+    from shelfcast.operators import quality as dq
+    sales, cal, prices = _small(spark, [("CA_1", "A", 11101, 2.0), ("CA_1", "A", 11101, 2.5)])
+    out = sp.silver_sales_daily(sales, cal, prices)
+    assert out.count() == 5
+    assert not dq.dq_no_fanout(out).first().passed
+
+
+def test_long_rows_never_move(spark):
+    """No exchange between the explode and Silver, also without any broadcast of prices."""
+    sales, cal, prices = _small(spark, [("CA_1", "A", 11101, 2.0)])
+    keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = sp.silver_sales_daily(sales, cal, prices, partitions=3)._jdf.queryExecution().sparkPlan().toString()
+        physical = sp.silver_sales_daily(sales, cal, prices, partitions=3)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
+    assert "Generate" in plan
+    above = physical[:physical.rindex("Generate posexplode")]
+    assert "Exchange hashpartitioning" not in above and "Exchange rangepartitioning" not in above
+
+
 def test_series_matrix_rejects_duplicates(spark):
     df = spark.createDataFrame([("a", dt.date(2000, 1, 1), 1), ("a", dt.date(2000, 1, 1), 2)],
                                "id string, date date, units int")
