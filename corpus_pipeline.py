@@ -21,7 +21,7 @@ from shelfcast.session import scratch_path
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts; null and blank texts score 0 and go."""
-    return quality_crf.classify(docs, table(spark, sf_dir, "labels"), keep=tuple(DOC_COLS)).where(
+    return quality_crf.classify(pick(docs, *DOC_COLS), table(spark, sf_dir, "labels"), keep=tuple(DOC_COLS)).where(
         "predicted = 1").select(*DOC_COLS)
 
 
