@@ -40,8 +40,8 @@ def sized(docs: DataFrame) -> DataFrame:
     return pick(docs, "doc_id", "text", "source").select(
         "doc_id", F.coalesce("source", F.lit("")).alias("src"), F.col("source").isNull().cast("int").alias("no_src"),
         word_count(F.col("text")).alias("size"),
-        F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("crc"),
-    ).withColumn("h", hash52(F.lit("mix"), F.col("doc_id"), F.col("crc")))
+        F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("sum"),
+    ).withColumn("h", hash52(F.lit("mix"), F.col("doc_id"), F.col("sum")))
 
 
 def targets(rows: DataFrame) -> DataFrame:
@@ -98,7 +98,7 @@ def streams(rows: DataFrame, n_rows: int) -> DataFrame:
     """``rows`` with ``start``: the words before a document in its source's shuffled stream."""
     blocks = n_blocks(n_rows)
     cut = rows.withColumn("b", F.shiftright("h", 52 - blocks.bit_length() + 1))
-    return running(cut, ["src", "no_src"], "b", [F.col("h"), F.col("doc_id"), F.col("crc"), F.col("size")],
+    return running(cut, ["src", "no_src"], "b", [F.col("h"), F.col("doc_id").asc_nulls_last(), F.col("sum")],
                    F.col("size"), "start").drop("b")
 
 
@@ -143,15 +143,49 @@ def repeat_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFra
     taken = per_epoch.where(2 * F.col("words") >= F.col("size")).groupBy("src", "no_src", "start").agg(
         F.count(F.lit(1)).alias("__times"))
     # equal rows (doc_id and text) share a key: each of them gets the group's copies in turn
-    key = ["__doc", "__none", "__crc", "__src", "__no_src"]
+    key = ["__doc", "__none", "__sum", "__src", "__no_src"]
     named = laid.where("size > 0").join(taken, ["src", "no_src", "start"]).select(
         F.coalesce("doc_id", F.lit(0)).alias("__doc"), F.col("doc_id").isNull().cast("int").alias("__none"),
-        F.col("crc").alias("__crc"), F.col("src").alias("__src"), F.col("no_src").alias("__no_src"), "__times")
+        F.col("sum").alias("__sum"), F.col("src").alias("__src"), F.col("no_src").alias("__no_src"), "__times")
     times = named.groupBy(*key).agg(F.sum("__times").alias("__times"))
     keyed = docs.withColumns({
         "__doc": F.coalesce("doc_id", F.lit(0)), "__none": F.col("doc_id").isNull().cast("int"),
-        "__crc": F.crc32(F.coalesce("text", F.lit("")).cast("binary")),
+        "__sum": F.md5(F.coalesce("text", F.lit("")).cast("binary")),
         "__src": F.coalesce("source", F.lit("")), "__no_src": F.col("source").isNull().cast("int")})
     copies = keyed.join(times, key).dropDuplicates(key)
     return copies.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times").cast("int")))).drop(
         *key, "__times", "__copy")
+
+
+# Targets by trying how many sources, in order of 2 * size / weight, stop at their cap; taken
+# words by what lies of a document's part of the stream in the blocks drawn, for each epoch.
+ORACLE = rf"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS src, CAST(source IS NULL AS INTEGER) AS no_src,
+                  CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+                  md5(coalesce(text, '')) AS sum FROM documents),
+h AS (SELECT *, CAST(('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), chr(0)) || ':' || sum), 1, 13)) AS BIGINT) AS h FROM d),
+per AS (SELECT src, no_src, CAST(sum(size) AS BIGINT) AS source_size,
+               [{", ".join(map(str, WEIGHTS))}][CAST((row_number() OVER (ORDER BY no_src, src) - 1) % {len(WEIGHTS)} + 1 AS INTEGER)] AS w
+        FROM h GROUP BY src, no_src),
+k AS (SELECT *, row_number() OVER (ORDER BY source_size / w, no_src, src) AS k FROM per),
+c AS (SELECT a.k, {SHARE} * (SELECT sum(source_size) FROM per) - coalesce(sum({MOST} * b.source_size) FILTER (WHERE b.k < a.k), 0) AS rest,
+             sum(b.w) FILTER (WHERE b.k >= a.k) AS free FROM k a, k b GROUP BY a.k),
+f AS (SELECT coalesce(min(c.k), 1000000000) AS k FROM c JOIN k USING (k) WHERE {MOST} * k.source_size * c.free > k.w * c.rest),
+t AS (SELECT k.*, CASE WHEN k.k < f.k THEN CAST({MOST} * source_size AS DOUBLE)
+                       ELSE CAST(c.rest AS DOUBLE) * w / CAST(c.free AS DOUBLE) END AS target
+      FROM k CROSS JOIN f LEFT JOIN c ON c.k = f.k),
+p AS (SELECT *, CAST(floor(target * {UNIT}) AS BIGINT) AS part FROM t),
+s AS (SELECT *, sum(part) OVER (ORDER BY no_src, src ROWS UNBOUNDED PRECEDING) AS hi FROM p),
+g AS (SELECT CAST(max(hi) AS DOUBLE) AS whole, CAST(round_even(sum(target) / {BLOCK_WORDS}, 0) AS BIGINT) AS n FROM s),
+o AS (SELECT CAST(floor((i % {1 << 31}) * {GOLDEN31} % {1 << 31} * whole / {float(1 << 31)}) AS BIGINT) AS at_
+      FROM (SELECT unnest(range(n)) AS i, whole FROM g)),
+n AS (SELECT src, no_src, count(*) AS slots FROM o JOIN s ON at_ >= hi - part AND at_ < hi GROUP BY ALL),
+l AS (SELECT h.*, CAST(coalesce(sum(size) OVER (PARTITION BY src, no_src ORDER BY h, doc_id NULLS LAST, sum
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start FROM h),
+e AS (SELECT l.doc_id, l.size, s.source_size, s.target, l.start, coalesce(n.slots, 0) AS slots,
+             (s.source_size + {BLOCK_WORDS - 1}) // {BLOCK_WORDS} AS blocks
+      FROM l JOIN s USING (src, no_src) LEFT JOIN n USING (src, no_src))
+SELECT doc_id, size, source_size, target, CAST(
+  greatest(0, least(size, least(slots, blocks) * {BLOCK_WORDS} - start))
+  + greatest(0, least(size, least(greatest(slots - blocks, 0), blocks) * {BLOCK_WORDS} - start)) AS BIGINT) AS taken FROM e
+"""

@@ -24,5 +24,6 @@ ORACLES = {
     "op2_quality_crf": lambda spark, sf: quality_crf.classify(table(spark, sf, "documents"), table(spark, sf, "labels")),
     "op1_ngram_jaccard": jaccard_join.ORACLE,
     "op3_chat_rotation": chat_format.ORACLE,
+    "op5_source_mix": mixing.ORACLE,
     "op10_content_sort_dedup": exact_dedup.ORACLE,
 }
