@@ -10,7 +10,8 @@ tokens are the spans that the method adds, kind ``owned``.
 
 Here a repository is (source, lang) and an owner is a source.  Values are counted
 per (value, owner, repository) first, with map-side combine; the classes are joined
-back on (value, salt), so a value in a third of all rows meets many tasks.
+back on (value, salt), so a value in a third of all rows meets many tasks.  Both joins
+are sort-merge: their sides grow with the input, so neither may be broadcast.
 
 Defined cases: a null text is empty and has no spans; a null source or lang is an
 owner or repository part of its own; repeated rows get equal results; an empty
@@ -115,7 +116,7 @@ def find_secrets(docs: DataFrame, wide: int = WIDE) -> DataFrame:
     single = scanned.where(F.size("found") > 0).select(
         "row", F.explode("found").alias("f"), F.pmod("row", F.lit(SALTS)).cast("int").alias("salt")
     ).select("row", "salt", "f.*")
-    judged = single.join(classes, ["value", "salt"])
+    judged = single.join(classes.hint("merge"), ["value", "salt"])
     live = F.col("live") & ~F.col("example")
     span = F.struct("start", "kind", "end")
     per_row = judged.groupBy("row").agg(
@@ -134,7 +135,7 @@ def find_secrets(docs: DataFrame, wide: int = WIDE) -> DataFrame:
                        lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
     cols = ["row", "doc_id", of(0).alias("n_assign"), of(1).alias("n_access"), of(2).alias("n_hex"),
             F.sha2(joined(F.sort_array(base)).cast("binary"), 256).alias("base_sha256")]
-    have = scanned.where(F.size("found") > 0).select(*cols).join(per_row, "row").select(
+    have = scanned.where(F.size("found") > 0).select(*cols).join(per_row.hint("merge"), "row").select(
         "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", joined(F.sort_array("all")).alias("spans"),
         "n_live", "n_example")
     none = scanned.where(F.size("found") == 0).select(*cols).select(
