@@ -446,22 +446,45 @@ SELECT {r6('(SELECT AVG(CASE WHEN units = 0 THEN 1.0 ELSE 0.0 END) FROM silver)'
        STATS + WEEKDAY)
 
 # ------------------------------------------------------ 2.9 data quality ---
-oracle("dq_no_fanout", DQ_NO_FANOUT)
-oracle("dq_unique_grain", DQ_UNIQUE)
-oracle("dq_keys_not_null", DQ_KEYS)
-oracle("dq_units_non_negative", _dq("units_non_negative", "COUNT(*) FILTER (WHERE NOT COALESCE(units >= 0, false))", "silver"))
-oracle("dq_price_positive", _dq("price_positive", "COUNT(*) FILTER (WHERE sell_price <= 0)", "silver"))
-oracle("dq_revenue_consistent", _dq("revenue_consistent", "COUNT(*) FILTER (WHERE sell_price IS NOT NULL AND NOT COALESCE(ABS(revenue - units * sell_price) < 1e-6, false))", "silver"))
-oracle("dq_complete_series", DQ_COMPLETE)
-oracle("dq_binary_flags", _dq("binary_flags", "COUNT(*) FILTER (WHERE NOT COALESCE(snap_flag IN (0, 1), false) OR NOT COALESCE(is_weekend IN (0, 1), false) OR NOT COALESCE(is_active IN (0, 1), false))", "silver"))
-oracle("dq_fact_matches_silver", DQ_FACT)
-oracle("dq_dim_product_unique", DQ_DIM)
-oracle("dq_weekly_reconciles", DQ_WEEKLY)
-oracle("dq_abc_covers_products", DQ_ABC_COVER, ABC)
-oracle("dq_abc_shares_sum_one", DQ_ABC_SUM, PART_ABC)
-oracle("dq_abc_sorted", DQ_ABC_SORTED, PART_ABC)
-oracle("dq_schema_contract", DQ_CONTRACT)
-oracle("dq_row_count_positive", DQ_ROWS)
+PLANTED = """
+, damaged AS (SELECT * REPLACE (
+    CASE WHEN day(date) = 1 AND store_id = 'TX_1' THEN -1 ELSE units END AS units,
+    CASE WHEN day(date) = 2 THEN -sell_price ELSE sell_price END AS sell_price,
+    CASE WHEN day(date) = 3 THEN 2 ELSE is_active END AS is_active,
+    CASE WHEN NOT (day(date) = 4 AND store_id = 'WI_1') THEN item_id END AS item_id)
+  FROM silver WHERE NOT (day(date) = 6 AND store_id = 'NY_1'))
+, planted AS (SELECT * FROM damaged UNION ALL SELECT * FROM damaged WHERE day(date) = 5 AND store_id = 'CA_2')"""
+
+
+def dq_oracle(name: str, clean: str, defects: str, ctes: str = "") -> None:
+    """A check's rows on the clean frame and on the one with planted defects."""
+    oracle(name, f"SELECT 'clean' AS frame, * FROM ({clean}) UNION ALL SELECT 'planted' AS frame, * FROM ({defects})", PLANTED + ctes)
+
+
+def on_planted(sql: str) -> str:
+    return sql.replace("FROM silver", "FROM planted")
+
+
+for _name, _sql in [
+    ("dq_no_fanout", DQ_NO_FANOUT), ("dq_unique_grain", DQ_UNIQUE), ("dq_keys_not_null", DQ_KEYS), ("dq_complete_series", DQ_COMPLETE),
+    ("dq_units_non_negative", _dq("units_non_negative", "COUNT(*) FILTER (WHERE NOT COALESCE(units >= 0, false))", "silver")),
+    ("dq_price_positive", _dq("price_positive", "COUNT(*) FILTER (WHERE sell_price <= 0)", "silver")),
+    ("dq_revenue_consistent", _dq("revenue_consistent", "COUNT(*) FILTER (WHERE sell_price IS NOT NULL AND NOT COALESCE(ABS(revenue - units * sell_price) < 1e-6, false))", "silver")),
+    ("dq_binary_flags", _dq("binary_flags", "COUNT(*) FILTER (WHERE NOT COALESCE(snap_flag IN (0, 1), false) OR NOT COALESCE(is_weekend IN (0, 1), false) OR NOT COALESCE(is_active IN (0, 1), false))", "silver")),
+    ("dq_dim_product_unique", DQ_DIM),
+]:
+    dq_oracle(_name, _sql, on_planted(_sql))
+# the planted contract also has units of a wrong type
+dq_oracle("dq_schema_contract", DQ_CONTRACT, on_planted(DQ_CONTRACT).replace(
+    _dq("schema:units:type", "0", "(SELECT 1)"), _dq("schema:units:type", "1", "(SELECT 1)")))
+dq_oracle("dq_row_count_positive", DQ_ROWS, DQ_ROWS.replace("FROM silver", "FROM (SELECT * FROM silver WHERE units < 0)"))
+dq_oracle("dq_fact_matches_silver", DQ_FACT, DQ_FACT.replace(") - COUNT(*))", ") - (SELECT COUNT(*) FROM planted))").replace("FROM silver", "FROM silver", 1)
+          .replace("= 0 AS passed FROM silver", "= 0 AS passed FROM (SELECT 1)"))
+dq_oracle("dq_weekly_reconciles", DQ_WEEKLY, DQ_WEEKLY.replace("FROM silver GROUP BY cat_id", "FROM planted GROUP BY cat_id"))
+dq_oracle("dq_abc_covers_products", DQ_ABC_COVER, DQ_ABC_COVER.replace(
+    "FROM abc", "FROM (SELECT CASE abc_class WHEN 'A' THEN 'D' ELSE abc_class END AS abc_class FROM abc WHERE item_id <> 'Brand#11')"), ABC)
+dq_oracle("dq_abc_shares_sum_one", DQ_ABC_SUM, DQ_ABC_SUM.replace("SUM(revenue_share)", "SUM(revenue_share / 2)"), PART_ABC)
+dq_oracle("dq_abc_sorted", DQ_ABC_SORTED, DQ_ABC_SORTED.replace("ORDER BY cumulative_share,", "ORDER BY -cumulative_share,"), PART_ABC)
 oracle("dq_report", " UNION ALL ".join([
     DQ_VALUES, DQ_NO_FANOUT, DQ_UNIQUE, DQ_COMPLETE, DQ_FACT, DQ_DIM, DQ_WEEKLY, DQ_ABC_COVER, DQ_ABC_SUM,
     DQ_ABC_SORTED, DQ_CONTRACT, DQ_ROWS.replace("'row_count_positive'", "'row_count_positive:silver'")]), ABC)

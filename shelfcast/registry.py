@@ -558,56 +558,87 @@ def q_hints(spark, sf_dir):
 
 
 # ------------------------------------------------------- 2.9 data quality ---
+def planted(silver: DataFrame) -> DataFrame:
+    """Silver with defects of every kind that the checks look for, on fixed days of each month."""
+    dom, store = F.dayofmonth("date"), F.col("store_id")
+    bad = {
+        "units": F.when((dom == 1) & (store == "TX_1"), F.lit(-1)).otherwise(F.col("units")),
+        "sell_price": F.when(dom == 2, -F.col("sell_price")).otherwise(F.col("sell_price")),
+        "is_active": F.when(dom == 3, F.lit(2)).otherwise(F.col("is_active")).cast("tinyint"),
+        "item_id": F.when(~((dom == 4) & (store == "WI_1")), F.col("item_id")),
+    }
+    s = silver.withColumns(bad).where(~((dom == 6) & (store == "NY_1")))
+    return s.unionByName(s.where((dom == 5) & (store == "CA_2")))
+
+
+def _both(clean: DataFrame, defects: DataFrame) -> DataFrame:
+    """A check's rows on the clean frame and on the one with planted defects."""
+    return clean.withColumn("frame", F.lit("clean")).unionByName(defects.withColumn("frame", F.lit("planted")))
+
+
 def _dq_silver(fn):
     def run(spark, sf_dir):
-        return fn(silver(spark, sf_dir))
+        s = silver(spark, sf_dir)
+        return _both(fn(s), fn(planted(s)))
     return run
 
 
 for _name, _fn in [("dq_no_fanout", dq.dq_no_fanout), ("dq_unique_grain", dq.dq_unique_grain),
                    ("dq_keys_not_null", dq.dq_keys_not_null), ("dq_units_non_negative", dq.dq_units_non_negative),
                    ("dq_price_positive", dq.dq_price_positive), ("dq_revenue_consistent", dq.dq_revenue_consistent),
-                   ("dq_complete_series", dq.dq_complete_series), ("dq_binary_flags", dq.dq_binary_flags),
-                   ("dq_schema_contract", dq.dq_schema_contract)]:
+                   ("dq_complete_series", dq.dq_complete_series), ("dq_binary_flags", dq.dq_binary_flags)]:
     register(_name)(_dq_silver(_fn))
 
 
+@register("dq_schema_contract")
+def q_dq_contract(spark, sf_dir):
+    s = silver(spark, sf_dir)
+    return _both(dq.dq_schema_contract(s), dq.dq_schema_contract(planted(s).withColumn("units", F.col("units").cast("long"))))
+
+
 @register("dq_row_count_positive")
 def q_dq_rows(spark, sf_dir):
-    return dq.dq_row_count_positive(silver(spark, sf_dir))
+    s = silver(spark, sf_dir)
+    return _both(dq.dq_row_count_positive(s), dq.dq_row_count_positive(s.where("units < 0")))
 
 
 @register("dq_fact_matches_silver")
 def q_dq_fact(spark, sf_dir):
     s = silver(spark, sf_dir)
-    return dq.dq_fact_matches_silver(gold.fact_sales(s), s)
+    return _both(dq.dq_fact_matches_silver(gold.fact_sales(s), s), dq.dq_fact_matches_silver(gold.fact_sales(planted(s)), s))
 
 
 @register("dq_dim_product_unique")
 def q_dq_dim(spark, sf_dir):
-    return dq.dq_dim_product_unique(gold.dim_product(silver(spark, sf_dir)))
+    s = silver(spark, sf_dir)
+    return _both(dq.dq_dim_product_unique(gold.dim_product(s)), dq.dq_dim_product_unique(gold.dim_product(planted(s))))
 
 
 @register("dq_weekly_reconciles")
 def q_dq_weekly(spark, sf_dir):
     s = silver(spark, sf_dir)
-    return dq.dq_weekly_reconciles(gold.weekly_category_sales(s), s)
+    return _both(dq.dq_weekly_reconciles(gold.weekly_category_sales(s), s),
+                 dq.dq_weekly_reconciles(gold.weekly_category_sales(planted(s)), s))
 
 
 @register("dq_abc_covers_products")
 def q_dq_abc_cover(spark, sf_dir):
     s = silver(spark, sf_dir)
-    return dq.dq_abc_covers_products(gold.abc_classification(s), gold.dim_product(s))
+    abc, dim = gold.abc_classification(s), gold.dim_product(s)
+    lost = abc.where("item_id <> 'Brand#11'").withColumn("abc_class", F.when(F.col("abc_class") == "A", "D").otherwise(F.col("abc_class")))
+    return _both(dq.dq_abc_covers_products(abc, dim), dq.dq_abc_covers_products(lost, dim))
 
 
 @register("dq_abc_shares_sum_one")
 def q_dq_abc_sum(spark, sf_dir):
-    return dq.dq_abc_shares_sum_one(_abc(spark, sf_dir))
+    abc = _abc(spark, sf_dir)
+    return _both(dq.dq_abc_shares_sum_one(abc), dq.dq_abc_shares_sum_one(abc.withColumn("revenue_share", F.col("revenue_share") / 2)))
 
 
 @register("dq_abc_sorted")
 def q_dq_abc_sorted(spark, sf_dir):
-    return dq.dq_abc_sorted(_abc(spark, sf_dir))
+    abc = _abc(spark, sf_dir)
+    return _both(dq.dq_abc_sorted(abc), dq.dq_abc_sorted(abc.withColumn("cumulative_share", -F.col("cumulative_share"))))
 
 
 @register("dq_report")
