@@ -42,7 +42,7 @@ from shelfcast.llm.components import components
 SHINGLE = 3
 LEVEL = 1.5                # from one level's largest size to the next one's
 SPARE = 2                  # parts beyond those that the differences may spoil
-BLOCK_TOKENS = 1_000_000   # shingles of the sets in one block
+BLOCK_TOKENS = 500_000     # shingles of the sets in one block
 MU = 1.0                   # DivideSkip: long lists = T / (MU * log2(longest) + 1)
 KEY = ["no_id", "doc_id", "th"]
 
@@ -58,7 +58,7 @@ class Words(dict):
     """64-bit hash of a word, kept for the next time."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) >= 100_000:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word)
         return h
