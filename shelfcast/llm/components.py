@@ -35,6 +35,6 @@ def components(edges: DataFrame) -> DataFrame:
         if mark == before or mark[0] == 0:
             break
         before = mark
-        now = staged(_small_star(_large_star(now).distinct()).distinct(), "edges")
+        now = staged(_small_star(_large_star(now)).distinct(), "edges")
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
         now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
