@@ -14,6 +14,17 @@ def day_columns(df: DataFrame, prefix: str = DAY_PREFIX) -> list[str]:
     return [c for c in df.columns if c.startswith(prefix)]
 
 
+def day_values(days: list[str], dtype: str = "int"):
+    """Array of the day columns.  One SQL text: thousands of column objects made one by one
+    would take far longer to plan than the query to run."""
+    return F.expr("array(" + ", ".join(f"CAST(`{d}` AS {dtype})" for d in days) + ")")
+
+
+def literals(values: list):
+    """Array of literal numbers or plain names."""
+    return F.expr("array(" + ", ".join(str(v) if isinstance(v, int) else f"'{v}'" for v in values) + ")")
+
+
 def unpivot_sales(sales: DataFrame, id_cols: list[str] | None = None,
                   include_nulls: bool = True, prefix: str = DAY_PREFIX) -> DataFrame:
     """Wide ``id.. | d_1 .. d_N`` to long ``id.. | d | units``.
@@ -27,8 +38,7 @@ def unpivot_sales(sales: DataFrame, id_cols: list[str] | None = None,
     days = day_columns(sales, prefix)
     if not days:
         raise ValueError("no day columns to unpivot")
-    names = F.array(*[F.lit(d) for d in days])
-    values = F.array(*[F.col(d).cast("int") for d in days])
+    names, values = literals(days), day_values(days)
     long_df = sales.select(*id_cols, F.posexplode(values).alias("_pos", "units")).select(
         *id_cols, F.element_at(names, F.col("_pos") + 1).alias("d"), "units"
     )

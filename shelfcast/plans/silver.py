@@ -1,13 +1,13 @@
 """Silver: product x store x day fact built from the three Bronze tables."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.functions.numeric import round_half_up
 from shelfcast.operators import features as feat
 from shelfcast.operators.joins import MAX_BROADCAST_ROWS, bounded_broadcast, join_calendar
-from shelfcast.operators.reshape import day_columns
+from shelfcast.operators.reshape import day_columns, day_values, literals
 from shelfcast.schemas import CALENDAR_COLS, ID_COLS, SILVER_COLS, SILVER_SQL_COLS
 
 
@@ -34,35 +34,36 @@ def week_positions(calendar: DataFrame, days: list[str]) -> tuple[list[int], lis
     return weeks, [at.get(week.get(d)) for d in days]
 
 
-def with_prices(sales: DataFrame, calendar: DataFrame, prices: DataFrame) -> DataFrame:
-    """Wide rows with ``_prices``: the prices of each of their days, an array per day.
+def with_prices(sales: DataFrame, calendar: DataFrame, prices: DataFrame) -> tuple[DataFrame, Column]:
+    """Wide rows with ``_weeks``, their prices by week, and the prices of each day.
 
-    Prices are folded to one row per (store, item) - at most one entry per week and
-    repeated key - and joined to the *wide* rows, so the long rows never move.  A day
-    whose key has two prices keeps both and gives two Silver rows, as a join of the long
-    rows would: ``dq_no_fanout`` sees it."""
+    Prices are folded to one row per (store, item) - at most one entry per week - and
+    joined to the *wide* rows, so the long rows never move.  A week whose key has two
+    prices keeps both and gives two Silver rows a day, as a join of the long rows would:
+    ``dq_no_fanout`` sees it."""
     weeks, at = week_positions(calendar, day_columns(sales))
-    folded = prices.groupBy("store_id", "item_id").agg(F.collect_list(F.struct("wm_yr_wk", "sell_price")).alias("_all"))
-    by_week = F.transform(F.lit(weeks), lambda w: F.transform(
-        F.filter("_all", lambda p: p["wm_yr_wk"] == w), lambda p: p["sell_price"]))
-    folded = folded.select("store_id", "item_id", by_week.alias("_weeks"))
-    positions = F.lit([p or 0 for p in at])
-    per_day = F.transform(positions, lambda p: F.when(p > 0, F.get("_weeks", p - 1)))
-    return sales.join(folded, ["store_id", "item_id"], "left").withColumn("_prices", per_day).drop("_weeks")
+    key = ["store_id", "item_id"]
+    folded = (prices.groupBy(*key, "wm_yr_wk").agg(F.collect_list("sell_price").alias("p"))
+              .where(F.col("wm_yr_wk").isNotNull())
+              .groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("wm_yr_wk", "p"))).alias("_all"))
+              .select(*key, F.transform(literals(weeks), lambda w: F.try_element_at("_all", w)).alias("_weeks")))
+    per_day = F.transform(literals([p or 0 for p in at]), lambda p: F.when(p > 0, F.get("_weeks", p - 1)))
+    return sales.join(folded, key, "left"), per_day
 
 
 def priced_long(sales: DataFrame, calendar: DataFrame, prices: DataFrame, id_cols: list[str],
                 partitions: int | None = None) -> DataFrame:
     """Long rows (ids, d, units, sell_price), hash-partitioned by id.
 
-    The wide rows are spread by ``id`` before they are exploded: they are few, the explode
-    then uses every task, and the long rows stay laid out by series for the bucketed write."""
-    wide = with_prices(sales, calendar, prices)
-    wide = wide.repartition(partitions, "id") if partitions else wide.repartition("id")
+    The wide rows are spread by ``id`` before anything is computed per day: they are few, the
+    explode then uses every task, and the long rows stay laid out by series for the bucketed
+    write."""
+    wide, per_day = with_prices(sales, calendar, prices)
+    n = partitions or int(sales.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wide = wide.repartition(n, "id")
     days = day_columns(sales)
-    names = F.array(*[F.lit(d) for d in days])
-    values = F.array(*[F.col(d).cast("int") for d in days])
-    zipped = F.arrays_zip(values.alias("units"), F.col("_prices").alias("prices"))
+    names = literals(days)
+    zipped = F.arrays_zip(day_values(days).alias("units"), per_day.alias("prices"))
     long_df = wide.select(*id_cols, F.posexplode(zipped).alias("_pos", "_cell")).select(
         *id_cols, F.element_at(names, F.col("_pos") + 1).alias("d"), F.col("_cell.units").alias("units"),
         F.col("_cell.prices").alias("_p"))

@@ -131,18 +131,14 @@ def _contents(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).select("table", "n_rows", "content")
 
 
-def _days(df: DataFrame):
-    return F.array(*[F.col(d) for d in reshape.day_columns(df)])
-
-
 def _day_total(df: DataFrame):
-    return F.aggregate(_days(df), F.lit(0).cast("long"), lambda a, x: a + F.coalesce(x, F.lit(0)))
+    return F.aggregate(reshape.day_values(reshape.day_columns(df)), F.lit(0).cast("long"), lambda a, x: a + F.coalesce(x, F.lit(0)))
 
 
 def _digest(df: DataFrame, ids: list[str], days: list[str]) -> DataFrame:
     """A frame with a column per day as ids, n_days and all its units in one text."""
     return df.select(*ids, F.lit(len(days)).cast("long").alias("n_days"),
-                     F.array_join(F.array(*[F.col(f"`{d}`") for d in days]).cast("array<string>"), ",").alias("units"))
+                     F.array_join(reshape.day_values(days, "string"), ",").alias("units"))
 
 
 def _wide_digest(df: DataFrame) -> DataFrame:

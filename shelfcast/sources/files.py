@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfcast.operators.reshape import day_values
 from shelfcast.schemas import CALENDAR_SCHEMA, DAY_PREFIX, ID_COLS, PRICES_SCHEMA
 
 # The text pandas' read_csv treats as missing by default.
@@ -56,7 +57,7 @@ def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType | None = N
     named = [kept(F.col(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields if f.name not in set(days)]
     if not days:
         return df.select(*named)
-    units = F.transform(F.array(*[F.col(d) for d in days]), lambda x: kept(x).cast("int"))
+    units = F.transform(day_values(days, "string"), lambda x: kept(x).cast("int"))
     at = {d: i for i, d in enumerate(days)}
     return df.select(*named, units.alias("_units")).selectExpr(
         *[f"get(_units, {at[f.name]}) AS `{f.name}`" if f.name in at else f"`{f.name}`" for f in schema.fields])
