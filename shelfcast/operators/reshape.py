@@ -57,11 +57,15 @@ def series_matrix(long_df: DataFrame, dates: list, index: str = "id",
                   column: str = "date", value: str = "units") -> DataFrame:
     """Export-only pivot ``index x date -> units`` (computation stays long).
 
-    Raises if (index, date) repeats: Spark's pivot would silently keep one.
-    ``dates`` are the pivot values (the small, bounded date list).
+    Raises if (index, date) repeats: a cell holds one value.
+    ``dates`` are the pivot values (the small, bounded date list); a series' cells, at most one
+    per date, are gathered once and read in their order.
     """
     dup = long_df.groupBy(index, column).count().where(F.col("count") > 1).limit(1)
     if dup.count() > 0:
         raise ValueError(f"duplicate ({index}, {column}) rows: cannot pivot")
-    out = long_df.groupBy(index).pivot(column, dates).agg(F.first(value))
-    return out.toDF(index, *[str(d) for d in dates])
+    cells = long_df.where(F.col(column).isNotNull()).groupBy(index).agg(
+        F.map_from_entries(F.collect_list(F.struct(column, value))).alias("_cells"))
+    wanted = F.expr("array(" + ", ".join(f"DATE'{d}'" for d in dates) + ")")
+    row = cells.select(index, F.transform(wanted, lambda d: F.try_element_at("_cells", d)).alias("_row"))
+    return row.selectExpr(index, *[f"get(_row, {i}) AS `{d}`" for i, d in enumerate(dates)])
