@@ -20,8 +20,6 @@ QUERIES = {
 }
 
 ORACLES = {
-    "op1_ngram_jaccard": lambda spark, sf: jaccard_join.join_documents(table(spark, sf, "documents")),
-    "op2_quality_crf": lambda spark, sf: quality_crf.classify(table(spark, sf, "documents"), table(spark, sf, "labels")),
     "op1_ngram_jaccard": jaccard_join.ORACLE,
     "op3_chat_rotation": chat_format.ORACLE,
     "op5_source_mix": mixing.ORACLE,
