@@ -3,9 +3,10 @@
 A text's set holds the hashes of its distinct three-word shingles.  Texts of equal
 sets form a class, and only one of each class is searched.  Two sets with Jaccard
 similarity of at least 0.9 differ in at most (a + b) / 19 shingles.  So the shingles
-are dealt by hash into one part more than that (and ``SPARE`` further ones): some part
-is the same in both, and one that isn't empty unless more than ``SPARE`` are.  A part
-holds about seven shingles, so texts that merely share a passage, a licence line or
+are dealt by hash into one part more than that (and ``spare`` further ones): some part
+is the same in both, and one that isn't empty unless more than ``spare`` are.  The
+spare parts grow with the parts, well beyond the share of parts that hashing leaves
+empty, so long texts hardly ever meet in an empty part.  A part holds about seven shingles, so texts that merely share a passage, a licence line or
 frequent words rarely have a whole part in common.  The number of parts follows from
 the larger set, by levels of size; a set near the top of its level is dealt on the
 next one as well.  Classes that share a part are gathered into clusters, no pairs are
@@ -41,7 +42,8 @@ from shelfcast.llm.components import components
 
 SHINGLE = 3
 LEVEL = 1.5                # from one level's largest size to the next one's
-SPARE = 2                  # parts beyond those that the differences may spoil
+SPARE = 2                  # least number of parts beyond those that the differences may spoil
+SPARE_SHARE = 32           # and one more for so many parts; about 1 in 500 is empty
 BLOCK_TOKENS = 500_000     # shingles of the sets in one block
 MU = 1.0                   # DivideSkip: long lists = T / (MU * log2(longest) + 1)
 KEY = ["no_id", "doc_id", "th"]
@@ -105,6 +107,13 @@ def levels(upto: int) -> list[int]:
     return out
 
 
+def dealing(top: int) -> tuple[int, int]:
+    """(parts, spare) of the level whose largest set has ``top`` shingles."""
+    spoilt = 2 * top // 19
+    spare = SPARE + spoilt // SPARE_SHARE
+    return spoilt + 1 + spare, spare
+
+
 def part_keys(s: np.ndarray, tops: list[int]) -> np.ndarray:
     """64-bit keys of the set's parts, on its level and, if a partner may be there, the next."""
     n = len(s)
@@ -113,14 +122,14 @@ def part_keys(s: np.ndarray, tops: list[int]) -> np.ndarray:
     for level in range(own, own + 1 + (10 * n // 9 > tops[own])):
         if level == 0:
             continue
-        parts = 2 * tops[level] // 19 + 1 + SPARE
+        parts, spare = dealing(tops[level])
         part = ((s >> np.uint64(20)) % np.uint64(parts)).astype(np.int64)
         by = np.argsort(part, kind="stable")
         part, x = part[by], _mix(s[by])
         at = np.flatnonzero(np.diff(part, prepend=-1))
         key = _mix(np.add.reduceat(x, at) + (part[at] * 64 + level).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         out.append(key)
-        if parts - len(at) > SPARE:                          # many empty parts: these count, too
+        if parts - len(at) > spare:                          # many empty parts: these count, too
             empty = np.setdiff1d(np.arange(parts), part[at])
             out.append(_mix((empty * 64 + level).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)))
     return np.concatenate(out or [np.zeros(0, np.uint64)]).view(np.int64)

@@ -134,6 +134,18 @@ def test_similar_sets_always_share_a_part():
                 assert np.intersect1d(jaccard_join.part_keys(a, tops), jaccard_join.part_keys(b, tops)).size, n
 
 
+def test_long_sets_have_no_keys_of_empty_parts():
+    rng = np.random.default_rng(5)
+    for n in (2000, 20_000):
+        tops = jaccard_join.levels(2 * n)
+        a, b = (np.unique(rng.integers(0, 2 ** 63, n).astype(np.uint64)) for _ in range(2))
+        assert not np.intersect1d(jaccard_join.part_keys(a, tops), jaccard_join.part_keys(b, tops)).size
+        level = int(np.searchsorted(tops, len(a)))
+        parts, spare = jaccard_join.dealing(tops[level])
+        full = len(np.unique((a >> np.uint64(20)) % np.uint64(parts)))
+        assert 0 < parts - full <= spare
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(1, 200)] + [(5, 5), (3000, 2999), (2999, 3000)]
     rng = random.Random(2)
