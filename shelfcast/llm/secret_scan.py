@@ -63,10 +63,13 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
 
 
 def bare_spans(text: str, base: list[tuple[int, int, int, str]]) -> list[tuple[int, int, int, str]]:
-    """Candidate tokens that overlap no base span."""
-    out = []
+    """Candidate tokens that overlap no base span (these in order of their starts)."""
+    out, at, covered = [], 0, 0
     for m in BARE.finditer(text):
-        if looks_live(m[0]) and not any(s < m.end() and m.start() < e for s, _, e, _ in base):
+        while at < len(base) and base[at][0] < m.end():      # one walk over both: long texts have many of each
+            covered = max(covered, base[at][2])
+            at += 1
+        if covered <= m.start() and looks_live(m[0]):
             out.append((m.start(), 3, m.end(), m[0]))
     return out
 
