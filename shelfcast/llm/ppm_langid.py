@@ -20,7 +20,6 @@ gives an empty result; extra columns are ignored.
 """
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,13 +33,17 @@ from shelfcast.operators.joins import bounded_broadcast
 ORDER = 3
 TRAIN_DOCS = 300
 CHUNK_BYTES = 1 << 20
-LETTER = re.compile(r"[^\W\d_]")
 
 
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def has_letter(text: str) -> bool:
+    """Any code point of the letter categories; digits like \u00b2 or \u00bd are none."""
+    return any(map(str.isalpha, text))
+
+
 def contexts(raw: bytes) -> np.ndarray:
     """For every byte its context of ORDER bytes and itself, as one integer (0 before the text)."""
     b = np.frombuffer(bytes(ORDER) + raw, dtype=np.uint8).astype(np.uint32)
@@ -151,7 +154,7 @@ def identify(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = Model.of(*parts.value)
         for b in batches:
-            texts = [t if isinstance(t, str) and LETTER.search(t) else "" for t in b["text"]]
+            texts = [t if isinstance(t, str) and has_letter(t) else "" for t in b["text"]]
             langs, scores, bits = ["und"] * len(b), np.zeros(len(b)), np.zeros(len(b))
             if m.langs:
                 cost = m.code_lengths(texts)
