@@ -35,20 +35,31 @@ def week_positions(calendar: DataFrame, days: list[str]) -> tuple[list[int], lis
 
 
 def with_prices(sales: DataFrame, calendar: DataFrame, prices: DataFrame) -> tuple[DataFrame, Column]:
-    """Wide rows with ``_weeks``, their prices by week, and the prices of each day.
+    """Wide rows as ids, ``_days`` (the day columns as one array, so that what follows plans
+    and moves a few columns) and ``_weeks``, their prices by week; and the prices of each day.
 
     Prices are folded to one row per (store, item) - at most one entry per week - and
     joined to the *wide* rows, so the long rows never move.  A week whose key has two
     prices keeps both and gives two Silver rows a day, as a join of the long rows would:
     ``dq_no_fanout`` sees it."""
-    weeks, at = week_positions(calendar, day_columns(sales))
+    days = day_columns(sales)
+    weeks, at = week_positions(calendar, days)
     key = ["store_id", "item_id"]
-    folded = (prices.groupBy(*key, "wm_yr_wk").agg(F.collect_list("sell_price").alias("p"))
-              .where(F.col("wm_yr_wk").isNotNull())
-              .groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("wm_yr_wk", "p"))).alias("_all"))
-              .select(*key, F.transform(literals(weeks), lambda w: F.try_element_at("_all", w)).alias("_weeks")))
+    # a key's weeks in order, with empty ones for those between that have no price: each entry
+    # is placed once (looking every week up in a map would take the square of the weeks)
+    place = sales.sparkSession.createDataFrame(
+        list(zip(weeks, range(len(weeks)))), f"wm_yr_wk {prices.schema['wm_yr_wk'].dataType.simpleString()}, _at int")
+    no_price = F.array().cast(f"array<{prices.schema['sell_price'].dataType.simpleString()}>")
+    last = lambda i: F.coalesce(F.get("_all", i - 1)["_at"], F.lit(-1))
+    folded = (prices.join(F.broadcast(place), "wm_yr_wk")
+              .groupBy(*key, "_at").agg(F.collect_list("sell_price").alias("p"))
+              .groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("_at", "p"))).alias("_all"))
+              .select(*key, F.flatten(F.transform("_all", lambda e, i: F.concat(
+                  F.array_repeat(no_price, e["_at"] - last(i) - 1), F.array(e["p"])))).alias("_weeks")))
     per_day = F.transform(literals([p or 0 for p in at]), lambda p: F.when(p > 0, F.get("_weeks", p - 1)))
-    return sales.join(folded, key, "left"), per_day
+    ids = [c for c in sales.columns if c not in set(days)]
+    wide = sales.select(*ids, day_values(days).alias("_days"))
+    return wide.join(folded, key, "left"), per_day
 
 
 def priced_long(sales: DataFrame, calendar: DataFrame, prices: DataFrame, id_cols: list[str],
@@ -63,7 +74,7 @@ def priced_long(sales: DataFrame, calendar: DataFrame, prices: DataFrame, id_col
     wide = wide.repartition(n, "id")
     days = day_columns(sales)
     names = literals(days)
-    zipped = F.arrays_zip(day_values(days).alias("units"), per_day.alias("prices"))
+    zipped = F.arrays_zip(F.col("_days").alias("units"), per_day.alias("prices"))
     long_df = wide.select(*id_cols, F.posexplode(zipped).alias("_pos", "_cell")).select(
         *id_cols, F.element_at(names, F.col("_pos") + 1).alias("d"), F.col("_cell.units").alias("units"),
         F.col("_cell.prices").alias("_p"))
