@@ -112,6 +112,27 @@ def test_prices_meet_their_week_only(spark):
                    ("B_CA_1", "d_1"): (None, 0.0, 0), ("B_CA_1", "d_2"): (5.0, 20.0, 1)}
 
 
+def test_prices_with_gaps_in_any_order(spark):
+    """Weeks without a price before, between and behind others; a null price, a null week, a
+    week that no day has, and no prices at all."""
+    days = [f"d_{i}" for i in range(1, 57)]
+    sales = spark.createDataFrame([(f"{k}_CA_1", k, "D", "C", "CA_1", "CA", *[1] * 56) for k in "ABC"],
+                                  ", ".join([f"{c} string" for c in ("id", "item_id", "dept_id", "cat_id", "store_id", "state_id")]
+                                            + [f"{d} int" for d in days]))
+    cal = fixtures.calendar(spark, fixtures.Span(dt.date(2000, 1, 8), 56))        # eight weeks from a Saturday on
+    weeks = sorted({r.wm_yr_wk for r in cal.collect()})
+    assert len(weeks) == 8
+    rows = [("A", weeks[6], 6.0), ("A", weeks[1], 1.0), ("A", weeks[4], 4.0), ("A", weeks[5], None), ("A", None, 9.0),
+            ("A", 1, 9.0), ("B", weeks[7], 7.0), ("B", weeks[0], 0.5), ("D", weeks[2], 2.0)]
+    want = {(k, w): p for k, w, p in rows}
+    prices = spark.createDataFrame([("CA_1", *r) for r in rows],
+                                   "store_id string, item_id string, wm_yr_wk int, sell_price double")
+    got = sp.silver_sales_daily(sales, cal, prices).collect()
+    assert len(got) == 3 * 56
+    assert all(r.sell_price == want.get((r.item_id, r.wm_yr_wk)) for r in got)
+    assert all(r.sell_price is None for r in sp.silver_sales_daily(sales, cal, prices.limit(0)).collect())
+
+
 def test_duplicate_price_key_still_fans_out(spark):
     from shelfcast.operators import quality as dq
     sales, cal, prices = _small(spark, [("CA_1", "A", 11101, 2.0), ("CA_1", "A", 11101, 2.5)])
