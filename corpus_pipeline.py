@@ -1,7 +1,7 @@
 """Corpus pipeline: the documents through five stages, each written and read again.
 
 quality       rejects documents that the quality classifier predicts 0
-near_dups     keeps one document of each component of the n-gram Jaccard join
+near_dups     keeps one document of each component of the n-gram Jaccard join (five words, 0.8)
 decontaminate drops documents with a verified benchmark match
 mix           repeats or leaves out documents so that the sources meet their targets
 shard         gives each document its shard and slot

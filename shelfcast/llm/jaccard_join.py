@@ -1,24 +1,26 @@
 """N-gram Jaccard self-join by T-occurrence search, and its components.
 
-A text's set holds the hashes of its distinct three-word shingles.  Texts of equal
-sets form a class, and only one of each class is searched.  Two sets with Jaccard
-similarity of at least 0.9 differ in at most (a + b) / 19 shingles.  So the shingles
+A text's set holds the hashes of its distinct shingles: of three words for the digest
+(op1), of five for the pipeline's stage (``keep_one``).  Texts of equal sets form a
+class, and only one of each class is searched.  Two sets with Jaccard similarity of at
+least t differ in at most (a + b)(1 - t)/(1 + t) shingles: (a + b)/19 at the digest's
+0.9, (a + b)/9 at the stage's 0.8; t is a pair of integers.  So the shingles
 are dealt by hash into one part more than that (and ``spare`` further ones): some part
 is the same in both, and one that isn't empty unless more than ``spare`` are.  The
 spare parts grow with the parts, well beyond the share of parts that hashing leaves
-empty, so long texts hardly ever meet in an empty part.  A part holds about seven shingles, so texts that merely share a passage, a licence line or
-frequent words rarely have a whole part in common.  The number of parts follows from
+empty, so long texts hardly ever meet in an empty part.  A part holds about seven shingles
+(at 0.8 about four, of five words each), so texts that merely share a passage, a licence
+line or frequent words rarely have a whole part in common.  The number of parts follows from
 the larger set, by levels of size; a set near the top of its level is dealt on the
-next one as well.  Classes that share a part are gathered into clusters, no pairs are
+next ones as far as a partner's size may reach.  Classes that share a part are gathered into clusters, no pairs are
 written, and only the sets of clusters with two members or more move.
 
 Within a cluster each set is searched in an inverted index by DivideSkip: the lists
 of its shingles are divided by length, the short ones merged by counting, and the
 candidates with enough occurrences there are looked up by binary search in the long
-ones; those that reach the overlap (100 * intersection >= 90 * union, in integers)
-are links.  A cluster with more than ``BLOCK_TOKENS`` shingles is dealt into blocks
-and the search runs for each pair of blocks, so a group of copies with a third of all
-rows is never in one task.  A task gives each set its number of links and one edge to
+ones; those that reach the overlap (intersection >= t * union, in integers) are links.
+A cluster with more than ``BLOCK_TOKENS`` shingles is dealt into blocks and the search
+runs for each pair of blocks, so a group of copies with a third of all rows is never in one task.  A task gives each set its number of links and one edge to
 a tree of its finds, so what leaves it grows with the sets, not with the pairs.
 
 Defined cases: null, empty and blank texts have no set (n_shingles 0), are linked with
@@ -34,13 +36,14 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.llm.common import SPACE, pick, small_batches, staged
 from shelfcast.llm.components import components
 
-SHINGLE = 3
+SHINGLE, SHARE = 3, (9, 10)            # words of a shingle and least similarity of the digest
+NEAR_SHINGLE, NEAR_SHARE = 5, (4, 5)   # and of the stage that keeps one of near copies
 LEVEL = 1.5                # from one level's largest size to the next one's
 SPARE = 2                  # least number of parts beyond those that the differences may spoil
 SPARE_SHARE = 32           # and one more for so many parts; about 1 in 500 is empty
@@ -66,7 +69,7 @@ class Words(dict):
         return h
 
 
-def shingle_set(text: str | None, words: Words) -> np.ndarray:
+def shingle_set(text: str | None, words: Words, shingle: int = SHINGLE) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the text's shingles."""
     if not isinstance(text, str):
         return np.zeros(0, dtype=np.uint64)
@@ -75,7 +78,7 @@ def shingle_set(text: str | None, words: Words) -> np.ndarray:
     if not parts:
         return np.zeros(0, dtype=np.uint64)
     h = np.fromiter((words[w] for w in parts), dtype=np.uint64, count=len(parts))
-    n = min(SHINGLE, len(h))
+    n = min(shingle, len(h))
     out = np.full(len(h) - n + 1, n, dtype=np.uint64)
     for i in range(n):
         out = _mix(out + np.uint64(0x9E3779B97F4A7C15) + h[i:len(h) - n + 1 + i])
@@ -88,9 +91,14 @@ def set_key(s: np.ndarray) -> tuple[int, int]:
             int(_mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).view(np.int64)))
 
 
-def need(n: int) -> int:
-    """Least overlap with any set that is similar enough and not larger: ceil(0.9 n)."""
-    return -(-9 * n // 10)
+def need(n: int, share: tuple[int, int] = SHARE) -> int:
+    """Least overlap with any set that is similar enough and not larger: ceil(t n)."""
+    return -(-share[0] * n // share[1])
+
+
+def largest(n: int, share: tuple[int, int] = SHARE) -> int:
+    """Size of the largest set that may be similar enough to one of ``n`` shingles: floor(n / t)."""
+    return share[1] * n // share[0]
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -99,30 +107,32 @@ def _texts(docs: DataFrame) -> DataFrame:
         F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"), "text")
 
 
-def levels(upto: int) -> list[int]:
+def levels(upto: int, share: tuple[int, int] = SHARE) -> list[int]:
     """Largest set size of each level; sets of the first one are similar only if equal."""
-    out = [9]
+    num, den = share
+    out = [(den + num - 1) // (2 * (den - num))]
     while out[-1] < upto:
-        out.append(int(out[-1] * LEVEL))
+        out.append(max(out[-1] + 1, int(out[-1] * LEVEL)))
     return out
 
 
-def dealing(top: int) -> tuple[int, int]:
+def dealing(top: int, share: tuple[int, int] = SHARE) -> tuple[int, int]:
     """(parts, spare) of the level whose largest set has ``top`` shingles."""
-    spoilt = 2 * top // 19
+    num, den = share
+    spoilt = 2 * top * (den - num) // (den + num)
     spare = SPARE + spoilt // SPARE_SHARE
     return spoilt + 1 + spare, spare
 
 
-def part_keys(s: np.ndarray, tops: list[int]) -> np.ndarray:
-    """64-bit keys of the set's parts, on its level and, if a partner may be there, the next."""
+def part_keys(s: np.ndarray, tops: list[int], share: tuple[int, int] = SHARE) -> np.ndarray:
+    """64-bit keys of the set's parts, on its level and, if a partner may be there, the next ones."""
     n = len(s)
-    own = int(np.searchsorted(tops, n))
+    own, last = (int(x) for x in np.searchsorted(tops, [n, largest(n, share)]))
     out = []
-    for level in range(own, own + 1 + (10 * n // 9 > tops[own])):
+    for level in range(own, last + 1):
         if level == 0:
             continue
-        parts, spare = dealing(tops[level])
+        parts, spare = dealing(tops[level], share)
         part = ((s >> np.uint64(20)) % np.uint64(parts)).astype(np.int64)
         by = np.argsort(part, kind="stable")
         part, x = part[by], _mix(s[by])
@@ -135,21 +145,35 @@ def part_keys(s: np.ndarray, tops: list[int]) -> np.ndarray:
     return np.concatenate(out or [np.zeros(0, np.uint64)]).view(np.int64)
 
 
-def signatures(texts: DataFrame) -> DataFrame:
-    """no_id, doc_id, th, n, s1, s2, parts (keys of the set's parts)."""
+def signatures(texts: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """no_id, doc_id, th, n, s1, s2."""
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, tops = Words(), levels(9)
+        words = Words()
+        for b in batches:
+            sets = [shingle_set(t, words, shingle) for t in b["text"]]
+            out = pd.DataFrame([(len(s), *set_key(s)) for s in sets], columns=["n", "s1", "s2"])
+            yield pd.concat([b[KEY].reset_index(drop=True), out], axis=1)
+
+    return texts.mapInPandas(sign, "no_id int, doc_id long, th long, n long, s1 long, s2 long")
+
+
+def dealt_parts(texts: DataFrame, shingle: int = SHINGLE, share: tuple[int, int] = SHARE) -> DataFrame:
+    """no_id, doc_id, th, parts (keys of the set's parts) of the texts that have words.
+
+    The keys are made from the texts again: they are many, and are moved but never stored."""
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words, tops = Words(), levels(9, share)
         for b in batches:
             rows = []
             for t in b["text"]:
-                s = shingle_set(t, words)
-                if len(s) * 2 > tops[-1]:
-                    tops = levels(len(s) * 2)
-                rows.append((len(s), *set_key(s), part_keys(s, tops) if len(s) else np.zeros(0, np.int64)))
-            out = pd.DataFrame(rows, columns=["n", "s1", "s2", "parts"])
-            yield pd.concat([b[KEY].reset_index(drop=True), out], axis=1)
+                s = shingle_set(t, words, shingle)
+                if largest(len(s), share) > tops[-1]:
+                    tops = levels(2 * largest(len(s), share), share)
+                rows.append(part_keys(s, tops, share) if len(s) else np.zeros(0, np.int64))
+            out = b[KEY].reset_index(drop=True).assign(parts=rows)
+            yield out[[len(x) > 0 for x in rows]]
 
-    return texts.mapInPandas(sign, "no_id int, doc_id long, th long, n long, s1 long, s2 long, parts array<long>")
+    return texts.mapInPandas(deal, "no_id int, doc_id long, th long, parts array<long>")
 
 
 def _find(root: np.ndarray, i: int) -> int:
@@ -159,10 +183,12 @@ def _find(root: np.ndarray, i: int) -> int:
     return i
 
 
-def search(sizes: np.ndarray, sets: list[np.ndarray], index: np.ndarray, query: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+def search(sizes: np.ndarray, sets: list[np.ndarray], index: np.ndarray, query: np.ndarray,
+           share: tuple[int, int] = SHARE) -> Iterator[tuple[int, np.ndarray]]:
     """T-occurrence search: (set, the linked sets before it in order of size).
 
     ``index`` and ``query`` say which sets are indexed and which are looked up."""
+    num, den = share
     order = np.argsort(sizes, kind="stable")
     place = np.empty(len(order), dtype=np.int64)
     place[order] = np.arange(len(order))
@@ -179,8 +205,8 @@ def search(sizes: np.ndarray, sets: list[np.ndarray], index: np.ndarray, query:
     for rank, i in enumerate(order):
         if not query[i]:
             continue
-        n, t = int(sizes[i]), need(int(sizes[i]))
-        low = int(np.searchsorted(ordered, t))              # smaller sets can't reach 0.9
+        n, t = int(sizes[i]), need(int(sizes[i]), share)
+        low = int(np.searchsorted(ordered, t))              # smaller sets can't be similar enough
         if low >= rank:
             continue
         at = np.minimum(np.searchsorted(keys, sets[i]), len(keys) - 1)
@@ -210,12 +236,12 @@ def search(sizes: np.ndarray, sets: list[np.ndarray], index: np.ndarray, query:
             left -= 1
             enough = have >= t - left
             cand, have = cand[enough], have[enough]
-        linked = cand[19 * have >= 9 * (n + ordered[cand + low])] + low
+        linked = cand[(num + den) * have >= num * (n + ordered[cand + low])] + low
         if len(linked):
             yield int(i), order[linked]
 
 
-def _group(b: pd.DataFrame) -> pd.DataFrame:
+def _group(b: pd.DataFrame, share: tuple[int, int] = SHARE) -> pd.DataFrame:
     """Links of one group: (node, n_links, root) for each set, root a linked set or itself."""
     b = b.drop_duplicates(["node"]).reset_index(drop=True)
     first, second = int(b["block_a"].iloc[0]), int(b["block_b"].iloc[0])
@@ -233,34 +259,38 @@ def _group(b: pd.DataFrame) -> pd.DataFrame:
 
     if first == second:
         every = np.ones(len(b), dtype=bool)
-        for i, found in search(sizes, sets, every, every):
+        for i, found in search(sizes, sets, every, every, share):
             tie(i, found)
     else:                                                   # each block is looked up in the other
         for a in (first, second):
-            for i, found in search(sizes, sets, own == a, own != a):
+            for i, found in search(sizes, sets, own == a, own != a, share):
                 tie(i, found)
     node = b["node"].to_numpy()
     return pd.DataFrame({"node": node, "links": links, "root": node[[_find(root, i) for i in range(len(b))]]})
 
 
-def jaccard_join(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+def jaccard_join(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, shingle: int = SHINGLE,
+                 share: tuple[int, int] = SHARE) -> DataFrame:
     """no_id, doc_id, th, n_shingles, component_id, n_links, kept: one row for each row of ``docs``.
 
+    Linked are sets of shingles of ``shingle`` words with a similarity of at least share[0] / share[1].
     ``kept`` marks the row that stands for its component (of repeated rows, all)."""
     small_batches(docs.sparkSession)
     texts = _texts(docs)
-    rows = staged(signatures(texts), "jaccard-rows")
+    rows = staged(signatures(texts, shingle), "jaccard-rows")
     of_set = ["n", "s1", "s2"]
     classes = staged(
         rows.where("n > 0").groupBy(*of_set).agg(
-            F.min(F.struct(*KEY)).alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("parts").alias("parts"))
-        .select(F.monotonically_increasing_id().alias("node"), *of_set, "rep", "copies", "parts"), "jaccard-classes")
+            F.min(F.struct(*KEY)).alias("rep"), F.count(F.lit(1)).alias("copies"))
+        .select(F.monotonically_increasing_id().alias("node"), *of_set, "rep", "copies"), "jaccard-classes")
     # clusters: classes tied by an equal part
-    part = classes.select("node", F.explode("parts").alias("part"))
-    hubs = part.groupBy("part").agg(F.min("node").alias("hub"), F.max("node").alias("top")).where("hub < top")
-    tied = part.join(hubs.select("part", "hub"), "part").where("node <> hub")
+    reps = classes.select("node", "rep.*").hint("merge")
+    part = dealt_parts(texts, shingle, share).join(reps, KEY).select("node", F.explode("parts").alias("part"))
+    # moved once: the least class of a part comes first, no join back
+    first = Window.partitionBy("part").orderBy("node").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    tied = part.withColumn("hub", F.min("node").over(first)).where("node <> hub")
     clusters = components(tied.select(F.col("node").alias("a"), F.col("hub").alias("b")))
-    members = staged(classes.drop("parts").join(clusters, "node").withColumnRenamed("root", "cluster"), "jaccard-members")
+    members = staged(classes.join(clusters, "node").withColumnRenamed("root", "cluster"), "jaccard-members")
     # small clusters share a group of about block_tokens shingles; large ones are dealt into blocks
     sizes = members.groupBy("cluster").agg(F.sum("n").alias("tokens"))
     small = sizes.where(F.col("tokens") <= block_tokens).agg(F.sum("tokens")).first()[0] or 0
@@ -276,7 +306,7 @@ def jaccard_join(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame
     def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = Words()
         for b in batches:
-            tokens = [shingle_set(t, words).view(np.int64) for t in b["text"]]
+            tokens = [shingle_set(t, words, shingle).view(np.int64) for t in b["text"]]
             yield b.drop(columns="text").assign(tokens=tokens)
 
     filled = (texts.join(dealt, KEY).select("node", "n", "copies", "grp", "blocks", "block", "text")
@@ -285,7 +315,7 @@ def jaccard_join(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame
         "node", "n", "copies", "grp", "block", F.least("block", "other").alias("block_a"),
         F.greatest("block", "other").alias("block_b"), "tokens")
     found = staged(paired.groupBy("grp", "block_a", "block_b").applyInPandas(
-        lambda b: _group(b), "node long, links long, root long"), "jaccard-links")
+        lambda b: _group(b, share), "node long, links long, root long"), "jaccard-links")
     linked = components(found.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     # one row per class: the least row of its component, and the links of each of its copies
@@ -294,7 +324,7 @@ def jaccard_join(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame
     best = of_node.groupBy("root").agg(F.min("rep").alias("best"))
     judged = of_node.join(best, "root").select(
         *of_set, "best", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    with_set = rows.drop("parts").where("n > 0").join(judged, of_set)
+    with_set = rows.where("n > 0").join(judged, of_set)
     name = F.when(F.col("best.no_id") == 0, F.col("best.doc_id"))
     own = F.when(F.col("no_id") == 0, F.col("doc_id"))
     return with_set.select(
@@ -311,10 +341,11 @@ def join_documents(docs: DataFrame) -> DataFrame:
         F.when(F.col("no_id") == 0, F.col("doc_id")).alias("doc_id"), "n_shingles", "component_id", "n_links")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, shingle: int = NEAR_SHINGLE, share: tuple[int, int] = NEAR_SHARE) -> DataFrame:
     """One row of each component of ``docs``, and all rows without words; columns as they are."""
     blank = F.translate(F.coalesce("text", F.lit("")), SPACE, "") == ""
-    kept = jaccard_join(docs).where("kept AND n_shingles > 0").select(*[F.col(k).alias(f"__{k}") for k in KEY]).distinct()
+    kept = (jaccard_join(docs, shingle=shingle, share=share).where("kept AND n_shingles > 0")
+            .select(*[F.col(k).alias(f"__{k}") for k in KEY]).distinct())
     keyed = docs.where(~blank).withColumns({
         "__no_id": F.col("doc_id").isNull().cast("int"), "__doc_id": F.coalesce("doc_id", F.lit(0)),
         "__th": F.xxhash64("text")})
