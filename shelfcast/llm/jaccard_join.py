@@ -2,18 +2,24 @@
 
 A text's set holds the hashes of its distinct shingles: of three words for the digest
 (op1), of five for the pipeline's stage (``keep_one``).  Texts of equal sets form a
-class, and only one of each class is searched.  Two sets with Jaccard similarity of at
-least t differ in at most (a + b)(1 - t)/(1 + t) shingles: (a + b)/19 at the digest's
-0.9, (a + b)/9 at the stage's 0.8; t is a pair of integers.  So the shingles
-are dealt by hash into one part more than that (and ``spare`` further ones): some part
-is the same in both, and one that isn't empty unless more than ``spare`` are.  The
-spare parts grow with the parts, well beyond the share of parts that hashing leaves
-empty, so long texts hardly ever meet in an empty part.  A part holds about seven shingles
-(at 0.8 about four, of five words each), so texts that merely share a passage, a licence
-line or frequent words rarely have a whole part in common.  The number of parts follows from
-the larger set, by levels of size; a set near the top of its level is dealt on the
-next ones as far as a partner's size may reach.  Classes that share a part are gathered into clusters, no pairs are
-written, and only the sets of clusters with two members or more move.
+class, and only one of each class is searched.  t, the least similarity, is a pair of
+integers: 9/10 for the digest, 4/5 for the stage.
+
+A set of n shingles shares at least need(n) = ceil(t n) with any similar one, so it can
+be left out as soon as too many of its shingles stand in no other set.  Two rounds of
+counting do that, both exact:
+
+* Heads.  Of each set only the least hashes go out, n - need(n) + margin(n) of them; two
+  similar sets have at least margin(need(n)) of these in common.  Sets with fewer shared
+  ones are out.  Texts that merely share a passage, a licence line or frequent words go here.
+* Whole sets of those left.  A set stays if need(n) of its shingles are shared.  Its
+  n - need(n) + 1 rarest shingles, those in no other set first, must hold one that a
+  similar set has among its own rarest; the shared ones of these are its short lists.
+
+What is counted moves packed, 32 bits of a shingle's hash within one of many buckets that
+grow with the data: two shingles with equal bits may only let a set stay that could go.
+Sets that meet in a short list are gathered into clusters (no pairs are written), and
+only sets of clusters with two members or more are searched.
 
 Within a cluster each set is searched in an inverted index by DivideSkip: the lists
 of its shingles are divided by length, the short ones merged by counting, and the
@@ -36,7 +42,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm.common import SPACE, pick, small_batches, staged
@@ -44,9 +51,10 @@ from shelfcast.llm.components import components
 
 SHINGLE, SHARE = 3, (9, 10)            # words of a shingle and least similarity of the digest
 NEAR_SHINGLE, NEAR_SHARE = 5, (4, 5)   # and of the stage that keeps one of near copies
-LEVEL = 1.5                # from one level's largest size to the next one's
-SPARE = 2                  # least number of parts beyond those that the differences may spoil
-SPARE_SHARE = 32           # and one more for so many parts; about 1 in 500 is empty
+MARGIN = 10                # a head has one in so many of its set's shingles beyond those that may differ
+BUCKET = 1 << 20           # shingles compared in one task
+LEAST_BUCKETS = 48
+FILTER_BITS = 1 << 25      # of the filter of texts to read again: 4 MB at any size of the data
 BLOCK_TOKENS = 500_000     # shingles of the sets in one block
 MU = 1.0                   # DivideSkip: long lists = T / (MU * log2(longest) + 1)
 KEY = ["no_id", "doc_id", "th"]
@@ -96,9 +104,13 @@ def need(n: int, share: tuple[int, int] = SHARE) -> int:
     return -(-share[0] * n // share[1])
 
 
-def largest(n: int, share: tuple[int, int] = SHARE) -> int:
-    """Size of the largest set that may be similar enough to one of ``n`` shingles: floor(n / t)."""
-    return share[1] * n // share[0]
+def margin(n: int) -> int:
+    return max(1, n // MARGIN)
+
+
+def head(s: np.ndarray, share: tuple[int, int] = SHARE) -> np.ndarray:
+    """The least hashes of a set; similar sets have ``margin`` of the smaller one's need in common there."""
+    return s[:len(s) - need(len(s), share) + margin(len(s))]
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -107,73 +119,152 @@ def _texts(docs: DataFrame) -> DataFrame:
         F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"), "text")
 
 
-def levels(upto: int, share: tuple[int, int] = SHARE) -> list[int]:
-    """Largest set size of each level; sets of the first one are similar only if equal."""
-    num, den = share
-    out = [(den + num - 1) // (2 * (den - num))]
-    while out[-1] < upto:
-        out.append(max(out[-1] + 1, int(out[-1] * LEVEL)))
-    return out
+def _batch(number: int) -> int:
+    """A name for the ``number``-th batch of this task."""
+    return (TaskContext.get().partitionId() << 32) + number
 
 
-def dealing(top: int, share: tuple[int, int] = SHARE) -> tuple[int, int]:
-    """(parts, spare) of the level whose largest set has ``top`` shingles."""
-    num, den = share
-    spoilt = 2 * top * (den - num) // (den + num)
-    spare = SPARE + spoilt // SPARE_SHARE
-    return spoilt + 1 + spare, spare
-
-
-def part_keys(s: np.ndarray, tops: list[int], share: tuple[int, int] = SHARE) -> np.ndarray:
-    """64-bit keys of the set's parts, on its level and, if a partner may be there, the next ones."""
-    n = len(s)
-    own, last = (int(x) for x in np.searchsorted(tops, [n, largest(n, share)]))
-    out = []
-    for level in range(own, last + 1):
-        if level == 0:
-            continue
-        parts, spare = dealing(tops[level], share)
-        part = ((s >> np.uint64(20)) % np.uint64(parts)).astype(np.int64)
-        by = np.argsort(part, kind="stable")
-        part, x = part[by], _mix(s[by])
-        at = np.flatnonzero(np.diff(part, prepend=-1))
-        key = _mix(np.add.reduceat(x, at) + (part[at] * 64 + level).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        out.append(key)
-        if parts - len(at) > spare:                          # many empty parts: these count, too
-            empty = np.setdiff1d(np.arange(parts), part[at])
-            out.append(_mix((empty * 64 + level).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)))
-    return np.concatenate(out or [np.zeros(0, np.uint64)]).view(np.int64)
-
-
-def signatures(texts: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """no_id, doc_id, th, n, s1, s2."""
+def signatures(texts: DataFrame, shingle: int = SHINGLE, share: tuple[int, int] = SHARE) -> DataFrame:
+    """no_id, doc_id, th, n, s1, s2, the head, and where the row stands: batch, idx."""
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = Words()
-        for b in batches:
+        for k, b in enumerate(batches):
             sets = [shingle_set(t, words, shingle) for t in b["text"]]
             out = pd.DataFrame([(len(s), *set_key(s)) for s in sets], columns=["n", "s1", "s2"])
-            yield pd.concat([b[KEY].reset_index(drop=True), out], axis=1)
-
-    return texts.mapInPandas(sign, "no_id int, doc_id long, th long, n long, s1 long, s2 long")
+            once = ~out.duplicated()                          # of a batch's equal sets one head is enough
+            heads = [head(s, share).view(np.int64) if go and len(s) else np.zeros(0, np.int64) for s, go in zip(sets, once)]
+            yield pd.concat([b[KEY].reset_index(drop=True), out], axis=1).assign(
+                head=pd.Series(heads, dtype=object), batch=_batch(k), idx=np.arange(len(b)))
 
+    return texts.mapInPandas(sign, "no_id int, doc_id long, th long, n long, s1 long, s2 long, head array<long>, batch long, idx int")
 
-def dealt_parts(texts: DataFrame, shingle: int = SHINGLE, share: tuple[int, int] = SHARE) -> DataFrame:
-    """no_id, doc_id, th, parts (keys of the set's parts) of the texts that have words.
 
-    The keys are made from the texts again: they are many, and are moved but never stored."""
+def _asked(sets: DataFrame, column: str, buckets: int, tagged: bool) -> DataFrame:
+    """The shingles of ``column``, packed: one row for each bucket and batch."""
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, tops = Words(), levels(9, share)
         for b in batches:
-            rows = []
-            for t in b["text"]:
-                s = shingle_set(t, words, shingle)
-                if largest(len(s), share) > tops[-1]:
-                    tops = levels(2 * largest(len(s), share), share)
-                rows.append(part_keys(s, tops, share) if len(s) else np.zeros(0, np.int64))
-            out = b[KEY].reset_index(drop=True).assign(parts=rows)
-            yield out[[len(x) > 0 for x in rows]]
+            for batch, part in b.groupby("batch", sort=False):
+                n = [len(x) for x in part[column]]
+                if not sum(n):
+                    continue
+                m = _mix(np.concatenate(part[column].tolist()).astype(np.int64).view(np.uint64))
+                bucket = ((m >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
+                by = np.argsort(bucket, kind="stable")
+                cut = np.flatnonzero(np.diff(bucket[by], prepend=-1))
+                ends = np.append(cut[1:], len(by))
+                packed = {"keys": m.astype(np.uint32)[by], "idx": np.repeat(part["idx"].to_numpy(), n).astype(np.uint16)[by]}
+                if tagged:
+                    packed["tags"] = np.repeat(part["s1"].to_numpy(), n).astype(np.uint32)[by]
+                out = {c: [x[i:j].tobytes() for i, j in zip(cut, ends)] for c, x in packed.items()}
+                yield pd.DataFrame({"bucket": bucket[by[cut]], "batch": batch, "tags": [b""] * len(cut)} | out)
+
+    return sets.mapInPandas(deal, "bucket long, batch long, keys binary, idx binary, tags binary")
+
+
+def _answer(b: pd.DataFrame) -> pd.DataFrame:
+    """Of one bucket: the shingles that stand in two different sets or more, and in how many (255 at most)."""
+    n = [len(x) // 4 for x in b["keys"]]
+    keys, idx = (np.frombuffer(b"".join(b[c]), dtype=t) for c, t in (("keys", np.uint32), ("idx", np.uint16)))
+    tags = np.frombuffer(b"".join(b["tags"]), dtype=np.uint32)
+    by = np.lexsort((tags, keys)) if len(tags) else np.argsort(keys, kind="stable")
+    new = np.diff(keys[by].astype(np.int64), prepend=-1) != 0
+    other = new | (np.diff(tags[by].astype(np.int64), prepend=-1) != 0) if len(tags) else np.ones(len(by), dtype=bool)
+    df = np.empty(len(by), dtype=np.int64)
+    df[by] = np.add.reduceat(other.astype(np.int64), np.flatnonzero(new))[np.cumsum(new) - 1]
+    shared = df > 1
+    ends = np.cumsum(np.bincount(np.repeat(np.arange(len(n)), n)[shared], minlength=len(n)))
+    packed = {"keys": keys[shared], "idx": idx[shared], "df": np.minimum(df[shared], 255).astype(np.uint8)}
+    out = pd.DataFrame({"batch": b["batch"].to_numpy(), "bucket": b["bucket"].to_numpy()} | {
+        c: [x[i:j].tobytes() for i, j in zip(np.append(0, ends[:-1]), ends)] for c, x in packed.items()})
+    return out[np.diff(ends, prepend=0) > 0]
+
+
+def shared_shingles(sets: DataFrame, column: str, tagged: bool) -> DataFrame:
+    """batch, bucket and, packed, keys, idx, df of the shingles of ``column`` that two sets have.
+
+    ``sets`` names each row by batch and idx.  ``tagged``: some rows hold equal sets (told apart by s1)."""
+    total = sets.agg(F.sum(F.size(column))).first()[0] or 0
+    buckets = max(LEAST_BUCKETS, -(-total // BUCKET))
+    return _asked(sets, column, buckets, tagged).groupBy("bucket").applyInPandas(
+        _answer, "batch long, bucket long, keys binary, idx binary, df binary")
+
+
+def _counted(b: pd.DataFrame) -> pd.DataFrame:
+    """How many shared shingles each row of one batch has."""
+    n = np.bincount(np.frombuffer(b"".join(b["idx"]), dtype=np.uint16))
+    at = np.flatnonzero(n)
+    return pd.DataFrame({"batch": b["batch"].iloc[0], "idx": at.astype(np.int32), "shared": n[at].astype(np.int64)})
+
+
+def promising(rows: DataFrame, share: tuple[int, int] = SHARE) -> DataFrame:
+    """n, s1, s2 of the sets whose heads share enough with others'."""
+    heads = shared_shingles(rows.where(F.size("head") > 0).select("batch", "idx", "s1", "head"), "head", True)
+    counted = heads.select("batch", "idx").groupBy("batch").applyInPandas(_counted, "batch long, idx int, shared long")
+    fit = F.expr(f"({share[0]} * n + {share[1] - 1}) DIV {share[1]}")               # need(n)
+    least = F.greatest(F.lit(1), F.expr("f DIV " + str(MARGIN)))
+    return (rows.select("batch", "idx", "n", "s1", "s2").join(counted, ["batch", "idx"])
+            .withColumn("f", fit).where(F.col("shared") >= least).select("n", "s1", "s2").distinct())
+
+
+def _filter(keys: DataFrame) -> np.ndarray:
+    """Bit table of the text hashes ``th``: of fixed size, whatever the number of rows."""
+    at = F.pmod("th", F.lit(FILTER_BITS)) + 1                  # Spark numbers bits from 1
+    parts = (keys.groupBy(F.bitmap_bucket_number(at).alias("part"))
+             .agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")).collect())
+    table = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
+    for r in parts:                                            # 4096 bytes a part
+        at = (r["part"] - 1) * 4096
+        table[at:at + 4096] = np.frombuffer(r["bits"], dtype=np.uint8)
+    return table
+
+
+def filled(texts: DataFrame, reps: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """node, n, copies, tokens, batch, idx of ``reps`` (node, n, copies and a row's KEY), one row each.
+
+    A text that the filter can't rule out is cut into shingles again; the join decides.  Of
+    repeated rows one is kept before anything meets."""
+    table = texts.sparkSession.sparkContext.broadcast(_filter(reps))
 
-    return texts.mapInPandas(deal, "no_id int, doc_id long, th long, parts array<long>")
+    def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words, bits = Words(), table.value
+        for b in batches:
+            at = b["th"].to_numpy() % FILTER_BITS
+            b = b[(bits[at // 8] >> (at % 8) & 1).astype(bool)].drop_duplicates(KEY)
+            tokens = [shingle_set(t, words, shingle).view(np.int64) for t in b["text"]]
+            yield b[KEY].assign(tokens=pd.Series(tokens, index=b.index, dtype=object))
+
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for k, b in enumerate(batches):
+            yield b.assign(batch=_batch(k), idx=np.arange(len(b)))
+
+    cut = texts.mapInPandas(fill, "no_id int, doc_id long, th long, tokens array<long>")
+    return (cut.groupBy(*KEY).agg(F.first("tokens").alias("tokens")).join(reps.hint("merge"), KEY)
+            .select("node", "n", "copies", "tokens")
+            .mapInPandas(place, "node long, n long, copies long, tokens array<long>, batch long, idx int"))
+
+
+def short_lists(sets: DataFrame, share: tuple[int, int] = SHARE) -> DataFrame:
+    """node, key: the shared ones of each set's rarest shingles, if enough of the set is shared."""
+    def pick_rarest(names: pd.DataFrame, shared: pd.DataFrame) -> pd.DataFrame:
+        if not len(shared):
+            return pd.DataFrame({"node": [], "key": []})
+        n = [len(x) for x in shared["df"]]
+        idx, df = (np.frombuffer(b"".join(shared[c]), dtype=t) for c, t in (("idx", np.uint16), ("df", np.uint8)))
+        key = np.repeat(shared["bucket"].to_numpy(), n) * (1 << 32) + np.frombuffer(b"".join(shared["keys"]), dtype=np.uint32)
+        by = np.lexsort((key, df, idx))
+        idx, key = idx[by], key[by]
+        at = names["idx"].to_numpy()
+        lo, hi = np.searchsorted(idx, at), np.searchsorted(idx, at, side="right")
+        size = names["n"].to_numpy()
+        most = size - np.array([need(int(x), share) for x in size]) + 1 - (size - (hi - lo))     # behind the unshared
+        node = names["node"].to_numpy()
+        short = [(np.full(m, v), key[a:a + m]) for v, a, m in zip(node, lo, most) if m > 0]
+        return pd.DataFrame({"node": np.concatenate([x[0] for x in short] or [[]]).astype(np.int64),
+                             "key": np.concatenate([x[1] for x in short] or [[]]).astype(np.int64)})
+
+    return (sets.select("batch", "idx", "node", "n").groupBy("batch")
+            .cogroup(shared_shingles(sets, "tokens", False).groupBy("batch"))
+            .applyInPandas(pick_rarest, "node long, key long"))
 
 
 def _find(root: np.ndarray, i: int) -> int:
@@ -277,20 +368,20 @@ def jaccard_join(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, shingle: int
     ``kept`` marks the row that stands for its component (of repeated rows, all)."""
     small_batches(docs.sparkSession)
     texts = _texts(docs)
-    rows = staged(signatures(texts, shingle), "jaccard-rows")
+    rows = staged(signatures(texts, shingle, share), "jaccard-rows")
     of_set = ["n", "s1", "s2"]
     classes = staged(
         rows.where("n > 0").groupBy(*of_set).agg(
             F.min(F.struct(*KEY)).alias("rep"), F.count(F.lit(1)).alias("copies"))
         .select(F.monotonically_increasing_id().alias("node"), *of_set, "rep", "copies"), "jaccard-classes")
-    # clusters: classes tied by an equal part
-    reps = classes.select("node", "rep.*").hint("merge")
-    part = dealt_parts(texts, shingle, share).join(reps, KEY).select("node", F.explode("parts").alias("part"))
-    # moved once: the least class of a part comes first, no join back
-    first = Window.partitionBy("part").orderBy("node").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    tied = part.withColumn("hub", F.min("node").over(first)).where("node <> hub")
-    clusters = components(tied.select(F.col("node").alias("a"), F.col("hub").alias("b")))
-    members = staged(classes.join(clusters, "node").withColumnRenamed("root", "cluster"), "jaccard-members")
+    left = staged(classes.join(promising(rows, share), of_set).select("node", "n", "copies", "rep.*"), "jaccard-left")
+    sets = staged(filled(texts, left, shingle), "jaccard-sets")
+    # clusters: sets with a shingle of their short lists in common
+    short = staged(short_lists(sets, share), "jaccard-short")
+    least = short.groupBy("key").agg(F.min("node").alias("hub"))
+    tied = short.join(least, "key").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    clusters = components(tied)
+    members = staged(sets.select("node", "n").join(clusters, "node").withColumnRenamed("root", "cluster"), "jaccard-members")
     # small clusters share a group of about block_tokens shingles; large ones are dealt into blocks
     sizes = members.groupBy("cluster").agg(F.sum("n").alias("tokens"))
     small = sizes.where(F.col("tokens") <= block_tokens).agg(F.sum("tokens")).first()[0] or 0
@@ -300,18 +391,9 @@ def jaccard_join(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, shingle: int
         "cluster", F.when(large, F.col("cluster")).otherwise(-1 - F.pmod(F.xxhash64("cluster"), F.lit(bins))).alias("grp"),
         F.when(large, F.ceil(F.col("tokens") / block_tokens)).otherwise(1).cast("int").alias("blocks"))
     dealt = members.join(sizes, "cluster").select(
-        "node", "n", "s1", "s2", "copies", "rep.*", "grp", "blocks",
-        F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"))
-
-    def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = Words()
-        for b in batches:
-            tokens = [shingle_set(t, words, shingle).view(np.int64) for t in b["text"]]
-            yield b.drop(columns="text").assign(tokens=tokens)
-
-    filled = (texts.join(dealt, KEY).select("node", "n", "copies", "grp", "blocks", "block", "text")
-              .mapInPandas(fill, "node long, n long, copies long, grp long, blocks int, block int, tokens array<long>"))
-    paired = filled.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "node", "grp", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"))
+    gathered = sets.select("node", "n", "copies", "tokens").join(dealt, "node")
+    paired = gathered.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "node", "n", "copies", "grp", "block", F.least("block", "other").alias("block_a"),
         F.greatest("block", "other").alias("block_b"), "tokens")
     found = staged(paired.groupBy("grp", "block_a", "block_b").applyInPandas(

@@ -3,6 +3,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from shelfcast.llm import components, decontam, jaccard_join
@@ -116,34 +117,60 @@ def test_divide_skip_equals_counting():
     assert got == want and len(want) > 100
 
 
-def test_similar_sets_always_share_a_part():
+def similar(rng, a, share):
+    """A set that is just similar enough to ``a``."""
+    num, den = share
+    b = a
+    while True:                                               # spoil shingles as long as the pair stays similar
+        c = b[rng.permutation(len(b))]
+        c = np.unique(np.concatenate([c[1:], rng.integers(0, 2 ** 63, int(rng.integers(0, 2))).astype(np.uint64)]))
+        common = len(np.intersect1d(a, c))
+        if not len(c) or den * common < num * (len(a) + len(c) - common):
+            return b
+        b = c
+
+
+def test_heads_of_similar_sets_share_enough():
     rng = np.random.default_rng(11)
-    for n in [*range(9, 40), 95, 96, 97, 200, 333, 1000]:
-        for _ in range(20):
-            a = np.unique(rng.integers(0, 2 ** 63, n).astype(np.uint64))
-            b = a
-            while True:                                       # spoil shingles as long as the pair stays similar
-                c = b[rng.permutation(len(b))]
-                c = np.unique(np.concatenate([c[1:], rng.integers(0, 2 ** 63, int(rng.integers(0, 2))).astype(np.uint64)]))
-                common = len(np.intersect1d(a, c))
-                if not len(c) or 100 * common < 90 * (len(a) + len(c) - common):
-                    break
-                b = c
-            tops = jaccard_join.levels(4 * len(a))
-            if not np.array_equal(a, b):
-                assert np.intersect1d(jaccard_join.part_keys(a, tops), jaccard_join.part_keys(b, tops)).size, n
-
-
-def test_long_sets_have_no_keys_of_empty_parts():
-    rng = np.random.default_rng(5)
-    for n in (2000, 20_000):
-        tops = jaccard_join.levels(2 * n)
-        a, b = (np.unique(rng.integers(0, 2 ** 63, n).astype(np.uint64)) for _ in range(2))
-        assert not np.intersect1d(jaccard_join.part_keys(a, tops), jaccard_join.part_keys(b, tops)).size
-        level = int(np.searchsorted(tops, len(a)))
-        parts, spare = jaccard_join.dealing(tops[level])
-        full = len(np.unique((a >> np.uint64(20)) % np.uint64(parts)))
-        assert 0 < parts - full <= spare
+    for share in ((9, 10), (4, 5), (17, 20), (3, 5)):
+        for n in [*range(1, 40), 95, 96, 97, 200, 333, 1000]:
+            for _ in range(10):
+                a = np.unique(rng.integers(0, 2 ** 63, n).astype(np.uint64))
+                b = similar(rng, a, share)
+                common = len(np.intersect1d(jaccard_join.head(a, share), jaccard_join.head(b, share)))
+                for x in (a, b):
+                    assert common >= jaccard_join.margin(jaccard_join.need(len(x), share)), (share, n)
+
+
+def test_shared_shingles_are_counted_over_different_sets():
+    """Two batches of one bucket: 1 stands in two sets, 2 in copies of one, 3 in one, 4 in three."""
+    pack = lambda x, t: np.array(x, dtype=t).tobytes()
+    b = pd.DataFrame({"bucket": [0, 0], "batch": [10, 11], "keys": [pack([1, 2, 4, 4], np.uint32), pack([1, 2, 3, 4], np.uint32)],
+                      "idx": [pack([0, 0, 0, 1], np.uint16), pack([7, 8, 7, 9], np.uint16)],
+                      "tags": [pack([50, 50, 50, 51], np.uint32), pack([60, 50, 60, 61], np.uint32)]})
+    got = {r.batch: (np.frombuffer(r.keys, np.uint32).tolist(), np.frombuffer(r.idx, np.uint16).tolist(), list(r.df))
+           for r in jaccard_join._answer(b).itertuples()}
+    assert got == {10: ([1, 4, 4], [0, 0, 1], [2, 3, 3]), 11: ([1, 4], [7, 9], [2, 3])}
+
+
+def test_filter_rules_nothing_in_out(spark):
+    th = [3, -1, 2 ** 62, -2 ** 63, 1 << 25, 77]
+    table = jaccard_join._filter(spark.createDataFrame([(x,) for x in th], "th long"))
+    on = lambda x: table[x % jaccard_join.FILTER_BITS // 8] >> (x % 8) & 1
+    assert all(on(x) for x in th) and not any(on(x) for x in (4, 78, 2 ** 61 + 1))
+    assert len(table) * 8 == jaccard_join.FILTER_BITS
+
+
+def test_equal_rows_meet_once(spark):
+    """3,000 equal rows without an id and one near copy: two sets are searched, and all rows are linked."""
+    base = [f"w{i}" for i in range(60)]
+    data = [(None, " ".join(base), "en", "s", 1)] * 3000 + [(7, " ".join([*base[:59], "other"]), "en", "s", 1)]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long").repartition(5)
+    got = jaccard_join.join_documents(df).groupBy("doc_id", "component_id", "n_links").count().collect()
+    assert sorted(map(tuple, got), key=repr) == [(7, 7, 3000, 1), (None, 7, 3000, 3000)]
+    texts = jaccard_join._texts(df)
+    left = texts.drop("text").distinct().selectExpr("th as node", "58L as n", "1L as copies", "no_id", "doc_id", "th")
+    assert jaccard_join.filled(texts, left).count() == 2
 
 
 def test_components_of_chains_and_stars(spark):

@@ -7,7 +7,8 @@ from shelfcast.llm import quality_crf
 from shelfcast.llm.common import DOC_COLS, table
 from tests.llm.cases import ROWS
 from tests.llm.test_dedup_shard_mix import brute_targets, shard_of
-from tests.llm.test_pairs import brute_join, brute_leaks
+from tests.llm.test_near_copies import brute_near
+from tests.llm.test_pairs import brute_leaks
 
 
 def test_stages_one_after_the_other(spark, sf_small):
@@ -26,7 +27,7 @@ def test_stages_one_after_the_other(spark, sf_small):
             assert all(labels.get(d, 1) == 1 for d in ids) and len([d for d in was if labels.get(d) == 1]) <= len(ids)
             assert {d for d in was if labels.get(d) == 1} <= set(ids)
         elif name == "near_dups":
-            assert sorted(ids) == sorted({c for _, _, c, _ in brute_join(before)})
+            assert sorted(ids) == brute_near(before)
         elif name == "decontaminate":
             bench = [tuple(r) for r in table(spark, sf_small, "benchmark").collect()]
             bad = {d for d, _ in brute_leaks(before, bench)}
