@@ -2,7 +2,8 @@
 from __future__ import annotations
 
 from shelfcast.llm import (
-    chat_format, decontam, exact_dedup, jaccard_join, mixing, ppm_langid, quality_crf, secret_scan, sharding, url_filter,
+    chat_format, decontam, exact_dedup, jaccard_join, mixing, ppm_langid, quality_crf, secret_scan, sharding,
+    simplex_cluster, toxicity, url_filter, whitening,
 )
 from shelfcast.llm.common import table
 
@@ -17,6 +18,10 @@ QUERIES = {
     "op8_ppm_language": lambda spark, sf: ppm_langid.identify(table(spark, sf, "documents")),
     "op9_bm25_decontam": lambda spark, sf: decontam.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark")),
     "op10_content_sort_dedup": lambda spark, sf: exact_dedup.exact_dedup(table(spark, sf, "documents")),
+    "op11_simplex_clusters": lambda spark, sf: simplex_cluster.cluster_vectors(table(spark, sf, "embeddings")),
+    "op12_cholesky_whitening": lambda spark, sf: whitening.whiten_vectors(table(spark, sf, "embeddings")),
+    "op13_viterbi_toxicity": lambda spark, sf: toxicity.score_documents(
+        table(spark, sf, "documents"), table(spark, sf, "labels")),
 }
 
 ORACLES = {
@@ -24,4 +29,5 @@ ORACLES = {
     "op3_chat_rotation": chat_format.ORACLE,
     "op5_source_mix": mixing.ORACLE,
     "op10_content_sort_dedup": exact_dedup.ORACLE,
+    "op11_simplex_clusters": simplex_cluster.ORACLE,
 }

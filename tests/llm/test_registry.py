@@ -8,9 +8,9 @@ import __spark_entry__ as E
 from shelfcast.llm.queries import ORACLES, QUERIES
 
 
-def test_ten_operators_and_the_pipeline():
+def test_thirteen_operators_and_the_pipeline():
     ops = {k for k in E.queries() if k.startswith("op") and k[2:].split("_")[0].isdigit()}
-    assert sorted(int(k[2:].split("_")[0]) for k in ops) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in ops) == list(range(1, 14))
     assert "pipeline" in E.queries()
 
 
