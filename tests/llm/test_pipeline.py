@@ -42,7 +42,8 @@ def test_stages_one_after_the_other(spark, sf_small):
                 taken[source[d]] += size[d]
             want = brute_targets(total)
             longest = {s: max(size[d] for d in was if source[d] == s) for s in total}
-            assert all(abs(taken[s] - want[s]) <= longest[s] / 2 + 3 * 64 for s in total)
+            assert all(abs(taken[s] - want[s]) <= longest[s] + 1 for s in total)
+            assert {s for s in total if total[s]} == {r["source"] for r in after}
             assert max(Counter(ids).values()) <= 2
         else:
             assert sorted(ids) == sorted(was)
