@@ -8,13 +8,21 @@ rows, joined to the test rows by ``id``; neither needs an exchange.
 from __future__ import annotations
 
 import datetime as dt
+import sys
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions.numeric import cents, money
+from shelfcast.operators import boosting
 from shelfcast.operators.series import DateAxis, date_axis
-from shelfcast.session import checkpoint_root
+
+# functions of this module travel to the executors with the job
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 HORIZON = 28
 PERIOD = 7
@@ -107,36 +115,71 @@ def demand_features(silver: DataFrame) -> DataFrame:
     return rolling_mean_features(lag_features(base))
 
 
-MAX_TRAIN_ROWS = 20_000
+def train_demand_model(train: DataFrame, features=FEATURES, max_iter: int = 200, step_size: float = 0.05,
+                       leaves: int = 31, least: int = 20) -> boosting.BoostedTrees:
+    """Gradient-boosted trees on every feature row; nulls in features -> 0.
 
+    The settings of the reference's booster: ``max_iter`` rounds, rate ``step_size``, trees grown
+    leaf by leaf up to ``leaves`` leaves of ``least`` rows or more.  Nothing is sampled, so there is no seed."""
+    return boosting.fit(train, list(features), "units", rounds=max_iter, rate=step_size, leaves=leaves, least=least)
 
-def train_demand_model(train: DataFrame, features=FEATURES, max_iter: int = 200,
-                       step_size: float = 0.05, max_depth: int = 5, seed: int = 42,
-                       max_rows: int = MAX_TRAIN_ROWS):
-    """Gradient-boosted trees on the feature rows; nulls in features -> 0.
 
-    Same model family and settings as the reference's booster (200 rounds,
-    rate 0.05, about 31 leaves ~ depth 5, seed 42), trained by Spark ML on about
-    ``max_rows`` of the labelled rows (by hash of id and date).  The lineage of the rounds
-    is cut every ten of them.  Returns the fitted pipeline model.
-    """
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import GBTRegressor
+def predict_demand(model, rows: DataFrame) -> DataFrame:
+    """id, date, units, predicted_units of feature rows."""
+    return model.transform(rows).select("id", "date", "units", F.col("prediction").alias("predicted_units"))
+
+
+def _shifted(past: np.ndarray, k: int) -> np.ndarray:
+    return past[:, -k] if past.shape[1] >= k else np.full(len(past), np.nan)
 
-    checkpoint_root(train.sparkSession)
-    share = min(1.0, max_rows / max(1, train.count()))
-    chance = F.pmod(F.xxhash64("id", "date"), F.lit(1 << 20)) / float(1 << 20)
-    data = train.where(chance < share).na.fill(0, subset=list(features)).withColumn("label", F.col("units").cast("double"))
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-    gbt = GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter,
-                       stepSize=step_size, maxDepth=max_depth, seed=seed, checkpointInterval=10)
-    return Pipeline(stages=[assembler, gbt]).fit(data)
 
+def _mean(past: np.ndarray, w: int) -> np.ndarray:
+    """Mean of the last ``w`` values as in training: half up at six decimals, missing until there are ``w``."""
+    return np.floor(past[:, -w:].mean(axis=1) * 1e6 + 0.5) / 1e6 if past.shape[1] >= w else np.full(len(past), np.nan)
 
-def predict_demand(model, rows: DataFrame, features=FEATURES) -> DataFrame:
-    out = model.transform(rows.na.fill(0, subset=list(features)))
-    return out.select("id", "date", "units", F.col("prediction").alias("predicted_units"))
+
+def recursive_forecasts(silver: DataFrame, model, horizon: int, calendar: DataFrame | None = None,
+                        axis: DateAxis | None = None) -> DataFrame:
+    """Steps 1..horizon after the last date by a model of ``train_demand_model``: (item_id, store_id,
+    step, predicted_units).
+
+    Each step's lags and means are over what lies before it, and from the second step on that
+    includes the predictions of the steps before.  A series needs its last 28 values only: they are
+    one row per series (an aggregate by ``id``, which Silver's buckets need no exchange for), and the
+    fold over the steps runs on many series at a time.  ``calendar``: days behind the last
+    date with the raw calendar's SNAP columns; without it no day counts as a SNAP day."""
+    axis = axis or date_axis(silver)
+    require_complete(silver, axis)
+    n, keep = axis.n_dates, min(28, axis.n_dates)
+    ahead = [axis.last + dt.timedelta(days=k) for k in range(1, horizon + 1)]
+    snap: dict = {}
+    if calendar is not None:                                 # at most one row per step
+        days = calendar.where(F.col("date").between(F.lit(ahead[0]), F.lit(ahead[-1])))
+        columns = [c for c in calendar.columns if c.startswith("snap_")]
+        for r in days.select("date", *columns).dropDuplicates(["date"]).collect():
+            snap.update({(c.removeprefix("snap_"), r["date"]): int(r[c] or 0) for c in columns})
+    df = axis.with_index(silver.select("id", "item_id", "store_id", "state_id", "date", "units"))
+    past = F.array(*[F.max(F.when(F.col("day_index") == n - keep + j, F.col("units"))).cast("double") for j in range(keep)])
+    series = df.groupBy("id", "item_id", "store_id", "state_id").agg(past.alias("past"))
+    wday = [(d.isoweekday() % 7 + 1) % 7 + 1 for d in ahead]
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if not len(b):
+                continue
+            past, out = np.array(b["past"].tolist()), []
+            for k, day in enumerate(ahead):
+                flags = [snap.get((s, day), 0) for s in b["state_id"]]
+                x = {"lag_7": _shifted(past, 7), "lag_14": _shifted(past, 14), "lag_28": _shifted(past, 28),
+                     "rolling_mean_7": _mean(past, 7), "rolling_mean_28": _mean(past, 28),
+                     "wday": np.full(len(b), wday[k], dtype=float), "snap_flag": np.array(flags, dtype=float)}
+                out.append(model.predict(np.stack([x[f] for f in model.features], axis=1)))
+                past = np.hstack([past, out[-1][:, None]])[:, -28:]
+            yield pd.DataFrame({
+                "item_id": np.repeat(b["item_id"].to_numpy(), horizon), "store_id": np.repeat(b["store_id"].to_numpy(), horizon),
+                "step": np.tile(np.arange(1, horizon + 1), len(b)), "predicted_units": np.stack(out, axis=1).ravel()})
+
+    return series.mapInPandas(fold, "item_id string, store_id string, step int, predicted_units double")
 
 
 # ------------------------------------------------------------- serving ---
@@ -145,13 +188,12 @@ MAX_SERVED_HORIZON = 90
 
 
 def forecasts_table(silver: DataFrame, models=("moving_average_28",), horizon: int = MAX_SERVED_HORIZON,
-                    period: int = PERIOD, trained=None) -> DataFrame:
+                    period: int = PERIOD, trained=None, calendar: DataFrame | None = None) -> DataFrame:
     """Forecasts for every series, steps 1..horizon after the last date, from all
     history: (item_id, store_id, model, step, date, predicted_units).
 
     ``models``: baseline names, and ``gbt`` with a model of ``train_demand_model`` as
-    ``trained`` (its lags and rolling means are held at their last values, so every step
-    of a weekday gets that weekday's prediction).  Steps come from ``sequence``."""
+    ``trained`` (see ``recursive_forecasts``).  Steps come from ``sequence``."""
     axis = date_axis(silver)
     n = axis.n_dates
     df = axis.with_index(silver.select("id", "item_id", "store_id", "date", "units"))
@@ -181,13 +223,8 @@ def forecasts_table(silver: DataFrame, models=("moving_average_28",), horizon: i
         parts.append(per_series.select("item_id", "store_id", F.inline("v")).select("item_id", "store_id", "model", "cycle", step).select(
             *cols, F.element_at("cycle", ((F.col("step") - 1) % F.size("cycle") + 1).cast("int")).alias("predicted_units")))
     if "gbt" in models:
-        last = demand_features(silver).where(F.col("date") == F.lit(axis.last)).drop("wday", "snap_flag")
-        names = silver.groupBy("id").agg(F.first("item_id").alias("item_id"), F.first("store_id").alias("store_id"))
-        ahead = last.join(names, "id").select("*", step).withColumn("date", F.date_add(F.lit(axis.last), F.col("step")))
-        ahead = ahead.withColumn("wday", (F.dayofweek("date") % 7 + 1).cast("int")).withColumn("snap_flag", F.lit(0))
-        scored = trained.transform(ahead.na.fill(0, subset=FEATURES))
-        parts.append(scored.select("item_id", "store_id", F.lit("gbt").alias("model"), "step",
-                                   F.col("prediction").alias("predicted_units")))
+        parts.append(recursive_forecasts(silver, trained, horizon, calendar, axis).select(
+            "item_id", "store_id", F.lit("gbt").alias("model"), "step", "predicted_units"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -521,8 +521,15 @@ oracle("forecasts_table", "SELECT * FROM served", SERVED)
 oracle("forecast_lookup", """
 SELECT item_id, store_id, 28 AS horizon_days, date, predicted_units FROM served
 WHERE model = 'moving_average_28' AND step <= 28""", SERVED)
+# the calendar is dense, so a series has a row for every day
 oracle("train_demand_model", """
-SELECT COUNT(*) AS n_test, COUNT(*) AS n_predicted, true AS beats_zero FROM silver, span s WHERE silver.date >= s.b - 27""")
+SELECT CAST((SELECT COUNT(*) FROM series) * (date_diff('day', a, b) + 1 - 28) AS BIGINT) AS n_train, true AS leaves_kept,
+       (SELECT COUNT(*) FROM series) * 28 AS n_test, (SELECT COUNT(*) FROM series) * 28 AS n_predicted, true AS beats_zero FROM span""")
+oracle("forecast_recursive", """
+SELECT store_id, COUNT(*) AS n_rows, COUNT(DISTINCT item_id) AS n_items, CAST(SUM(step) AS BIGINT) AS sum_steps,
+       CAST(MIN(b + CAST(step AS INTEGER)) AS DATE) AS first_date, CAST(MAX(b + CAST(step AS INTEGER)) AS DATE) AS last_date,
+       CAST(0 AS BIGINT) AS n_wrong
+FROM series, span, (SELECT unnest(range(1, 91)) AS step) GROUP BY store_id""")
 oracle("store_kpis", f"""
 SELECT t.store_id, t.total_revenue, t.avg_daily_units, COALESCE(a.n, 0) AS abc_a_products
 FROM (SELECT store_id, CAST(SUM(CAST(revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue,

@@ -458,19 +458,45 @@ register("forecast_seasonal_naive")(_model_forecast(["seasonal_naive_7"]))
 register("forecast_moving_average")(_model_forecast(["moving_average_7", "moving_average_28"]))
 
 
+_MODEL: dict[tuple, object] = {}
+
+
+def _demand_model(spark, sf_dir):
+    """The model fitted on all training rows, once per application and folder; (model, its test rows)."""
+    key = _key(spark, sf_dir)
+    train, test = se.cutoff_split(fc.demand_features(silver(spark, sf_dir)), "date", cutoff(spark, sf_dir))
+    if key not in _MODEL:
+        _MODEL[key] = fc.train_demand_model(train)
+    return _MODEL[key], test
+
+
 @register("train_demand_model")
 def q_train_demand_model(spark, sf_dir):
-    """Facts of the trained model that any engine can check: its test rows, how many got a
-    prediction, and whether its mean squared error (the loss it is fitted to) is below that of
+    """Facts of the trained model that any engine can check: how many rows it was fitted on (all
+    before the cut-off), its test rows and how many got a prediction, that no tree has more than
+    31 leaves, and whether its mean squared error (the loss it is fitted to) is below that of
     predicting zero.  Absolute error would not do: on sparse series zero is its best constant."""
-    feats = fc.demand_features(silver(spark, sf_dir))
-    train, test = se.cutoff_split(feats, "date", cutoff(spark, sf_dir))
-    out = fc.predict_demand(fc.train_demand_model(train), test)
+    model, test = _demand_model(spark, sf_dir)
+    out = fc.predict_demand(model, test)
     return out.agg(
+        F.lit(model.rows).cast("long").alias("n_train"), F.lit(max(t.leaves() for t in model.trees) <= 31).alias("leaves_kept"),
         F.count(F.lit(1)).alias("n_test"), F.count("predicted_units").alias("n_predicted"),
         (F.avg((F.col("units") - F.col("predicted_units")) ** 2) < F.avg(F.col("units") ** 2)).alias("beats_zero"))
 
 
+@register("forecast_recursive")
+def q_forecast_recursive(spark, sf_dir):
+    """The trained model 90 steps ahead of the last date, as facts per store: its rows and series, the
+    steps' sum, and how many rows have no prediction or one that can't be."""
+    s = silver(spark, sf_dir)
+    out = fc.forecasts_table(s, ("gbt",), trained=_demand_model(spark, sf_dir)[0])
+    low, high = s.agg(F.min("units"), F.max("units")).first()
+    wrong = ~F.coalesce(F.col("predicted_units").between(float(low) - 0.5 * (high - low), float(high)), F.lit(False))
+    return out.groupBy("store_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("item_id").alias("n_items"), F.sum("step").alias("sum_steps"),
+        F.min("date").alias("first_date"), F.max("date").alias("last_date"), F.count_if(wrong).alias("n_wrong"))
+
+
 def _metric(col: str):
     def run(spark, sf_dir):
         return _evaluated(spark, sf_dir).select("model", col)
