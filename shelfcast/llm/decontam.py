@@ -7,16 +7,18 @@ by the score of its own words, so one threshold holds for all items.  Postings l
 in blocks of items; a passage whose terms' block maxima don't reach the threshold
 skips that block, and within the others WAND moves from pivot to pivot.  All items
 above the threshold are retrieved, then verified: the words of question and answer
-must be in the passage, each with at least ``OVERLAP`` of its five-word shingles.
+must be in the passage, each with at least ``OVERLAP`` of its five-word shingles, or that
+much of the item as a whole (so a copy whose short last sentence is cut or edited counts).
 
-The index is broadcast in slices of at most ``SLICE_ITEMS`` items (so its size is
-bounded by a parameter), and the documents, the larger side, are read once per slice
-and never moved.
+Repeated items are indexed once and joined back.  The index is broadcast in slices of at most
+``SLICE_ITEMS`` items and ``SLICE_BYTES`` of text (and one item), one after the other: the driver and the
+tasks hold one slice at a time.  The documents, the larger side, are read once per
+slice and never moved.
 
 Words are runs of letters and digits, lower-cased.  An item's answer is its last
 sentence if there are several (a part shorter than five words is one shingle).
 
-Defined cases: null and word-free texts and items match nothing; repeated documents
+Defined cases: null and word-free texts and items match nothing; an item above ``SLICE_BYTES`` is refused; repeated documents
 are each reported, repeated items too; an empty corpus or benchmark gives an empty
 result; extra columns are ignored; rows with null ids are reported under null.
 """
@@ -30,10 +32,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import pick, small_batches
+from shelfcast.llm.common import pick, small_batches, staged
+from shelfcast.operators import prefix
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6            # of an item's own score
@@ -41,6 +44,7 @@ OVERLAP = 0.8              # of the five-word shingles
 SHINGLE = 5
 BLOCK_ITEMS = 4
 SLICE_ITEMS = 2_000
+SLICE_BYTES = 4 << 20
 SLACK = 1e-4               # of the bounds, which are summed in single precision
 TOKEN = re.compile(r"[^\W_]+")
 SENTENCE = re.compile(r"(?<=[.!?])\s+")
@@ -82,7 +86,7 @@ class Index:
         kept = [(i, t, tokens(t)) for i, t in items]
         kept = sorted((x for x in kept if x[2]), key=lambda x: len(x[2]))   # alike lengths share blocks
         self.ids = [x[0] for x in kept]
-        self.parts = [tuple(shingles(p) for p in question_answer(x[1])) for x in kept]
+        self.parts = [tuple(shingles(p) for p in (*question_answer(x[1]), x[2])) for x in kept]
         self.longest = max((len(x[2]) for x in kept), default=0)
         self.blocks = -(-len(kept) // BLOCK_ITEMS)
         raw = []
@@ -140,8 +144,8 @@ class Index:
         return out
 
     def search(self, texts: list[str | None], threshold: float = THRESHOLD,
-               overlap: float = OVERLAP) -> list[tuple[int, int, float, float, float]]:
-        """(text, item, score, question share, answer share) of the verified matches, best passage each."""
+               overlap: float = OVERLAP) -> list[tuple[int, int, float, float, float, float]]:
+        """(text, item, score, shares of question, answer and whole item) of the verified matches, best passage each."""
         if not self.ids:
             return []
         half, get = self.longest, self.terms.get
@@ -167,7 +171,7 @@ class Index:
         nxt = np.zeros_like(bound)
         same = owner_a[1:] == owner_a[:-1]
         nxt[:-1][same] = bound[1:][same]
-        best: dict[tuple[int, int], tuple[float, float, float]] = {}
+        best: dict[tuple[int, int], tuple[float, ...]] = {}
         for s in np.flatnonzero((bound + nxt >= threshold - SLACK).any(axis=1)):
             i, at = owner[s], first[s]
             words, have = words_of[i][at:at + 2 * half], None
@@ -176,59 +180,79 @@ class Index:
             for b in np.flatnonzero(self.maxima[terms].sum(axis=0) >= threshold - SLACK):
                 for item, score in self.wand(terms[self.maxima[terms, b] > 0].tolist(), int(b), threshold):
                     have = shingles(words) if have is None else have
-                    q, a = (found(p, words, have) for p in self.parts[item])
-                    if q >= overlap and a >= overlap and (score, q, a) > best.get((i, item), (0.0, 0.0, 0.0)):
-                        best[i, item] = (score, q, a)
+                    q, a, whole = (found(p, words, have) for p in self.parts[item])
+                    if (min(q, a) >= overlap or whole >= overlap) and (score, q, a, whole) > best.get((i, item), (0.0,)):
+                        best[i, item] = (score, q, a, whole)
         return [(i, item, *x) for (i, item), x in sorted(best.items())]
 
 
-def _slices(spark: SparkSession, benchmark: DataFrame, slice_items: int) -> list[Broadcast]:
-    """Arguments of the index, broadcast, for each slice of the items that have words."""
-    small_batches(spark)
+def _items(benchmark: DataFrame) -> DataFrame:
+    """item, text, w (its words), slice: distinct texts that have words; written, so that numbers stay."""
+    small_batches(benchmark.sparkSession)
 
     @F.pandas_udf("array<string>")
     def words(texts: pd.Series) -> pd.Series:
         return texts.map(tokens)
 
-    items = pick(benchmark, "item_id", "text").where("text IS NOT NULL").withColumn("w", words("text"))
-    items = items.where(F.size("w") > 0)
-    n_items, n_words = items.agg(F.count(F.lit(1)), F.sum(F.size("w"))).first()
-    if not n_items:
-        return []
-    # the statistics are those of all items, so that slices score alike
-    freq = items.select(F.explode(F.array_distinct("w")).alias("w")).groupBy("w").count()
-    n, out = -(-n_items // slice_items), []
-    for k in range(n):
-        some = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
-        rows = [(r["item_id"], r["text"]) for r in some.select("item_id", "text").orderBy("item_id", "text").collect()]
+    texts = pick(benchmark, "text").where("text IS NOT NULL").distinct().select(
+        F.xxhash64("text").alias("h"), "text", F.octet_length("text").cast("long").alias("bytes"), F.lit(1).cast("long").alias("one"))
+    numbered = prefix.running(texts, [("h", True), ("text", True)], {"item": ("sum", "one"), "before": ("sum", "bytes")}, exclusive=True)
+    # both counts only grow, so rows with one sum of quotients share both: a slice is within both bounds
+    cut = F.expr(f"item DIV {SLICE_ITEMS}") + F.expr(f"before DIV {SLICE_BYTES}")
+    return staged(numbered.select(F.col("item").cast("long").alias("item"), "text", "bytes", cut.cast("long").alias("slice"),
+                                  words("text").alias("w")).where(F.size("w") > 0), "decontam-items")
+
+
+def _slices(items: DataFrame) -> Iterator[Broadcast]:
+    """Arguments of the index of each slice in turn; the one before is released."""
+    spark = items.sparkSession
+    n_items, n_words, largest = items.agg(F.count(F.lit(1)), F.sum(F.size("w")), F.max("bytes")).first()
+    if (largest or 0) > SLICE_BYTES:
+        raise ValueError(f"an item of {largest} bytes is above the {SLICE_BYTES} bytes of a slice")
+    # the statistics are those of all distinct items, so that slices score alike
+    freq = staged(items.select(F.explode(F.array_distinct("w")).alias("w")).groupBy("w").count(), "decontam-words")
+    for (k,) in items.select("slice").distinct().orderBy("slice").toLocalIterator():
+        some = items.where(F.col("slice") == k)
+        rows = [(r["item"], r["text"]) for r in some.select("item", "text").orderBy("item").collect()]
         own = some.select(F.explode("w").alias("w")).distinct()
         df = {r["w"]: r["count"] for r in freq.join(own, "w").collect()}
-        out.append(spark.sparkContext.broadcast((rows, n_items, df, n_words / n_items)))
-    return out
+        yield spark.sparkContext.broadcast((rows, n_items, df, n_words / n_items))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, slice_items: int = SLICE_ITEMS) -> DataFrame:
-    """doc_id, item_id, score, question, answer: one row for each verified match (and row of ``docs``)."""
+def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, item_id, score, question, answer, whole: one row for each verified match (and row of
+    ``docs`` and of ``benchmark``)."""
     spark = docs.sparkSession
-    schema = "doc_id long, item_id long, score double, question double, answer double"
+    schema = "doc_id long, item long, score double, question double, answer double, whole double"
+    items = _items(benchmark)
     out = spark.createDataFrame([], schema)
-    for index in _slices(spark, benchmark, slice_items):
+    for index in _slices(items):
         def search(batches: Iterator[pd.DataFrame], index=index) -> Iterator[pd.DataFrame]:
             built = Index(*index.value)
             for b in batches:
                 got = built.search(b["text"].tolist())
                 yield pd.DataFrame({
                     "doc_id": b["doc_id"].iloc[[g[0] for g in got]].reset_index(drop=True),
-                    "item_id": pd.array([built.ids[g[1]] for g in got], dtype="Int64"),
+                    "item": pd.array([built.ids[g[1]] for g in got], dtype="Int64"),
                     "score": [round(g[2], 6) for g in got], "question": [round(g[3], 6) for g in got],
-                    "answer": [round(g[4], 6) for g in got]})
-        out = out.unionByName(pick(docs, "doc_id", "text").mapInPandas(search, schema))
-    return out
+                    "answer": [round(g[4], 6) for g in got], "whole": [round(g[5], 6) for g in got]})
+        out = out.unionByName(staged(pick(docs, "doc_id", "text").mapInPandas(search, schema), "decontam-matches"))
+        index.unpersist()
+    ids = pick(benchmark, "item_id", "text").join(items.select("item", "text"), "text").select("item", "item_id")
+    return out.join(ids, "item").select("doc_id", "item_id", "score", "question", "answer", "whole")
+
+
+def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` without any verified match; its columns stay as they are.
 
+    With several slices what each leaves is written for the next one."""
+    held = None
+    for index in _slices(_items(benchmark)):
+        if held is not None:
+            docs = staged(docs, "decontam-left")
+            held.unpersist()
+        held = index
 
-def clean(docs: DataFrame, benchmark: DataFrame, slice_items: int = SLICE_ITEMS) -> DataFrame:
-    """The rows of ``docs`` without any verified match; its columns stay as they are."""
-    for index in _slices(docs.sparkSession, benchmark, slice_items):
         def keep(batches: Iterator[pd.DataFrame], index=index) -> Iterator[pd.DataFrame]:
             built = Index(*index.value)
             for b in batches:

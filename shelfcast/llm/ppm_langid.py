@@ -139,7 +139,10 @@ def fit_ppm(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Model:
     sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     chance = hash52(F.lit("ppm"), F.col("doc_id")) / float(1 << 52)
     sample = (rows.join(bounded_broadcast(sizes, 10_000), "lang")
-              .where(chance * F.col("n") < train_docs).select("lang", "text"))
+              .where(chance * F.col("n") < train_docs)
+              # of a doc_id's rows in a language one, the least by hash: a repeated row counts once
+              .groupBy("lang", "doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("th"), "text")).alias("first"))
+              .select("lang", "first.text"))
     counts = (sample.mapInPandas(_count, "lang string, key long, n long")
               .groupBy("lang", "key").agg(F.sum("n").alias("n")).toArrow())
     return Model(np.array(counts["lang"].to_pylist(), dtype=object), counts["key"].to_numpy(), counts["n"].to_numpy())

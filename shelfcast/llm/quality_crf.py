@@ -6,7 +6,7 @@ backward passes give each line's marginal; a document's score is the mean margin
 of ``good``, weighted by the lines' lengths.
 
 The field is fitted on the lines of at most ``TRAIN_DOCS`` labelled documents (least
-hash of doc_id; each line takes its document's label), never on held-out ones.
+hash of doc_id, one row of each; a line takes its document's label), never on held-out ones.
 Features are extracted on the executors; only this bounded sample's features come to
 the driver.  Scoring reads every whole text once and moves nothing.
 
@@ -161,7 +161,10 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> F
              .where(~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
              .orderBy(hash52(F.lit("crf"), F.col("doc_id")), "doc_id").limit(train_docs))
-    sample = pick(docs, "doc_id", "text").where("text IS NOT NULL").join(F.broadcast(known), "doc_id")
+    # of a doc_id's rows one, the least by hash: the bound is one on rows
+    first = F.min(F.struct(F.xxhash64("text").alias("th"), "text")).alias("first")
+    sample = (pick(docs, "doc_id", "text").where("text IS NOT NULL").join(F.broadcast(known), "doc_id")
+              .groupBy("doc_id", "quality").agg(first).select("doc_id", "quality", "first.text"))
     got = sample.select("doc_id", "quality", "text").mapInPandas(_lines, "doc_id long, quality int, x array<double>").toArrow()
     if not got.num_rows or len(set(got["quality"].to_pylist())) < 2:
         return None

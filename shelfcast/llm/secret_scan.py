@@ -3,8 +3,9 @@
 One pass over the texts finds the base patterns (``assign``, ``access``, ``hex``)
 and bare candidate tokens (long, letters and digits mixed, high entropy).  Only
 64-bit hashes of the candidates' values leave it.  Each hash is counted over
-distinct repositories and owners: a value with ``WIDE`` owners or more is a copied
-example, one with fewer that looks random is a live credential.  Live values are
+distinct repositories and owners: a value of ``WIDE`` owners or more, or in ``WIDE_REPOS``
+repositories or more, whoever owns them, is a copied example; one with fewer of both
+that looks random is a live credential.  Live values are
 then marked wherever they stand, also where no base pattern sees them: those bare
 tokens are the spans that the method adds, kind ``owned``.
 
@@ -42,6 +43,7 @@ LEAST_ASSIGN, LEAST_ACCESS = 12, 18
 BARE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 LEAST_ENTROPY = 3.0                      # bits a character
 WIDE = 3                                 # owners that make a value a copied example
+WIDE_REPOS = 4                           # repositories that do so too
 SALTS = 16
 
 
@@ -110,11 +112,12 @@ def ownership(scanned: DataFrame) -> DataFrame:
                                   F.count(F.lit(1)).alias("n_owners")))
 
 
-def find_secrets(docs: DataFrame, wide: int = WIDE) -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_example."""
+def find_secrets(docs: DataFrame, wide: int = WIDE, wide_repos: int = WIDE_REPOS) -> DataFrame:
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_example, and of the row's
+    candidates the most owners and repositories that one has."""
     scanned = scan(docs)
     classes = ownership(scanned).select(
-        "value", (F.col("n_owners") >= wide).alias("example"),
+        "value", "n_owners", "n_repos", ((F.col("n_owners") >= wide) | (F.col("n_repos") >= wide_repos)).alias("example"),
         F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     single = scanned.where(F.size("found") > 0).select(
         "row", F.explode("found").alias("f"), F.pmod("row", F.lit(SALTS)).cast("int").alias("salt")
@@ -124,7 +127,8 @@ def find_secrets(docs: DataFrame, wide: int = WIDE) -> DataFrame:
     span = F.struct("start", "kind", "end")
     per_row = judged.groupBy("row").agg(
         F.collect_list(F.when((F.col("kind") < 3) | live, span)).alias("all"),
-        F.sum(live.cast("long")).alias("n_live"), F.sum(F.col("example").cast("long")).alias("n_example"))
+        F.sum(live.cast("long")).alias("n_live"), F.sum(F.col("example").cast("long")).alias("n_example"),
+        F.max("n_owners").alias("most_owners"), F.max("n_repos").alias("most_repos"))
     # rows without candidates need no join
     of = lambda k: F.size(F.filter("found", lambda s: s["kind"] == k)).cast("long")
     names = F.array(*[F.lit(k) for k in KINDS])
@@ -140,8 +144,8 @@ def find_secrets(docs: DataFrame, wide: int = WIDE) -> DataFrame:
             F.sha2(joined(F.sort_array(base)).cast("binary"), 256).alias("base_sha256")]
     have = scanned.where(F.size("found") > 0).select(*cols).join(per_row.hint("merge"), "row").select(
         "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", joined(F.sort_array("all")).alias("spans"),
-        "n_live", "n_example")
+        "n_live", "n_example", "most_owners", "most_repos")
     none = scanned.where(F.size("found") == 0).select(*cols).select(
         "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", F.lit("").alias("spans"),
-        F.lit(0).cast("long").alias("n_live"), F.lit(0).cast("long").alias("n_example"))
+        *[F.lit(0).cast("long").alias(c) for c in ("n_live", "n_example", "most_owners", "most_repos")])
     return have.unionByName(none)

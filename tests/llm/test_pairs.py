@@ -191,21 +191,71 @@ ITEMS = [
 ]
 
 
+def plain_words(text):
+    """Runs of letters and digits, found character by character."""
+    out, run = [], ""
+    for c in (text or "").lower() + " ":
+        if c.isalnum():
+            run += c
+        elif run:
+            out, run = [*out, run], ""
+    return out
+
+
+def runs_held(part, words):
+    """Share of the part's runs of five words (of the whole part, if shorter) that stand in ``words``."""
+    n = min(5, len(part))
+    if not n:
+        return 1.0
+    have = {" ".join(words[i:i + n]) for i in range(len(words) - n + 1)}
+    want = {" ".join(part[i:i + n]) for i in range(len(part) - n + 1)}
+    return len(want & have) / len(want)
+
+
 def brute_leaks(data, items):
+    """(doc, item) pairs by the two rules of verification; nothing is taken from the operator."""
     out = set()
     for i, text in items:
-        if not text or not decontam.tokens(text):
+        whole = plain_words(text)
+        if not whole:
             continue
-        q, a = (decontam.shingles(p) for p in decontam.question_answer(text))
+        sentences, run = [], ""
+        for k, c in enumerate(text.strip()):
+            if c.isspace() and run[-1:] in (".", "!", "?"):
+                sentences, run = [*sentences, run], ""
+            elif not (c.isspace() and not run):
+                run += c
+        parts = [p for p in map(plain_words, [*sentences, run]) if p]
+        q, a = (sum(parts[:-1], []), parts[-1]) if len(parts) > 1 else (whole, [])
         for d, t, *_ in data:
-            w = decontam.tokens(t)
-            have = decontam.shingles(w)
-            if w and decontam.found(q, w, have) >= 0.8 and decontam.found(a, w, have) >= 0.8:
+            w = plain_words(t)
+            if w and (min(runs_held(q, w), runs_held(a, w)) >= 0.8 or runs_held(whole, w) >= 0.8):
                 out.add((d, i))
     return out
 
 
-def test_decontamination_defined_cases(spark, docs):
+def test_a_copy_without_the_last_word_is_found(spark):
+    item = "Which of the nine bells of the northern tower rang first on the morning of the great fire in the harbour? Third."
+    benchmark = spark.createDataFrame([(1, item), (1, item), (2, item)], "item_id long, text string")
+    data = [(1, item.replace(" Third.", "")), (2, item.replace("Third", "Fourth")), (3, " ".join(item.split()[:9])), (4, item)]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    got = [(r.doc_id, r.item_id) for r in decontam.contaminated(df, benchmark).collect()]
+    assert sorted(got) == sorted((d, i) for d in (1, 2, 4) for i in (1, 1, 2))
+    assert {r.doc_id for r in decontam.clean(df, benchmark).collect()} == {3}
+
+
+def test_slices_are_within_both_bounds(spark, monkeypatch):
+    texts = [f"item number {i} asks something " + "long " * (i % 40) for i in range(300)]
+    benchmark = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(0, texts[0])] * 500, "item_id long, text string")
+    monkeypatch.setattr(decontam, "SLICE_ITEMS", 70)
+    monkeypatch.setattr(decontam, "SLICE_BYTES", 6000)
+    sizes = [(len(r), sum(len(t) for _, t in r)) for r, *_ in (x.value for x in decontam._slices(decontam._items(benchmark)))]
+    assert len(sizes) > 4 and sum(n for n, _ in sizes) == 300 and all(n <= 70 and b <= 6000 + 300 for n, b in sizes)
+    with pytest.raises(ValueError):
+        list(decontam._slices(decontam._items(spark.createDataFrame([(1, "x " * 4000)], "item_id long, text string"))))
+
+
+def test_decontamination_defined_cases(spark, docs, monkeypatch):
     benchmark = spark.createDataFrame(ITEMS, "item_id long, text string")
     filler = " ".join(f"f{i}" for i in range(500))
     data = [(1, filler + " " + ITEMS[0][1] + " " + filler), (2, ITEMS[0][1].upper().replace(" ", "\n")), (3, None), (4, ""),
@@ -217,11 +267,12 @@ def test_decontamination_defined_cases(spark, docs):
     assert set(pairs) == brute_leaks(data, ITEMS)
     assert pairs.count((2, 1)) == 2 and (1, 5) in pairs and (None, None) in pairs and (6, 2) in pairs and (8, 6) in pairs
     assert all(r.score >= decontam.THRESHOLD for r in got)
-    sliced = decontam.contaminated(df, benchmark, slice_items=2).collect()
+    monkeypatch.setattr(decontam, "SLICE_ITEMS", 2)
+    sliced = decontam.contaminated(df, benchmark).collect()
     assert sorted(map(repr, sliced)) == sorted(map(repr, got))
     assert decontam.contaminated(df.limit(0), benchmark).collect() == []
     assert decontam.contaminated(df, benchmark.limit(0)).collect() == []
-    left = decontam.clean(df.selectExpr("*", "'k' as extra"), benchmark, slice_items=2)
+    left = decontam.clean(df.selectExpr("*", "'k' as extra"), benchmark)
     assert left.columns == ["doc_id", "text", "extra"]
     assert sorted(r.doc_id for r in left.collect()) == [3, 4, 5, 7]
 

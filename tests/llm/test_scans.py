@@ -253,3 +253,13 @@ def test_quality_held_out_accuracy(spark, sf_small):
     truth = {r.doc_id: r.quality for r in labels.collect()}
     held = [r for r in quality_crf.classify(docs, labels).collect() if r.held_out and r.doc_id in truth]
     assert len(held) > 10 and sum(r.predicted == truth[r.doc_id] for r in held) / len(held) > 0.9
+
+
+def test_a_value_in_many_repositories_of_few_owners_is_an_example(spark):
+    wide, narrow = "here Xk29dLq83mZp01TvRw77 stands", "and Qm72kfLw93bTz05XcVn41 too"
+    data = [(1, wide, "en", "a"), (2, wide, "de", "a"), (3, wide, "en", "b"), (4, wide, "fr", "b"),
+            (5, narrow, "en", "a"), (6, narrow, "de", "a"), (7, narrow, "en", "b")]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in secret_scan.find_secrets(df).collect()}
+    assert all((got[d].spans, got[d].most_owners, got[d].most_repos, got[d].n_example) == ("", 2, 4, 1) for d in (1, 2, 3, 4))
+    assert all((got[d].spans, got[d].most_owners, got[d].most_repos, got[d].n_example) == ("owned:4:25", 2, 3, 0) for d in (5, 6, 7))
