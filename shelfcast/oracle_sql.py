@@ -530,6 +530,13 @@ SELECT store_id, COUNT(*) AS n_rows, COUNT(DISTINCT item_id) AS n_items, CAST(SU
        CAST(MIN(b + CAST(step AS INTEGER)) AS DATE) AS first_date, CAST(MAX(b + CAST(step AS INTEGER)) AS DATE) AS last_date,
        CAST(0 AS BIGINT) AS n_wrong
 FROM series, span, (SELECT unnest(range(1, 91)) AS step) GROUP BY store_id""")
+oracle("table_versions", """
+SELECT store_id, COUNT(*) AS n_rows, CAST(SUM(units) AS BIGINT) AS units, read FROM silver, (VALUES ('first'), ('after the broken write')) r(read)
+GROUP BY store_id, read
+UNION ALL SELECT store_id, COUNT(*), CAST(SUM(units) AS BIGINT), 'second' FROM silver WHERE units > 0 GROUP BY store_id""")
+oracle("upsert_years", """
+SELECT year, COUNT(*) AS n_rows, CAST(SUM(units + CASE WHEN year = 1998 AND units > 0 OR year = 2000 AND month(date) = 2 THEN 100 ELSE 0 END)
+       AS BIGINT) AS units, year NOT IN (1998, 2000) AS files_stayed FROM silver GROUP BY year""")
 oracle("store_kpis", f"""
 SELECT t.store_id, t.total_revenue, t.avg_daily_units, COALESCE(a.n, 0) AS abc_a_products
 FROM (SELECT store_id, CAST(SUM(CAST(revenue AS DECIMAL(38,2))) AS DOUBLE) AS total_revenue,

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.numeric import cents_sum
 from shelfcast.operators import gold as g
+from shelfcast.plans import manifest
 from shelfcast.session import checkpoint_root
 
 GOLD_TABLES = ["dim_product", "dim_store", "dim_calendar", "fact_sales",
@@ -38,22 +39,22 @@ def gold_tables(silver: DataFrame, series: DataFrame | None = None) -> dict[str,
 
 
 def write_tables(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str,
-                 parallel: int = 4) -> dict[str, int]:
-    """Write independent tables (Parquet, overwrite) as concurrent Spark jobs
-    and return their row counts (read back from the files).  Small jobs (the
+                 parallel: int = 4) -> dict[str, dict]:
+    """Write independent tables (Parquet, overwrite) as concurrent Spark jobs and return
+    each one's row count and fingerprint, observed while it is written.  Small jobs (the
     dimensions) no longer leave the cluster idle while they run one by one."""
     from concurrent.futures import ThreadPoolExecutor
 
     def write(item):
         name, df = item
-        path = f"{out_dir.rstrip('/')}/{name}.parquet"
-        df.write.mode("overwrite").parquet(path)
-        return name, spark.read.parquet(path).count()
+        df, seen = manifest.observed(df)
+        df.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/{name}.parquet")
+        return name, seen.get
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         return dict(pool.map(write, tables.items()))
 
 
-def write_gold(spark: SparkSession, silver: DataFrame, gold_dir: str, parallel: int = 4) -> dict[str, int]:
-    """Write the six Gold tables and return their row counts."""
+def write_gold(spark: SparkSession, silver: DataFrame, gold_dir: str, parallel: int = 4) -> dict[str, dict]:
+    """Write the six Gold tables; name -> row count and fingerprint."""
     return write_tables(spark, gold_tables(silver), gold_dir, parallel)

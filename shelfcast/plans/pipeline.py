@@ -1,7 +1,9 @@
 """Bronze -> Silver -> Gold as one job with restart points.
 
 Layers talk only through Parquet files in the work folder, so ``start_at``
-can resume from any layer.  Each layer is one lazy plan cut at its write.
+can resume from any layer.  Each layer is one lazy plan cut at its write.  A complete layer has
+a manifest (rows and fingerprint of each table, observed while it was written); a restart
+compares the layer that it builds on with it first.
 """
 from __future__ import annotations
 
@@ -10,6 +12,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfcast.plans import manifest
 from shelfcast.plans.gold import write_gold
 from shelfcast.plans.silver import open_silver, publish_silver, silver_buckets, silver_sales_daily
 from shelfcast.sources.bronze import ingest_bronze
@@ -45,12 +48,14 @@ def silver_table(work_dir: str) -> str:
     return "silver_" + hashlib.sha1(work_dir.encode()).hexdigest()[:12]
 
 
-def run_silver(spark: SparkSession, bronze_dir: str, out_path: str, table: str) -> int:
+def run_silver(spark: SparkSession, bronze_dir: str, out_path: str, table: str) -> dict:
+    """Write Silver; its row count and fingerprint."""
     read = lambda n: spark.read.parquet(f"{bronze_dir.rstrip('/')}/{n}.parquet")
     sales = read("bronze_sales")
     n = silver_buckets(sales)
-    silver = silver_sales_daily(sales, read("bronze_calendar"), read("bronze_prices"), partitions=n)
-    return publish_silver(silver, out_path, table, n).count()
+    silver, seen = manifest.observed(silver_sales_daily(sales, read("bronze_calendar"), read("bronze_prices"), partitions=n))
+    publish_silver(silver, out_path, table, n)
+    return seen.get
 
 
 def load_silver(spark: SparkSession, work_dir: str) -> DataFrame:
@@ -71,20 +76,29 @@ def run_pipeline(spark: SparkSession, raw_dir: str, work_dir: str, start_at: str
     work = work_dir.rstrip("/")
     bronze_dir, gold_dir, s_path = f"{work}/bronze", f"{work}/gold", silver_path(work)
     res = PipelineResult()
-    for layer in LAYERS[LAYERS.index(start_at):]:
+    first = LAYERS.index(start_at)
+    if first:
+        base = LAYERS[first - 1]
+        try:
+            manifest.check(spark, work, base)
+        except Exception as exc:
+            raise PipelineError(base, exc) from exc
+    for layer in LAYERS[first:]:
         t0 = time.perf_counter()
         try:
+            manifest.forget(spark, work, layer)
             if layer == "bronze":
                 b = ingest_bronze(spark, raw_dir, bronze_dir, cat, store, on_missing, null_tokens)
-                res.rows.update(b.rows)
-                res.paths.update(b.paths)
+                facts, paths = b.facts, b.paths
             elif layer == "silver":
-                res.rows["silver_sales_daily"] = run_silver(spark, bronze_dir, s_path, silver_table(work))
-                res.paths["silver_sales_daily"] = s_path
+                facts = {"silver_sales_daily": run_silver(spark, bronze_dir, s_path, silver_table(work))}
+                paths = {"silver_sales_daily": s_path}
             else:
-                counts = write_gold(spark, load_silver(spark, work), gold_dir)
-                res.rows.update(counts)
-                res.paths.update({n: f"{gold_dir}/{n}.parquet" for n in counts})
+                facts = write_gold(spark, load_silver(spark, work), gold_dir)
+                paths = {n: f"{gold_dir}/{n}.parquet" for n in facts}
+            manifest.record(spark, work, layer, {n: (paths[n], f) for n, f in facts.items()})
+            res.rows.update({n: f["rows"] for n, f in facts.items()})
+            res.paths.update(paths)
         except Exception as exc:  # stop on the first failing layer
             raise PipelineError(layer, exc) from exc
         res.seconds[layer] = time.perf_counter() - t0

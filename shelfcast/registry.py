@@ -12,6 +12,7 @@ import datetime as dt
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +35,7 @@ from shelfcast.session import scratch_path
 from shelfcast.sources import bronze as bz
 from shelfcast.sources import files
 from shelfcast.sources import fixtures
+from shelfcast.sources import versions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -216,6 +218,40 @@ def q_publish_table(spark, sf_dir):
                                scratch_path(spark, "fact-table"))
 
 
+@register("table_versions")
+def q_table_versions(spark, sf_dir):
+    """Facts by store of three versions: every sale, then one that dies while it is written, then the
+    sold days only.  The first is read through a frame that was opened before the others."""
+    root = scratch_path(spark, "versions")
+    fact = gold.fact_sales(silver(spark, sf_dir))
+    versions.publish_version(fact, root)
+    first = versions.open_version(spark, root)
+    broken = fact.withColumn("units", F.when(F.dayofmonth("date") < 28, F.col("units")).otherwise(F.raise_error(F.lit("lost")).cast("int")))
+    try:
+        versions.publish_version(broken, root)
+        raise AssertionError("a broken write was published")
+    except PySparkException:
+        unharmed = versions.open_version(spark, root)
+    versions.publish_version(fact.where("units > 0"), root)
+    opened = [("first", first), ("after the broken write", unharmed), ("second", versions.open_version(spark, root))]
+    return reduce(DataFrame.unionByName, [df.groupBy("store_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("units").alias("units")).withColumn("read", F.lit(k)) for k, df in opened])
+
+
+@register("upsert_years")
+def q_upsert_years(spark, sf_dir):
+    """Silver by year after corrected days came in: what the table holds, and how many files stayed."""
+    s = silver(spark, sf_dir).select("id", "date", "units", "year")
+    path = files.write_parquet(s, scratch_path(spark, "by-year"), partition_by=["year"])
+    names = lambda: spark.read.parquet(path).select("year", F.input_file_name().alias("file")).distinct()
+    before = files.read_parquet(spark, files.write_parquet(names(), scratch_path(spark, "names")))
+    fixed = s.where("year = 1998 AND units > 0 OR year = 2000 AND month(date) = 2").withColumn("units", F.col("units") + 100)
+    versions.upsert(spark, path, fixed, ["id", "date"], "year")
+    stayed = names().join(before, ["year", "file"], "left_semi").groupBy("year").agg(F.lit(True).alias("files_stayed"))
+    held = spark.read.parquet(path).groupBy("year").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("units").alias("units"))
+    return held.join(stayed, "year", "left").select("year", "n_rows", "units", F.coalesce("files_stayed", F.lit(False)).alias("files_stayed"))
+
+
 @register("publish_view")
 def q_publish_view(spark, sf_dir):
     return files.publish_view(gold.weekly_category_sales_sql(silver(spark, sf_dir)), "weekly_category_sales_v")

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfcast.sources.storage import exists
 from shelfcast.sources.files import PANDAS_NULL_TOKENS, read_raw_csv, write_csv
 
 log = logging.getLogger(__name__)
@@ -31,12 +32,6 @@ def write_raw(tables: dict[str, DataFrame], raw_dir: str) -> dict[str, str]:
     return paths
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Asks the file system that the path belongs to (without a scheme: the default one)."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def subset_filter(df: DataFrame, name: str, cat: str | None = None, store: str | None = None) -> DataFrame:
     """Sales: cat_id == cat and store_id == store; prices: store only;
     calendar: unfiltered.  A falsy filter means all.  The predicate is pushed
@@ -65,6 +60,7 @@ class BronzeResult:
     paths: dict[str, str]
     rows: dict[str, int]
     skipped: list[str]
+    facts: dict[str, dict]
 
 
 def read_bronze_sources(spark: SparkSession, raw_dir: str, cat: str | None = None,
@@ -74,11 +70,11 @@ def read_bronze_sources(spark: SparkSession, raw_dir: str, cat: str | None = Non
     raises when a file (or the folder) is missing, "skip" logs and skips it."""
     if on_missing not in ("error", "skip"):
         raise ValueError("on_missing must be 'error' or 'skip'")
-    if on_missing == "error" and not _exists(spark, raw_dir):
+    if on_missing == "error" and not exists(spark, raw_dir):
         raise FileNotFoundError(f"raw folder {raw_dir} does not exist")
     frames, skipped = {}, []
     for name, path in bronze_tables(raw_dir).items():
-        if not _exists(spark, path):
+        if not exists(spark, path):
             if on_missing == "error":
                 raise FileNotFoundError(path)
             log.warning("raw file %s missing, skipped", path)
@@ -98,6 +94,6 @@ def ingest_bronze(spark: SparkSession, raw_dir: str, bronze_dir: str, cat: str |
     tokens = PANDAS_NULL_TOKENS if null_tokens is None else null_tokens
     frames, skipped = read_bronze_sources(spark, raw_dir, cat, store, on_missing, tokens)
     nonempty_guard(frames)
-    rows = write_tables(spark, frames, bronze_dir, parallel=len(frames))
+    facts = write_tables(spark, frames, bronze_dir, parallel=len(frames))
     paths = {name: f"{bronze_dir.rstrip('/')}/{name}.parquet" for name in frames}
-    return BronzeResult(paths, rows, skipped)
+    return BronzeResult(paths, {n: f["rows"] for n, f in facts.items()}, skipped, facts)

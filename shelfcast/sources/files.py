@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfcast.operators.reshape import day_values
+from shelfcast.sources import versions
 from shelfcast.schemas import CALENDAR_SCHEMA, DAY_PREFIX, ID_COLS, PRICES_SCHEMA
 
 # The text pandas' read_csv treats as missing by default.
@@ -97,17 +98,16 @@ def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = Non
 
 
 def publish_table(df: DataFrame, name: str, path: str, bucket_by: str | None = None,
-                  buckets: int | None = None, sort_by: list[str] | None = None) -> DataFrame:
-    """CREATE OR REPLACE TABLE ... AS SELECT: an external table at ``path``
-    (in the shared folder), optionally bucketed so that later joins and
-    windows on the bucket key need no shuffle."""
-    w = df.write.mode("overwrite").option("path", path)
-    if bucket_by and buckets:
-        w = w.bucketBy(buckets, bucket_by)
-        if sort_by:
-            w = w.sortBy(*sort_by)
-    w.saveAsTable(name)
-    return df.sparkSession.table(name)
+                  buckets: int | None = None, sort_by: list[str] | None = None, keep: int = 2) -> DataFrame:
+    """CREATE OR REPLACE TABLE ... AS SELECT: an external table whose versions lie under ``path``
+    (in the shared folder), optionally bucketed so that later joins and windows on the bucket
+    key need no shuffle.  The table moves to the new version when that is complete; the one
+    before stays for those who read it, older ones are expired."""
+    spark = df.sparkSession
+    versions.publish_version(df, path, bucket_by=bucket_by, buckets=buckets, sort_by=sort_by or ())
+    table = versions.register_version(spark, name, path)
+    versions.expire(spark, path, keep)
+    return table
 
 
 def publish_view(df: DataFrame, name: str) -> DataFrame:

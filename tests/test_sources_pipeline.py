@@ -46,8 +46,8 @@ def test_malformed_numbers_and_foreign_headers_raise(spark, tmp_path):
 
 
 def test_paths_are_looked_up_where_spark_reads(spark, tmp_path):
-    assert bz._exists(spark, str(tmp_path)) and bz._exists(spark, f"file:{tmp_path}")
-    assert not bz._exists(spark, f"{tmp_path}/nope")
+    assert bz.exists(spark, str(tmp_path)) and bz.exists(spark, f"file:{tmp_path}")
+    assert not bz.exists(spark, f"{tmp_path}/nope")
 
 
 def test_shared_folder_is_demanded_on_a_cluster(monkeypatch):
