@@ -34,6 +34,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 UNIT = float(1 << 20)
 BLOCK_ROWS = 1 << 16
 MAX_BINS = 255
+FEW_TASKS = 16               # whose histograms (some MB each at most) may come to the driver as they are
 
 
 @dataclass
@@ -150,7 +151,7 @@ def _added_up(blocks: DataFrame, trees: list[Tree], features: int) -> DataFrame:
     return blocks.mapInPandas(add, BLOCKS)
 
 
-def _histograms(blocks: DataFrame, recent: list[Tree], tree: Tree, nodes: list[int], features: int) -> dict[int, np.ndarray]:
+def _histograms(blocks: DataFrame, tasks: int, recent: list[Tree], tree: Tree, nodes: list[int], features: int) -> dict[int, np.ndarray]:
     """node -> array (features, 256, 2): sum of residuals (in units) and number of rows in each bin."""
     place = np.full(len(tree.left), -1)
     place[nodes] = np.arange(len(nodes))
@@ -177,10 +178,12 @@ def _histograms(blocks: DataFrame, recent: list[Tree], tree: Tree, nodes: list[i
         full = np.flatnonzero(n)
         yield pd.DataFrame({"cell": full, "g": g.ravel()[full], "n": n.ravel()[full]})
 
-    got = blocks.mapInPandas(count, "cell long, g long, n long").groupBy("cell").agg(
-        F.sum("g").alias("g"), F.sum("n").alias("n")).toArrow()
+    parts = blocks.mapInPandas(count, "cell long, g long, n long")
+    if tasks > FEW_TASKS:                                    # few parts are added up here, without a shuffle
+        parts = parts.groupBy("cell").agg(F.sum("g").alias("g"), F.sum("n").alias("n"))
+    got = parts.toArrow()
     out = np.zeros((len(nodes) * features * 256, 2), dtype=np.int64)
-    out[got["cell"].to_numpy()] = np.stack([got["g"].to_numpy(), got["n"].to_numpy()], axis=1)
+    np.add.at(out, got["cell"].to_numpy(), np.stack([got["g"].to_numpy(), got["n"].to_numpy()], axis=1))
     return dict(zip(nodes, out.reshape(len(nodes), features, 256, 2)))
 
 
@@ -264,8 +267,9 @@ def fit(rows: DataFrame, features: list[str], label: str, rounds: int = 200, rat
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
     blocks, recent = spark.read.schema(BLOCKS).parquet(path).cache(), []
+    tasks = blocks.rdd.getNumPartitions()
     for done in range(1, rounds + 1):
-        tree, known = grow(lambda t, nodes: _histograms(blocks, recent, t, nodes, len(features)), leaves, least)
+        tree, known = grow(lambda t, nodes: _histograms(blocks, tasks, recent, t, nodes, len(features)), leaves, least)
         for node, first in enumerate(tree.left):
             if first < 0:
                 g, n = known[node][0].sum(axis=0)

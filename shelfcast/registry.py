@@ -495,6 +495,7 @@ register("forecast_moving_average")(_model_forecast(["moving_average_7", "moving
 
 
 _MODEL: dict[tuple, object] = {}
+QUERY_ROUNDS = 20            # of the two queries below; the model's own default is 200, a tree takes some ten passes
 
 
 def _demand_model(spark, sf_dir):
@@ -502,7 +503,7 @@ def _demand_model(spark, sf_dir):
     key = _key(spark, sf_dir)
     train, test = se.cutoff_split(fc.demand_features(silver(spark, sf_dir)), "date", cutoff(spark, sf_dir))
     if key not in _MODEL:
-        _MODEL[key] = fc.train_demand_model(train)
+        _MODEL[key] = fc.train_demand_model(train, max_iter=QUERY_ROUNDS)
     return _MODEL[key], test
 
 
