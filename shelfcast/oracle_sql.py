@@ -530,6 +530,10 @@ SELECT store_id, COUNT(*) AS n_rows, COUNT(DISTINCT item_id) AS n_items, CAST(SU
        CAST(MIN(b + CAST(step AS INTEGER)) AS DATE) AS first_date, CAST(MAX(b + CAST(step AS INTEGER)) AS DATE) AS last_date,
        CAST(0 AS BIGINT) AS n_wrong
 FROM series, span, (SELECT unnest(range(1, 91)) AS step) GROUP BY store_id""")
+ORACLES["weekly_from_states"] = ORACLES["weekly_category_sales"]
+oracle("abc_from_states", "SELECT * FROM abc", ABC)
+oracle("distinct_items_from_states", """
+SELECT cat_id, store_id, COUNT(DISTINCT item_id) FILTER (WHERE units > 0) AS n_items FROM silver GROUP BY cat_id, store_id""")
 oracle("table_versions", """
 SELECT store_id, COUNT(*) AS n_rows, CAST(SUM(units) AS BIGINT) AS units, read FROM silver, (VALUES ('first'), ('after the broken write')) r(read)
 GROUP BY store_id, read
@@ -545,6 +549,7 @@ LEFT JOIN (SELECT s.store_id, COUNT(*) AS n
            FROM (SELECT DISTINCT store_id, item_id FROM silver WHERE units > 0) s
            JOIN abc ON abc.item_id = s.item_id AND abc.abc_class = 'A' GROUP BY s.store_id) a
   ON a.store_id = t.store_id""", ABC)
+ORACLES["store_kpis_from_states"] = ORACLES["store_kpis"]
 GOLD = [
     ("abc_classification", "abc"),
     ("dim_calendar", "(SELECT DISTINCT date, wm_yr_wk, CAST(event_name_1 IS NOT NULL AS INTEGER) AS is_event FROM silver)"),

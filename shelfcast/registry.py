@@ -27,6 +27,7 @@ from shelfcast.operators import metrics as mt
 from shelfcast.operators import quality as dq
 from shelfcast.operators import reshape
 from shelfcast.operators import series as se
+from shelfcast.operators import states
 from shelfcast.plans import silver as silver_plan
 from shelfcast.plans.gold import write_gold
 from shelfcast.plans.pipeline import run_pipeline
@@ -739,6 +740,41 @@ def q_store_kpis(spark, sf_dir):
     return kpis.store_kpis(gold.fact_sales(s), gold.abc_classification(s))
 
 
+_STATES: dict[tuple, tuple] = {}
+
+
+def _states(spark, sf_dir):
+    """The state after three batches of days were added one after the other, and the item codes."""
+    key = _key(spark, sf_dir)
+    if key not in _STATES:
+        s, root = silver(spark, sf_dir), scratch_path(spark, "states")
+        for batch in (F.col("year") <= 1996, F.col("year").between(1997, 1999), F.col("year") >= 2000):
+            held = states.append_days(spark, root, s.where(batch))
+        _STATES[key] = (held, versions.open_version(spark, f"{root}/codes"))
+    return _STATES[key]
+
+
+@register("weekly_from_states")
+def q_weekly_from_states(spark, sf_dir):
+    return states.weekly_category_sales(_states(spark, sf_dir)[0])
+
+
+@register("abc_from_states")
+def q_abc_from_states(spark, sf_dir):
+    return states.abc_classification(_states(spark, sf_dir)[0])
+
+
+@register("store_kpis_from_states")
+def q_store_kpis_from_states(spark, sf_dir):
+    return states.store_kpis(*_states(spark, sf_dir))
+
+
+@register("distinct_items_from_states")
+def q_distinct_items_from_states(spark, sf_dir):
+    """Items sold per category and store over all weeks: a union of bitmaps, no count over the days."""
+    return states.distinct_items(_states(spark, sf_dir)[0], ["cat_id", "store_id"])
+
+
 @register("run_pipeline")
 def q_run_pipeline(spark, sf_dir):
     res = run_pipeline(spark, _raw_dir(spark, sf_dir), scratch_path(spark, "work"))

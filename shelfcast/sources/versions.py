@@ -40,10 +40,10 @@ def _numbered(spark: SparkSession, root: str) -> int:
 
 
 def publish_version(df: DataFrame, root: str, partition_by: Sequence[str] = (), bucket_by: str | None = None,
-                    buckets: int | None = None, sort_by: Sequence[str] = ()) -> int:
-    """Write ``df`` as the next version of the table at ``root``; returns its number."""
+                    buckets: int | None = None, sort_by: Sequence[str] = (), number: int | None = None) -> int:
+    """Write ``df`` as the next version of the table at ``root`` (or as ``number``); returns its number."""
     spark = df.sparkSession
-    version = _numbered(spark, root) + 1
+    version = number or _numbered(spark, root) + 1
     folder = f"v{version:08d}-{uuid.uuid4().hex[:12]}"
     path = f"{root.rstrip('/')}/{folder}"
     w = df.write
@@ -77,6 +77,11 @@ def open_version(spark: SparkSession, root: str, version: int | None = None) ->
     return spark.read.schema(facts["columns"]).parquet(f"{root.rstrip('/')}/{facts['folder']}")
 
 
+def retract(spark: SparkSession, root: str, version: int) -> None:
+    """Take a version back; its files go with the next ``expire``."""
+    storage.delete(spark, _manifest(root, version))
+
+
 def expire(spark: SparkSession, root: str, keep: int = 2) -> list[int]:
     """Delete all but the newest ``keep`` versions; returns the numbers that went.  A version is
     first unnamed, then its files go; folders that no manifest names (writes that died) go too."""
