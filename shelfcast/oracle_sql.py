@@ -534,6 +534,11 @@ ORACLES["weekly_from_states"] = ORACLES["weekly_category_sales"]
 oracle("abc_from_states", "SELECT * FROM abc", ABC)
 oracle("distinct_items_from_states", """
 SELECT cat_id, store_id, COUNT(DISTINCT item_id) FILTER (WHERE units > 0) AS n_items FROM silver GROUP BY cat_id, store_id""")
+oracle("csv_quarantine", """
+SELECT CASE WHEN wm_yr_wk % 40 = 3 AND store_id = 'TX_1' THEN '3 fields, not 4' WHEN wm_yr_wk % 50 = 7 THEN 'no value of its type: sell_price'
+            ELSE 'good' END AS reason, COUNT(*) AS n_lines,
+       CAST(SUM(CASE WHEN NOT (wm_yr_wk % 40 = 3 AND store_id = 'TX_1') AND wm_yr_wk % 50 <> 7 THEN wm_yr_wk END) AS BIGINT) AS weeks
+FROM prices GROUP BY 1""")
 oracle("table_versions", """
 SELECT store_id, COUNT(*) AS n_rows, CAST(SUM(units) AS BIGINT) AS units, read FROM silver, (VALUES ('first'), ('after the broken write')) r(read)
 GROUP BY store_id, read

@@ -12,6 +12,7 @@ import datetime as dt
 from collections.abc import Callable
 from functools import reduce
 
+import pandas as pd
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +37,7 @@ from shelfcast.session import scratch_path
 from shelfcast.sources import bronze as bz
 from shelfcast.sources import files
 from shelfcast.sources import fixtures
+from shelfcast.sources import quarantine
 from shelfcast.sources import versions
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -155,6 +157,26 @@ def q_read_raw_csv(spark, sf_dir):
     return _wide_digest(files.read_raw_csv(spark, bz.bronze_tables(raw)["bronze_sales"]))
 
 
+@register("csv_quarantine")
+def q_csv_quarantine(spark, sf_dir):
+    """The prices as CSV files with planted bad lines: by reason, how many lines, and the weeks of the good ones."""
+    cols = ["store_id", "item_id", "wm_yr_wk", "sell_price"]
+    price = F.when(F.col("wm_yr_wk") % 50 == 7, F.lit("n/x")).otherwise(F.col("sell_price").cast("string"))
+    line = F.concat_ws(",", "store_id", "item_id", F.col("wm_yr_wk").cast("string"),
+                       F.when((F.col("wm_yr_wk") % 40 != 3) | (F.col("store_id") != "TX_1"), price))        # else a field is missing
+    lines = bronze(spark, sf_dir).prices.select(line.alias("value"))
+
+    def headed(batches):
+        yield pd.DataFrame({"value": [",".join(cols)]})
+        yield from batches
+
+    path = scratch_path(spark, "dirty")
+    lines.mapInPandas(headed, "value string").write.text(path)
+    good, rejects = quarantine.read_with_rejects(spark, path, max_rejects=1 << 40)
+    return good.agg(F.lit("good").alias("reason"), F.count(F.lit(1)).alias("n_lines"), F.sum("wm_yr_wk").alias("weeks")).unionByName(
+        rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n_lines"), F.lit(None).cast("long").alias("weeks")))
+
+
 @register("load_csv_autodetect")
 def q_load_csv_autodetect(spark, sf_dir):
     raw = _raw_dir(spark, sf_dir)
