@@ -146,7 +146,8 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS) -> tuple[DataFrame, Dat
     sources = staged(targets(rows), "mix-targets")
     blocks = staged(cut(sources, block_words), "mix-blocks")
     laid = streams(rows, sources)
-    drawn = fragments(laid, blocks).join(schedule(blocks), ["src", "no_src", "block"])
+    # the schedule is made from a few rows, so Spark takes it for small; it grows with the words
+    drawn = fragments(laid, blocks).join(schedule(blocks).hint("merge"), ["src", "no_src", "block"])
     used = F.greatest(F.lit(0).cast("long"), F.least(F.col("words"), F.col("use") - F.col("at")))
     return laid, sources, drawn.withColumn("words", used).where("words > 0").drop("use")
 
