@@ -62,12 +62,13 @@ def n_blocks(n_rows: int, per_block: int = BLOCK_ROWS) -> int:
 
 
 def running(df: DataFrame, groups: Sequence[str], block: str, order: Sequence[Column],
-            value: Column, out: str) -> DataFrame:
+            value: Column, out: str, generated: bool = False) -> DataFrame:
     """Sum of ``value`` over the earlier rows of the group, by ``block`` and then ``order``.
 
     ``groups`` (never null) may be as uneven as they like: a group is cut into its
     blocks, each block is summed in a task of its own, and the blocks' totals (one
-    row per group and block) give what lies before each block.
+    row per group and block) give what lies before each block.  ``generated``: the rows come from
+    few, so Spark takes them for few, too, and must not choose a broadcast by that.
     """
     keys = [*groups, block]
     before = Window.partitionBy(*groups).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
@@ -75,7 +76,7 @@ def running(df: DataFrame, groups: Sequence[str], block: str, order: Sequence[Co
     totals = (df.groupBy(*keys).agg(F.sum(value).alias("__sum"))
               .select(*keys, F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__base")))
     return (df.withColumn("__in", F.coalesce(F.sum(value).over(within), F.lit(0)))
-            .join(totals, keys)
+            .join(totals.hint("merge") if generated else totals, keys)
             .withColumn(out, (F.col("__base") + F.col("__in")).cast("long"))
             .drop("__in", "__base"))
 

@@ -103,11 +103,13 @@ def schedule(sources: DataFrame) -> DataFrame:
     bits = max(1, int((sources.agg(F.sum("slots")).first()[0] or 0)).bit_length())
     chunks = sources.where("slots > 0").withColumn("first", F.explode(F.sequence(
         F.lit(0).cast("long"), F.col("slots") - 1, F.lit(CHUNK).cast("long"))))
-    places = chunks.repartition("src", "no_src", "first").withColumn(
+    # a stated number of partitions is kept: by their bytes these few rows would make one
+    n = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    places = chunks.repartition(n, "src", "no_src", "first").withColumn(
         "j", F.explode(F.sequence(F.col("first"), F.least(F.col("first") + CHUNK, F.col("slots")) - 1)))
     turned = F.conv(F.reverse(F.lpad(F.bin(F.col("lo") + F.col("j")), bits, "0")), 2, 10).cast("long")
     drawn = places.withColumn("slot", turned).withColumn("part", F.shiftright("slot", max(0, bits - 12)))
-    ranked = running(drawn.drop("first", "j"), ["src", "no_src"], "part", [F.col("slot")], F.lit(1), "rank")
+    ranked = running(drawn.drop("first", "j"), ["src", "no_src"], "part", [F.col("slot")], F.lit(1), "rank", generated=True)
     block, epoch = F.col("rank") % F.col("blocks"), F.floor(F.col("rank") / F.col("blocks")).cast("long")
     before = epoch * F.col("source_size") + block_start(block)
     return ranked.select("slot", "src", "no_src", block.alias("block"), epoch.cast("int").alias("epoch"), F.least(
