@@ -59,13 +59,25 @@ def series_matrix(long_df: DataFrame, dates: list, index: str = "id",
 
     Raises if (index, date) repeats: a cell holds one value.
     ``dates`` are the pivot values (the small, bounded date list); a series' cells, at most one
-    per date, are gathered once and read in their order.
+    per date, are gathered once with their places in that list, and places without a cell are
+    filled in (looking every date up in a map would take the square of the dates).  The columns
+    come out of a generator: as a projection they would be merged into what a caller makes of
+    them, and an expression over all of them be compiled, on the driver, as one method of
+    thousands of variables.
     """
     dup = long_df.groupBy(index, column).count().where(F.col("count") > 1).limit(1)
     if dup.count() > 0:
         raise ValueError(f"duplicate ({index}, {column}) rows: cannot pivot")
-    cells = long_df.where(F.col(column).isNotNull()).groupBy(index).agg(
-        F.map_from_entries(F.collect_list(F.struct(column, value))).alias("_cells"))
-    wanted = F.expr("array(" + ", ".join(f"DATE'{d}'" for d in dates) + ")")
-    row = cells.select(index, F.transform(wanted, lambda d: F.try_element_at("_cells", d)).alias("_row"))
-    return row.selectExpr(index, *[f"get(_row, {i}) AS `{d}`" for i, d in enumerate(dates)])
+    at = {d: i for i, d in enumerate(dict.fromkeys(f"{d}" for d in dates))}
+    wanted = F.expr("array(" + ", ".join(f"DATE'{d}'" for d in at) + ")")
+    place = long_df.sparkSession.range(1).select(F.posexplode(wanted).alias("_at", "_date"))
+    placed = (long_df.where(F.col(column).isNotNull()).select(index, F.col(column).alias("_on"), F.col(value).alias("_v"))
+              .join(F.broadcast(place), F.col("_on") == F.col("_date"), "left"))
+    cells = placed.groupBy(index).agg(
+        F.collect_list(F.when(F.col("_at").isNotNull(), F.struct("_at", "_v"))).alias("_cells"))
+    empty = F.lit(None).cast(long_df.schema[value].dataType)
+    gaps = F.transform(F.array_except(F.sequence(F.lit(0), F.lit(len(at) - 1)), F.col("_cells._at")),
+                       lambda i: F.struct(i.alias("_at"), empty.alias("_v")))
+    row = cells.select(index, F.sort_array(F.concat("_cells", gaps))["_v"].alias("_row"))
+    days = ", ".join(f"'{d}', get(_row, {at[f'{d}']})" for d in dates)
+    return row.selectExpr(index, f"inline(array(named_struct({days})))")

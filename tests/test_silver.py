@@ -161,3 +161,31 @@ def test_series_matrix_rejects_duplicates(spark):
                                "id string, date date, units int")
     with pytest.raises(ValueError):
         reshape.series_matrix(df, [dt.date(2000, 1, 1)])
+
+
+def test_series_matrix_cells(spark):
+    """Dates in any order and twice, cells missing, null or outside the dates, rows without a date
+    or an id; a series whose cells all lie outside keeps its row."""
+    day = lambda i: dt.date(2000, 1, 1) + dt.timedelta(days=i)
+    df = spark.createDataFrame([("a", day(0), 1), ("a", day(2), None), ("a", day(7), 9), ("b", day(7), 5), ("b", day(-1), 6),
+                                ("c", None, 3), (None, day(2), 4), ("d", None, 1), ("d", day(0), 2)],
+                               "id string, date date, units int")
+    wide = reshape.series_matrix(df, [day(2), day(0), day(4)])
+    assert wide.columns == ["id", "2000-01-03", "2000-01-01", "2000-01-05"]
+    assert [f.dataType.simpleString() for f in wide.schema.fields] == ["string", "int", "int", "int"]
+    assert {tuple(r) for r in wide.collect()} == {("a", None, 1, None), ("b", None, None, None), (None, 4, None, None),
+                                                  ("d", None, 2, None)}
+    twice = reshape.series_matrix(df.where("id = 'a'"), [day(0), day(7), day(0)])
+    assert [tuple(r) for r in twice.collect()] == [("a", 1, 9, 1)]
+
+
+def test_expression_over_all_days_of_the_matrix_is_not_one_method(spark):
+    """What is computed from every day column stays apart from the columns: merged with them it
+    was compiled on the driver as one method, whose variables took all its memory."""
+    n = 150
+    dates = [dt.date(2000, 1, 1) + dt.timedelta(days=i) for i in range(n)]
+    df = spark.createDataFrame([(s, d, i) for s in "ab" for i, d in enumerate(dates)], "id string, date date, units int")
+    digest = registry._digest(reshape.series_matrix(df, dates), ["id"], [d.isoformat() for d in dates])
+    assert {(r.id, r.units) for r in digest.collect()} == {(s, ",".join(map(str, range(n)))) for s in "ab"}
+    steps = [line for line in digest._jdf.queryExecution().executedPlan().toString().split("\n") if "array_join(" in line]
+    assert steps and not any("*(" in line[:line.index("Project")] for line in steps)
